@@ -167,7 +167,7 @@ def plus_seconds(ts: ColumnOrName, seconds: ColumnOrName) -> Column:
 
 def elapsed_seconds(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole seconds between two timestamps, as int."""
-    return F.timestampdiff("SECOND", _c(start), _c(end)).cast("int")
+    return F.timestamp_diff("SECOND", _c(start), _c(end)).cast("int")
 
 
 def _iso_fraction(ts: Column) -> Column:

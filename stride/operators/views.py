@@ -87,10 +87,25 @@ def kpi_global(safe: DataFrame, prime: DataFrame, wellbeing: DataFrame) -> DataF
                     "nb_eligibles_bienetre", "jours_bienetre", "nb_declarations_suspectes"))
 
 
+def int_div(a: F.Column, b: F.Column) -> F.Column:
+    """Exact floor division of non-negative integers as decimal(38,0):
+    ``(a - a mod b) / b`` divides exactly, so no rounding step is involved."""
+    a, b = a.cast("decimal(38,0)"), b.cast("decimal(38,0)")
+    return ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+
+
+def rounded_ratio(num: F.Column, den: F.Column, scale: int, out: str | None = None) -> F.Column:
+    """``ROUND(num / den, scale)`` half up for ``num >= 0``, exact at any volume
+    (integer arithmetic, no double rounding); NULL when ``den`` is 0."""
+    f = 10 ** scale
+    units = int_div(num.cast("decimal(38,0)") * (2 * f) + den, den.cast("decimal(38,0)") * 2)
+    value = units / F.lit(f).cast("decimal(38,0)")
+    return F.when(den > 0, value.cast(out or f"decimal(38,{scale})"))
+
+
 def exact_avg_km(sum_m: F.Column, n: F.Column) -> F.Column:
     """ROUND(AVG(m) / 1000, 2) on exact integers (half up), NULL when n = 0."""
-    q = F.floor((sum_m * 200 + n * 1000) / (n * 2000))
-    return F.when(n > 0, (q.cast("decimal(20,0)") / 100).cast("decimal(12,2)"))
+    return rounded_ratio(sum_m, n * 1000, 2, "decimal(12,2)")
 
 
 def activities_by_sport(activities: DataFrame, as_of: dt.datetime, days: int = 365) -> DataFrame:
@@ -178,7 +193,8 @@ def step_durations(run_log: DataFrame) -> DataFrame:
     return run_log.groupBy(F.col("step_name").alias("etape")).agg(
         F.count(F.lit(1)).alias("nb_runs"),
         F.sum("duration_ms").cast("bigint").alias("duree_totale_ms"),
-        F.round(F.avg("duration_ms"), 3).alias("duree_moyenne_ms"))
+        rounded_ratio(F.sum("duration_ms"), F.count("duration_ms"), 3, "decimal(20,3)")
+         .alias("duree_moyenne_ms"))
 
 
 def share(by_category: DataFrame, category: str, measure: str) -> DataFrame:
@@ -187,4 +203,15 @@ def share(by_category: DataFrame, category: str, measure: str) -> DataFrame:
     categories the way an unpartitioned window would."""
     total = by_category.agg(F.sum(measure).alias("_total"))
     return (by_category.crossJoin(F.broadcast(total))
-            .select(category, measure, F.round(F.col(measure) / F.col("_total"), 6).alias("part")))
+            .select(category, measure,
+                    rounded_ratio(F.col(measure), F.col("_total"), 6, "decimal(8,6)").alias("part")))
+
+
+def slice_detail(detail: DataFrame, bu: str | None = None, eligible: bool | None = None) -> DataFrame:
+    """PRJ-27: BI slicer — optional unit and eligibility filters (pushed to the scan)."""
+    out = detail
+    if bu is not None:
+        out = out.filter(F.col("bu") == F.lit(bu))
+    if eligible is not None:
+        out = out.filter(F.col("eligible") == F.lit(bool(eligible)))
+    return out
