@@ -251,3 +251,15 @@ QUALITY_REPORT_SCHEMA = T.StructType([
     T.StructField("unexpected_count", T.LongType(), False),
     T.StructField("success", T.BooleanType(), False),
 ])
+
+# Run-log rows as written by the step wrapper (wall-clock UTC, no zone).
+RUN_LOG_SCHEMA_NTZ = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("step_name", T.StringType(), False),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("rows_in", T.LongType()),
+    T.StructField("rows_out", T.LongType()),
+    T.StructField("duration_ms", T.LongType()),
+    T.StructField("message", T.StringType()),
+    T.StructField("started_at", T.TimestampNTZType(), False),
+])
