@@ -221,14 +221,14 @@ GATES: dict[str, Callable[..., DataFrame]] = {
 }
 
 
-def run_gate(name: str, *args, raise_on_failure: bool = True, **kw) -> DataFrame:
+def run_gate(check_name: str, *args, raise_on_failure: bool = True, **kw) -> DataFrame:
     """QLT-18: named check dispatch; an unknown name is an error; a failing gate
     raises after its one-row outcome is computed."""
-    if name not in GATES:
-        raise KeyError(f"unknown check {name!r}; known: {sorted(GATES)}")
-    out = GATES[name](*args, **kw)
+    if check_name not in GATES:
+        raise KeyError(f"unknown check {check_name!r}; known: {sorted(GATES)}")
+    out = GATES[check_name](*args, **kw)
     if raise_on_failure:
         row = out.first()
         if not row["success"]:
-            raise QualityError(f"check {name} failed: observed {row['observed']}, expected {row['expected']}")
+            raise QualityError(f"check {check_name} failed: observed {row['observed']}, expected {row['expected']}")
     return out
