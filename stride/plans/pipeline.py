@@ -1,0 +1,134 @@
+"""E1 — the full benefit run as one Spark driver function.
+
+``run(spark, sf_dir, params)`` chains the steps of the monthly run:
+raw HR and sport files -> staging (typed, normalised, pseudonymised, geo
+checked) -> raw JSON documents -> flattened activities -> quality suites ->
+benefit marts (upsert + change log) -> notifications.  Every step is a
+``monitor.step`` that appends its run-log row; tables are written through
+the versioned ``TableStore`` (each write is a new version, so the marts are
+read at version N while N+1 is written, and lineage is cut at every table).
+"""
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import benefits as B
+from ..operators import merge as M
+from ..operators import notify as N
+from ..operators import quality as Q
+from ..operators import staging as ST
+from ..params import BenefitParams
+from ..session import work_path
+from ..sources import bindings as BD
+from ..sources.store import TableStore
+from .catalog import activity_rules, employee_rules
+from .inputs import EVENTS_AS_OF
+from .monitor import new_run_id, step
+
+
+@dataclass
+class RunResult:
+    run_id: str
+    store: TableStore
+    counts: dict
+
+
+def _count(df: DataFrame) -> int:
+    return int(df.count())
+
+
+def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
+        store: TableStore | None = None, post_limit: int = 50,
+        report_dir: str | None = None, fail_on_quality: bool = True) -> RunResult:
+    params = params or BenefitParams(run_id=new_run_id())
+    store = store or TableStore(spark)
+    run_id = params.run_id
+    log = lambda df: store.append(df, "audit.run_log")
+    counts: dict[str, int] = {}
+
+    def table(name: str) -> DataFrame:
+        return BD.table(spark, sf_dir, name)
+
+    with step(spark, "extract_rh", run_id, log) as ctx:
+        hr = BD.hr_file(table("customer"))
+        store.refresh(hr, "raw.employees")
+        staged = ST.apply_geo(ST.stage_employees(store.read("raw.employees"), params), params)
+        store.refresh(staged, "staging.employees")
+        ctx.rows_in = ctx.rows_out = counts["employees"] = _count(store.read("staging.employees"))
+    with step(spark, "check_employees", run_id, log):
+        Q.run_gate("not_empty", store.read("staging.employees"))
+
+    with step(spark, "extract_sport", run_id, log) as ctx:
+        employees = store.read("staging.employees")
+        sports = ST.stage_sports(BD.sport_file(table("events")), employees)
+        if store.exists("staging.sports_practice"):
+            sports = M.insert_if_absent(store.read("staging.sports_practice"), sports,
+                                        ["id_employee", "sport_pratique"])
+        store.write(sports, "staging.sports_practice")
+        ctx.rows_out = counts["sports"] = _count(store.read("staging.sports_practice"))
+
+    with step(spark, "load_raw_activities", run_id, log) as ctx:
+        store.refresh(ST.build_payloads(BD.event_activity_fields(table("events"))), "raw.activities")
+        ctx.rows_out = counts["raw_activities"] = _count(store.read("raw.activities"))
+    with step(spark, "check_raw_volume", run_id, log):
+        Q.run_gate("min_volume", store.read("raw.activities"))
+
+    with step(spark, "flatten_activities", run_id, log) as ctx:
+        raw = store.read("raw.activities")
+        ST.ensure_not_empty(raw, "raw.activities")
+        store.write(ST.flatten_payloads(raw, with_id=True), "staging.activities")
+        ctx.rows_in = counts["raw_activities"]
+        ctx.rows_out = counts["activities"] = _count(store.read("staging.activities"))
+    with step(spark, "check_activities", run_id, log):
+        Q.run_gate("same_count", store.read("raw.activities"), store.read("staging.activities"),
+                   name="reconciliation")
+        Q.run_gate("no_future", store.read("staging.activities"), "start_dt", params.as_of)
+
+    with step(spark, "quality", run_id, log) as ctx:
+        acts = store.read("staging.activities").withColumn(
+            "elapsed_s", F.timestamp_diff("SECOND", F.col("start_dt"), F.col("end_dt")).cast("int"))
+        report_path = report_dir or work_path(spark, "reports", run_id, "quality")
+        try:
+            Q.run_suites({"employees": (store.read("staging.employees"), employee_rules()),
+                          "activities": (acts, activity_rules(params.as_of))}, report_path)
+        except Q.QualityError as e:
+            # the row says FAIL; the run stops only when asked to
+            ctx.fail(str(e)[:2000])
+            if fail_on_quality:
+                raise
+
+    with step(spark, "compute_advantages", run_id, log) as ctx:
+        employees = store.read("staging.employees")
+        activities = store.read("staging.activities")
+        for mart, new in (("marts.eligibility_prime", B.compute_prime(employees, params)),
+                          ("marts.eligibility_wellbeing", B.compute_wellbeing(employees, activities, params))):
+            if store.exists(mart):
+                before = store.read(mart)
+                changes = M.change_log_from_merge(before, new, "id_employee", mart, params.as_of, "stride")
+                store.append(changes.select("changed_at", "changed_by", "table_name", "operation",
+                                            "id_employee", F.to_json("old_data").alias("old_data"),
+                                            F.to_json("new_data").alias("new_data")),
+                             "audit.eligibility_changes")
+                new = M.upsert(before, new, ["id_employee"])
+            store.write(new, mart)
+        ctx.rows_out = counts["prime"] = _count(store.read("marts.eligibility_prime"))
+    with step(spark, "check_coverage", run_id, log):
+        Q.run_gate("same_count", store.read("staging.employees"), store.read("marts.eligibility_prime"),
+                   name="coverage")
+
+    with step(spark, "notify", run_id, log) as ctx:
+        acts = store.read("staging.activities")
+        msgs = N.render_messages(acts, store.read("staging.employees"))
+        batch = msgs.orderBy(F.desc("start_dt"), "id_activity").limit(post_limit)
+        store.append(N.outbox_records(batch, "#sport", "no webhook configured"), "audit.outbox")
+        store.write(N.mark_posted(acts, store.read("audit.outbox").select("id_activity")),
+                    "staging.activities")
+        ctx.rows_out = counts["posted"] = _count(
+            store.read("staging.activities").filter(F.col("posted_to_slack")))
+    return RunResult(run_id, store, counts)
+
+
+__all__ = ["run", "RunResult", "EVENTS_AS_OF"]

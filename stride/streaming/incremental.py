@@ -72,7 +72,9 @@ def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: D
         tag = f"{checkpoint}#{batch_id}"
         todo = batch
         if store.exists(DELIVERED):
-            todo = todo.join(store.read(DELIVERED).select("id_activity"), "id_activity", "left_anti")
+            # ids delivered by OTHER batches; a replay re-renders its own ids
+            others = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
+            todo = todo.join(others.select("id_activity"), "id_activity", "left_anti")
         msgs = N.render_messages(todo, employees)
         records = N.outbox_records(msgs, channel, error).withColumn("batch_tag", F.lit(tag))
         if store.exists(OUTBOX):
@@ -81,11 +83,12 @@ def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: D
             store.write(kept.unionByName(records), OUTBOX)
         else:
             store.write(records, OUTBOX)
-        ids = store.read(OUTBOX).filter(F.col("batch_tag") == F.lit(tag)).select("id_activity")
+        ids = store.read(OUTBOX).filter(F.col("batch_tag") == F.lit(tag)).select("id_activity", "batch_tag")
         if store.exists(DELIVERED):
-            store.write(M.insert_if_absent(store.read(DELIVERED), ids, ["id_activity"]), DELIVERED)
+            kept = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
+            store.write(kept.unionByName(ids), DELIVERED)
         else:
-            store.write(ids.distinct(), DELIVERED)
+            store.write(ids, DELIVERED)
 
     return (activities.writeStream.foreachBatch(deliver)
             .option("checkpointLocation", checkpoint)
