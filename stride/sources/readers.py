@@ -97,11 +97,6 @@ def scan_columns(spark: SparkSession, path: str, columns: Iterable[str], fmt: st
     return spark.read.format(fmt).load(path).select(*columns)
 
 
-def parse_payload(raw: DataFrame, column: str = "payload") -> DataFrame:
-    """SRC-5: typed view of the JSON payload column (``p.*`` fields)."""
-    return raw.withColumn("p", F.from_json(F.col(column), S.ACTIVITY_PAYLOAD_SCHEMA))
-
-
 def scan_payload_documents(spark: SparkSession, path: str, array_field: str | None = None) -> DataFrame:
     """SRC-5 for files: one JSON document per line, or a multi-line document
     whose ``array_field`` holds the records (exploded into rows)."""
