@@ -26,10 +26,9 @@ def stage_employees(hr: DataFrame, params: BenefitParams,
 
     Casts are ANSI (bad values raise); the commute label is normalised and the
     pseudonym is ``sha256(salt || nom || prenom)``.  Columns of ``hr`` that are
-    not part of the contract (geo answers) are kept.
+    not part of the contract (provenance, geo answers) are kept.
     """
-    extra = [c for c in hr.columns if c not in S.HR_COLUMN_MAP.values()
-             and c not in ("source_file", "loaded_at")]
+    extra = [c for c in hr.columns if c not in S.HR_COLUMN_MAP.values()]
     salary_col = salary if salary is not None else F.col("salaire_brut").cast("decimal(12,2)")
     return hr.select(
         F.col("id_salarie").cast("bigint").alias("id_employee"),

@@ -143,7 +143,7 @@ def wellbeing_detail(safe: DataFrame, wellbeing: DataFrame) -> DataFrame:
         F.col("reason").alias("motif"))
 
 
-def pipeline_health(run_log: DataFrame) -> DataFrame:
+def step_health(run_log: DataFrame) -> DataFrame:
     """MON-3: renamed projection of the run log, latest first."""
     return run_log.select(
         "run_id",

@@ -15,8 +15,9 @@ class HeaderContractError(ValueError):
     """Input file columns do not match the declared contract."""
 
 
-def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None = None):
-    r = spark.read.format(fmt)
+def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None = None,
+            options: Mapping[str, str] | None = None):
+    r = spark.read.format(fmt).options(**(options or {}))
     if fmt == "csv":
         r = r.option("header", True).option("enforceSchema", False)
     if schema is not None:
@@ -64,23 +65,26 @@ def with_provenance(df: DataFrame, column_map: Mapping[str, str],
 def scan_with_contract(spark: SparkSession, path: str, column_map: Mapping[str, str],
                        ordered: bool, fmt: str = "parquet",
                        schema: T.StructType | None = None,
-                       loaded_at: dt.datetime | None = None) -> DataFrame:
+                       loaded_at: dt.datetime | None = None,
+                       options: Mapping[str, str] | None = None) -> DataFrame:
     """Scan a file whose header must match ``column_map``'s keys, then rename."""
     header = file_header(spark, path, fmt)
     (check_ordered_header if ordered else check_header_set)(header, column_map.keys())
-    df = _reader(spark, fmt, schema).load(path)
+    df = _reader(spark, fmt, schema, options).load(path)
     return with_provenance(df, column_map, loaded_at=loaded_at)
 
 
 def scan_hr_file(spark: SparkSession, path: str, fmt: str = "csv",
-                 loaded_at: dt.datetime | None = None) -> DataFrame:
+                 loaded_at: dt.datetime | None = None,
+                 options: Mapping[str, str] | None = None) -> DataFrame:
     """HR file: 11 columns, order checked."""
     schema = S.HR_FILE_SCHEMA if fmt == "csv" else None
-    return scan_with_contract(spark, path, S.HR_COLUMN_MAP, True, fmt, schema, loaded_at)
+    return scan_with_contract(spark, path, S.HR_COLUMN_MAP, True, fmt, schema, loaded_at, options)
 
 
 def scan_sport_file(spark: SparkSession, path: str, fmt: str = "csv",
-                    loaded_at: dt.datetime | None = None) -> DataFrame:
+                    loaded_at: dt.datetime | None = None,
+                    options: Mapping[str, str] | None = None) -> DataFrame:
     """Sport file: two columns, order free."""
     header = file_header(spark, path, fmt)
     check_header_set(header, S.SPORT_COLUMN_MAP.keys())
@@ -88,7 +92,7 @@ def scan_sport_file(spark: SparkSession, path: str, fmt: str = "csv",
     if fmt == "csv":  # CSV binds a schema by position: follow the file's order
         by_name = {f.name: f for f in S.SPORT_FILE_SCHEMA.fields}
         schema = T.StructType([by_name[h] for h in header])
-    df = _reader(spark, fmt, schema).load(path)
+    df = _reader(spark, fmt, schema, options).load(path)
     return with_provenance(df, S.SPORT_COLUMN_MAP, loaded_at=loaded_at)
 
 

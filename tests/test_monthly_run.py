@@ -1,19 +1,19 @@
-"""E1 pipeline on sf0.001: layered tables, run log, re-run behaviour."""
+"""E1 monthly run on sf0.001: layered tables, run log, re-run behaviour."""
 import datetime as dt
 import tempfile
 
 from pyspark.sql import functions as F
 
 from stride.params import BenefitParams
-from stride.plans import pipeline
+from stride.plans import monthly_run
 from stride.sources.store import TableStore
 from tests.conftest import SF0001
 
 
-def test_pipeline_runs_and_logs(spark):
+def test_monthly_run_and_logs(spark):
     store = TableStore(spark, tempfile.mkdtemp(prefix="stride-store-"))
     params = BenefitParams(as_of=dt.datetime(2024, 1, 31), wellbeing_threshold=3, run_id="t-1")
-    res = pipeline.run(spark, SF0001, params, store, fail_on_quality=False)
+    res = monthly_run.run(spark, SF0001, params, store, fail_on_quality=False)
     n = res.counts["employees"]
     assert store.read("marts.eligibility_prime").count() == n
     assert store.read("marts.eligibility_wellbeing").count() == n
@@ -23,7 +23,7 @@ def test_pipeline_runs_and_logs(spark):
     steps = {r.step_name: r.status for r in log.collect()}
     assert steps["compute_advantages"] == "OK" and steps["quality"] in ("OK", "FAIL")
     # a second run: the reload empties the marts (cascade), so the change log shows INSERTs
-    res2 = pipeline.run(spark, SF0001, params.with_(run_id="t-2"), store, fail_on_quality=False)
+    res2 = monthly_run.run(spark, SF0001, params.with_(run_id="t-2"), store, fail_on_quality=False)
     ch = store.read("audit.eligibility_changes")
     assert ch.filter(F.col("operation") == "INSERT").count() == 2 * n
     assert store.read("audit.run_log").select("run_id").distinct().count() == 2
