@@ -123,7 +123,11 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         acts = store.read("staging.activities")
         msgs = N.render_messages(acts, store.read("staging.employees"))
         batch = msgs.orderBy(F.desc("start_dt"), "id_activity").limit(post_limit)
-        store.append(N.outbox_records(batch, "#sport", "no webhook configured"), "audit.outbox")
+        records = N.outbox_records(batch, "#sport", "no webhook configured")
+        store.append(records, "audit.outbox")
+        # undelivered messages also go to the JSON-lines outbox (SNK-5)
+        N.append_outbox(store.read("audit.outbox").join(batch.select("id_activity"), "id_activity", "left_semi")
+                        .select("payload", "error"), f"{store.root}/outbox_jsonl")
         store.write(N.mark_posted(acts, store.read("audit.outbox").select("id_activity")),
                     "staging.activities")
         ctx.rows_out = counts["posted"] = _count(

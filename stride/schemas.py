@@ -191,6 +191,16 @@ ACTIVITY_PAYLOAD_SCHEMA = T.StructType([
     T.StructField("comment", T.StringType()),
 ])
 
+# The same document read with its numbers as text: the flatten casts them
+# itself, strictly (a non-integer raises) or leniently (NULL, counted).
+PAYLOAD_INT_FIELDS = ("id", "distance", "moving_time", "elapsed_time")
+ACTIVITY_PAYLOAD_TEXT_SCHEMA = T.StructType([
+    T.StructField(f.name, T.StringType()) if f.name in PAYLOAD_INT_FIELDS
+    else T.StructField("athlete", T.StructType([T.StructField("id", T.StringType())])) if f.name == "athlete"
+    else f
+    for f in ACTIVITY_PAYLOAD_SCHEMA.fields
+])
+
 RAW_ACTIVITIES_SCHEMA = T.StructType([
     T.StructField("activity_id", T.LongType(), False),
     T.StructField("athlete_id", T.LongType(), False),

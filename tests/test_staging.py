@@ -27,11 +27,18 @@ def test_flatten_sample_row(spark):
 
 
 def test_flatten_rejects_non_integer(spark):
-    doc = json.dumps({"id": 1, "athlete": {"id": 2}, "distance": "10.5", "start_date": "2025-01-01T00:00:00Z",
+    good = json.dumps({"id": 2, "athlete": {"id": 2}, "distance": 10, "start_date": "2025-01-01T00:00:00Z",
+                       "elapsed_time": 10, "comment": None})
+    bad = json.dumps({"id": 1, "athlete": {"id": 2}, "distance": 10.5, "start_date": "2025-01-01T00:00:00Z",
                       "elapsed_time": 10})
-    raw = spark.createDataFrame([(1, 2, doc, "x")], S.RAW_ACTIVITIES_SCHEMA)
-    # from_json yields NULL for a non-integer field; the row is kept with a NULL distance
-    assert ST.flatten_payloads(raw).first().distance_m is None
+    raw = spark.createDataFrame([(1, 2, bad, "x"), (2, 2, good, "x")], S.RAW_ACTIVITIES_SCHEMA)
+    with pytest.raises(Exception, match="invalid integer"):
+        ST.flatten_payloads(raw).collect()
+    lenient = {r.source_activity_id: r for r in ST.flatten_payloads(raw, strict=False).collect()}
+    assert lenient[1].distance_m is None and lenient[2].distance_m == 10
+    assert lenient[2].end_dt == dt.datetime(2025, 1, 1, 0, 0, 10)
+    rej = ST.rejected_documents(raw).collect()
+    assert [(r.activity_id, list(r.bad_fields)) for r in rej] == [(1, ["distance"])]
 
 
 def test_build_payload_contract(spark):
