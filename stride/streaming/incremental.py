@@ -58,6 +58,34 @@ def incremental_flatten(spark: SparkSession, landing: str, store: TableStore, ch
     return q.start()
 
 
+def deliver_batch(batch: DataFrame, tag: str, employees: DataFrame, store: TableStore,
+                  channel: str = "#sport", error: str = "no webhook configured") -> None:
+    """One STR-2 micro-batch, identified by ``tag`` (stream + batch id).
+
+    Ids delivered by OTHER batches are dropped (anti join); the rest are
+    rendered and replace this tag's earlier outbox rows, then the tag's ids
+    replace its earlier delivered-id rows.  Replaying a tag after a failure
+    at any point therefore leaves each activity in the outbox exactly once.
+    """
+    todo = batch
+    if store.exists(DELIVERED):
+        others = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
+        todo = todo.join(others.select("id_activity"), "id_activity", "left_anti")
+    msgs = N.render_messages(todo, employees)
+    records = N.outbox_records(msgs, channel, error).withColumn("batch_tag", F.lit(tag))
+    if store.exists(OUTBOX):
+        kept = store.read(OUTBOX).filter(F.col("batch_tag") != F.lit(tag))
+        store.write(kept.unionByName(records), OUTBOX)
+    else:
+        store.write(records, OUTBOX)
+    ids = store.read(OUTBOX).filter(F.col("batch_tag") == F.lit(tag)).select("id_activity", "batch_tag")
+    if store.exists(DELIVERED):
+        kept = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
+        store.write(kept.unionByName(ids), DELIVERED)
+    else:
+        store.write(ids, DELIVERED)
+
+
 def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: DataFrame,
                         store: TableStore, checkpoint: str, channel: str = "#sport",
                         error: str = "no webhook configured"):
@@ -68,27 +96,7 @@ def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: D
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        # a batch is identified by its stream (checkpoint) and its id
-        tag = f"{checkpoint}#{batch_id}"
-        todo = batch
-        if store.exists(DELIVERED):
-            # ids delivered by OTHER batches; a replay re-renders its own ids
-            others = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
-            todo = todo.join(others.select("id_activity"), "id_activity", "left_anti")
-        msgs = N.render_messages(todo, employees)
-        records = N.outbox_records(msgs, channel, error).withColumn("batch_tag", F.lit(tag))
-        if store.exists(OUTBOX):
-            # a replayed batch replaces its own earlier rows
-            kept = store.read(OUTBOX).filter(F.col("batch_tag") != F.lit(tag))
-            store.write(kept.unionByName(records), OUTBOX)
-        else:
-            store.write(records, OUTBOX)
-        ids = store.read(OUTBOX).filter(F.col("batch_tag") == F.lit(tag)).select("id_activity", "batch_tag")
-        if store.exists(DELIVERED):
-            kept = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
-            store.write(kept.unionByName(ids), DELIVERED)
-        else:
-            store.write(ids, DELIVERED)
+        deliver_batch(batch, f"{checkpoint}#{batch_id}", employees, store, channel, error)
 
     return (activities.writeStream.foreachBatch(deliver)
             .option("checkpointLocation", checkpoint)
