@@ -102,6 +102,27 @@ class TableStore:
         df.write.mode("append").parquet(path)
         return path
 
+    def overwrite_partitions(self, df: DataFrame, qualified: str, partition_col: str) -> str:
+        """Replace only the partitions present in ``df`` (dynamic partition
+        overwrite into the current version; other partitions are untouched).
+        ``df`` must not read the table itself — stage it first."""
+        path = self.current_path(qualified)
+        if path is None:
+            return self.write(df, qualified, partition_by=[partition_col])
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
+        return path
+
+    def drop_partitions(self, qualified: str, partition_col: str, values: Iterable) -> None:
+        """Remove partitions of the current version that became empty."""
+        path = self.current_path(qualified)
+        if path is None:
+            return
+        for v in values:
+            fs, p = self._fs(f"{path}/{partition_col}={v}")
+            if fs.exists(p):
+                fs.delete(p, True)
+
     def empty(self, qualified: str, schema: T.StructType) -> str:
         return self.write(self.spark.createDataFrame([], schema), qualified)
 

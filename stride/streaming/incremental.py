@@ -2,7 +2,9 @@
 
 STR-1  Raw activity documents land as JSON-lines files; a file-source
        stream flattens each micro-batch (PRJ-9/10) and upserts it into the
-       staging table by ``source_activity_id`` (MRG-1) in ``foreachBatch``.
+       staging table by ``source_activity_id`` (MRG-1) in ``foreachBatch``;
+       the table is partitioned by start day and a batch rewrites only the
+       days it touches.
        Re-delivered documents replace their row, so the table equals the
        batch flatten of all documents, whatever the batch boundaries.
 
@@ -19,6 +21,8 @@ committed batch.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +30,7 @@ from .. import schemas as S
 from ..operators import merge as M
 from ..operators import notify as N
 from ..operators import staging as ST
+from ..session import work_path
 from ..sources.store import TableStore
 
 STAGING = "staging.activities"
@@ -39,17 +44,43 @@ def raw_document_stream(spark: SparkSession, landing: str, max_files: int = 64)
             .option("maxFilesPerTrigger", max_files).json(landing))
 
 
+def merge_flat_batch(spark: SparkSession, flat: DataFrame, store: TableStore,
+                     key: str = "source_activity_id", day_col: str = "start_day") -> None:
+    """Upsert one flattened micro-batch into ``staging.activities``,
+    partitioned by start day, rewriting ONLY the days it touches.
+
+    Affected days = days of the batch rows plus the days where the batch's
+    keys live today (a re-delivered document may move to another day).  The
+    day list is a bounded summary (distinct days of one batch), so it is
+    read on the driver and becomes a static partition filter; the merged
+    days are staged in the work folder and then swapped in with a dynamic
+    partition overwrite.
+    """
+    flat = flat.withColumn(day_col, F.to_date(F.col("start_dt")))
+    if not store.exists(STAGING):
+        store.write(flat, STAGING, partition_by=[day_col])
+        return
+    table = store.read(STAGING)
+    keys = flat.select(key).distinct()
+    moved = table.select(key, day_col).join(keys, key, "left_semi").select(day_col)
+    days = [r[0] for r in flat.select(day_col).union(moved).distinct().collect()]
+    current = table.filter(F.col(day_col).isin(days))
+    merged = M.upsert(current, flat.select(*table.columns), [key])
+    staged_path = work_path(spark, "tmp", f"stage-{uuid.uuid4().hex}")
+    merged.write.parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    store.overwrite_partitions(staged, STAGING, day_col)
+    # days whose every row moved away are not in the staged output: drop them
+    kept = {r[0] for r in staged.select(day_col).distinct().collect()}
+    store.drop_partitions(STAGING, day_col, [d for d in days if d not in kept])
+
+
 def incremental_flatten(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
                         available_now: bool = True):
     """STR-1: flatten arriving documents into ``staging.activities``."""
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        flat = ST.flatten_payloads(batch.dropDuplicates(["activity_id"]))
-        if store.exists(STAGING):
-            merged = M.upsert(store.read(STAGING), flat, ["source_activity_id"])
-        else:
-            merged = flat
-        store.write(merged, STAGING)
+        merge_flat_batch(spark, ST.flatten_payloads(batch.dropDuplicates(["activity_id"])), store)
 
     q = (raw_document_stream(spark, landing).writeStream
          .foreachBatch(merge_batch)
