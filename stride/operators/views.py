@@ -71,20 +71,25 @@ def kpi_by_bu_fused(benefits: DataFrame) -> DataFrame:
 
 def kpi_global(safe: DataFrame, prime: DataFrame, wellbeing: DataFrame) -> DataFrame:
     """AGG-3: one-row KPI; each table is read once with fused conditional
-    aggregates, and the three one-row results are cross-joined (1 x 1 x 1)."""
-    e = safe.agg(F.count(F.lit(1)).alias("nb_salaries"),
-                 F.count_if(F.col("is_declaration_suspect")).alias("nb_declarations_suspectes"))
+    aggregates; the bonus and wellbeing figures join the employee row as
+    scalar subqueries (each a one-row aggregate, run once)."""
     p = prime.agg(
-        F.count_if(F.col("is_eligible")).alias("nb_eligibles_prime"),
+        F.count_if(F.col("is_eligible")).alias("n"),
         F.coalesce(F.sum(F.when(F.col("is_eligible"), F.col("prime_amount"))), F.lit(0))
-         .cast("decimal(12,2)").alias("cout_prime_eur"))
+         .cast("decimal(12,2)").alias("cost"))
     w = wellbeing.agg(
-        F.count_if(F.col("is_eligible")).alias("nb_eligibles_bienetre"),
+        F.count_if(F.col("is_eligible")).alias("n"),
         F.coalesce(F.sum(F.when(F.col("is_eligible"), F.col("days_granted"))), F.lit(0))
-         .cast("bigint").alias("jours_bienetre"))
-    return (e.crossJoin(p).crossJoin(w)
-            .select("nb_salaries", "nb_eligibles_prime", "cout_prime_eur",
-                    "nb_eligibles_bienetre", "jours_bienetre", "nb_declarations_suspectes"))
+         .cast("bigint").alias("days"))
+    e = safe.agg(F.count(F.lit(1)).alias("nb_salaries"),
+                 F.count_if(F.col("is_declaration_suspect")).alias("nb_declarations_suspectes"))
+    return e.select(
+        "nb_salaries",
+        p.select("n").scalar().alias("nb_eligibles_prime"),
+        p.select("cost").scalar().alias("cout_prime_eur"),
+        w.select("n").scalar().alias("nb_eligibles_bienetre"),
+        w.select("days").scalar().alias("jours_bienetre"),
+        "nb_declarations_suspectes")
 
 
 def int_div(a: F.Column, b: F.Column) -> F.Column:
@@ -198,13 +203,12 @@ def step_durations(run_log: DataFrame) -> DataFrame:
 
 
 def share(by_category: DataFrame, category: str, measure: str) -> DataFrame:
-    """AGG-12: share of each category.  The total is a one-row aggregate
-    broadcast to every task (size bound: one row), so no task ever holds all
-    categories the way an unpartitioned window would."""
-    total = by_category.agg(F.sum(measure).alias("_total"))
-    return (by_category.crossJoin(F.broadcast(total))
-            .select(category, measure,
-                    rounded_ratio(F.col(measure), F.col("_total"), 6, "decimal(8,6)").alias("part")))
+    """AGG-12: share of each category.  The total is a scalar subquery (a
+    one-row aggregate run once), so no task ever holds all categories the
+    way an unpartitioned window would."""
+    total = by_category.agg(F.sum(measure)).scalar()
+    return by_category.select(category, measure,
+                              rounded_ratio(F.col(measure), total, 6, "decimal(8,6)").alias("part"))
 
 
 def slice_detail(detail: DataFrame, bu: str | None = None, eligible: bool | None = None) -> DataFrame:
