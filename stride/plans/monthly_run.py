@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import benefits as B
@@ -36,8 +36,14 @@ class RunResult:
     counts: dict
 
 
-def _count(df: DataFrame) -> int:
-    return int(df.count())
+def _written(store: TableStore, df: DataFrame, table: str, how: str = "write",
+             metric=None) -> int:
+    """Write ``df`` and return its row count (or ``metric``) observed DURING
+    the write — an ``Observation``, not a second job over the table."""
+    obs = Observation()
+    metric = F.count(F.lit(1)) if metric is None else metric
+    getattr(store, how)(df.observe(obs, metric.alias("n")), table)
+    return int(obs.get["n"])
 
 
 def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
@@ -54,10 +60,9 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
 
     with step(spark, "extract_rh", run_id, log) as ctx:
         hr = BD.hr_file(table("customer"))
-        store.refresh(hr, "raw.employees")
+        ctx.rows_in = _written(store, hr, "raw.employees", "refresh")
         staged = ST.apply_geo(ST.stage_employees(store.read("raw.employees"), params), params)
-        store.refresh(staged, "staging.employees")
-        ctx.rows_in = ctx.rows_out = counts["employees"] = _count(store.read("staging.employees"))
+        ctx.rows_out = counts["employees"] = _written(store, staged, "staging.employees", "refresh")
     with step(spark, "check_employees", run_id, log):
         Q.run_gate("not_empty", store.read("staging.employees"))
 
@@ -67,21 +72,20 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         if store.exists("staging.sports_practice"):
             sports = M.insert_if_absent(store.read("staging.sports_practice"), sports,
                                         ["id_employee", "sport_pratique"])
-        store.write(sports, "staging.sports_practice")
-        ctx.rows_out = counts["sports"] = _count(store.read("staging.sports_practice"))
+        ctx.rows_out = counts["sports"] = _written(store, sports, "staging.sports_practice")
 
     with step(spark, "load_raw_activities", run_id, log) as ctx:
-        store.refresh(ST.build_payloads(BD.event_activity_fields(table("events"))), "raw.activities")
-        ctx.rows_out = counts["raw_activities"] = _count(store.read("raw.activities"))
+        docs = ST.build_payloads(BD.event_activity_fields(table("events")))
+        ctx.rows_out = counts["raw_activities"] = _written(store, docs, "raw.activities", "refresh")
     with step(spark, "check_raw_volume", run_id, log):
         Q.run_gate("min_volume", store.read("raw.activities"))
 
     with step(spark, "flatten_activities", run_id, log) as ctx:
         raw = store.read("raw.activities")
         ST.ensure_not_empty(raw, "raw.activities")
-        store.write(ST.flatten_payloads(raw, with_id=True), "staging.activities")
         ctx.rows_in = counts["raw_activities"]
-        ctx.rows_out = counts["activities"] = _count(store.read("staging.activities"))
+        ctx.rows_out = counts["activities"] = _written(
+            store, ST.flatten_payloads(raw, with_id=True), "staging.activities")
     with step(spark, "check_activities", run_id, log):
         Q.run_gate("same_count", store.read("raw.activities"), store.read("staging.activities"),
                    name="reconciliation")
@@ -113,8 +117,8 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
                                             F.to_json("new_data").alias("new_data")),
                              "audit.eligibility_changes")
                 new = M.upsert(before, new, ["id_employee"])
-            store.write(new, mart)
-        ctx.rows_out = counts["prime"] = _count(store.read("marts.eligibility_prime"))
+            counts[mart] = _written(store, new, mart)
+        ctx.rows_out = counts["prime"] = counts["marts.eligibility_prime"]
     with step(spark, "check_coverage", run_id, log):
         Q.run_gate("same_count", store.read("staging.employees"), store.read("marts.eligibility_prime"),
                    name="coverage")
@@ -128,10 +132,9 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         # undelivered messages also go to the JSON-lines outbox (SNK-5)
         N.append_outbox(store.read("audit.outbox").join(batch.select("id_activity"), "id_activity", "left_semi")
                         .select("payload", "error"), f"{store.root}/outbox_jsonl")
-        store.write(N.mark_posted(acts, store.read("audit.outbox").select("id_activity")),
-                    "staging.activities")
-        ctx.rows_out = counts["posted"] = _count(
-            store.read("staging.activities").filter(F.col("posted_to_slack")))
+        marked = N.mark_posted(acts, store.read("audit.outbox").select("id_activity"))
+        ctx.rows_out = counts["posted"] = _written(store, marked, "staging.activities",
+                                                   metric=F.count_if(F.col("posted_to_slack")))
     return RunResult(run_id, store, counts)
 
 

@@ -42,9 +42,15 @@ def test_entry_schema(spark):
     assert got["FURNITURE"] == (40, 10, 9, "25736.79", 45)
 
 
+# Operators a plan must never contain: pair-producing joins and per-row Python.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF0001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan], plan
     s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
     res = con.execute(E.oracle_sql()[name])
     d_cols, d_rows = canon([d[0] for d in res.description], res.fetchall())
