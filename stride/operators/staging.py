@@ -48,10 +48,19 @@ def stage_employees(hr: DataFrame, params: BenefitParams,
 
 
 def apply_geo(employees: DataFrame, params: BenefitParams,
-              distance_col: str = "distance_resolved_m") -> DataFrame:
+              distance_col: str = "distance_resolved_m",
+              fallback: "F.Column | None" = None) -> DataFrame:
     """PRJ-19: set ``distance_domicile_m`` and ``is_declaration_suspect`` from a
-    resolved distance column (NULL = unresolved)."""
-    dist, suspect = C.plausibility("moyen_deplacement", distance_col,
+    resolved distance column (NULL = unresolved).
+
+    ``fallback`` (optional) is used where the distance is unresolved, e.g. the
+    great-circle distance ``columns.haversine_m`` from home coordinates; by
+    default an unresolved distance stays NULL and the declaration is suspect.
+    """
+    d = F.col(distance_col)
+    if fallback is not None:
+        d = F.coalesce(d, fallback)
+    dist, suspect = C.plausibility("moyen_deplacement", d,
                                    params.walking_max_km, params.cycling_max_km)
     return employees.withColumns({"distance_domicile_m": dist, "is_declaration_suspect": suspect})
 

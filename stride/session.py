@@ -64,6 +64,10 @@ def ensure_work_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(existing)
         return existing.rstrip("/")
+    if not sc.master.startswith("local"):
+        # a cluster needs a folder every executor and the driver share
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                           "(e.g. on HDFS or an object store) for tables, checkpoints and stream state")
     app = sc.applicationId
     if app not in _LOCAL_WORK:
         local = tempfile.mkdtemp(prefix="stride-work-")

@@ -88,3 +88,17 @@ def test_salary_band(spark):
     df = spark.createDataFrame([(29999.99,), (30000.0,), (79999.0,), (80000.0,), (None,)], "s double")
     got = [r.b for r in df.select(C.salary_band("s").alias("b")).collect()]
     assert got == ["< 30k", "30-50k", "50-80k", "> 80k", "> 80k"]
+
+
+def test_geo_fallback(spark):
+    from stride.operators import staging as ST
+    from stride.params import BenefitParams
+    df = spark.createDataFrame([(1, "Marche/running", None, 43.5667, 3.9), (2, "Marche/running", None, 48.8566, 2.3522)],
+                               "id long, moyen_deplacement string, d int, la double, lo double")
+    p = BenefitParams()
+    plain = {r.id: (r.distance_domicile_m, r.is_declaration_suspect) for r in ST.apply_geo(df, p, "d").collect()}
+    assert plain == {1: (None, True), 2: (None, True)}
+    fb = C.haversine_m("la", "lo", 43.5667, 3.9)
+    got = {r.id: (r.distance_domicile_m, r.is_declaration_suspect)
+           for r in ST.apply_geo(df, p, "d", fallback=fb).collect()}
+    assert got[1] == (0, False) and got[2][1] is True and got[2][0] > 500_000
