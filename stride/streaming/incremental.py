@@ -10,10 +10,10 @@ STR-1  Raw activity documents land as JSON-lines files; a file-source
 
 STR-2  Idempotent delivery: each micro-batch of pending activities drops
        the ids already delivered (anti join on the delivered-id table),
-       renders the rest, appends them to the outbox tagged with the stream's
-       batch tag, then records the ids.  A replayed batch (same batch id, after a
-       failure between the two writes) first removes its own earlier outbox
-       rows, so every activity is emitted exactly once.
+       renders the rest, writes them to the outbox partition of the batch's
+       tag, then records the ids in the same tag's partition.  A replayed
+       batch (same tag, after a failure between the writes) replaces only
+       its own partitions, so every activity is emitted exactly once.
 
 Both streams keep their progress in a checkpoint folder under the shared
 work folder, so a restarted driver or lost executors resume from the last
@@ -21,6 +21,7 @@ committed batch.
 """
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,10 +94,12 @@ def deliver_batch(batch: DataFrame, tag: str, employees: DataFrame, store: Table
                   channel: str = "#sport", error: str = "no webhook configured") -> None:
     """One STR-2 micro-batch, identified by ``tag`` (stream + batch id).
 
-    Ids delivered by OTHER batches are dropped (anti join); the rest are
-    rendered and replace this tag's earlier outbox rows, then the tag's ids
-    replace its earlier delivered-id rows.  Replaying a tag after a failure
-    at any point therefore leaves each activity in the outbox exactly once.
+    Ids delivered by OTHER batches are dropped (anti join on the delivered
+    ids, one column read); the rest are rendered.  Outbox and delivered ids
+    are partitioned by ``batch_tag``, and a batch replaces only its own
+    partition (dynamic partition overwrite) — first the outbox, then the
+    ids.  Replaying a tag after a failure at any point leaves each activity
+    in the outbox exactly once, and no batch rewrites earlier batches' rows.
     """
     todo = batch
     if store.exists(DELIVERED):
@@ -104,17 +107,21 @@ def deliver_batch(batch: DataFrame, tag: str, employees: DataFrame, store: Table
         todo = todo.join(others.select("id_activity"), "id_activity", "left_anti")
     msgs = N.render_messages(todo, employees)
     records = N.outbox_records(msgs, channel, error).withColumn("batch_tag", F.lit(tag))
-    if store.exists(OUTBOX):
-        kept = store.read(OUTBOX).filter(F.col("batch_tag") != F.lit(tag))
-        store.write(kept.unionByName(records), OUTBOX)
-    else:
-        store.write(records, OUTBOX)
-    ids = store.read(OUTBOX).filter(F.col("batch_tag") == F.lit(tag)).select("id_activity", "batch_tag")
-    if store.exists(DELIVERED):
-        kept = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
-        store.write(kept.unionByName(ids), DELIVERED)
-    else:
-        store.write(ids, DELIVERED)
+    # stage the batch once: the outbox and the id list are both written from it
+    staged_path = work_path(batch.sparkSession, "tmp", f"deliver-{uuid.uuid4().hex}")
+    records.write.parquet(staged_path)
+    staged = batch.sparkSession.read.parquet(staged_path)
+    if staged.isEmpty():
+        store.drop_partitions(OUTBOX, "batch_tag", [tag])
+        store.drop_partitions(DELIVERED, "batch_tag", [tag])
+        return
+    store.overwrite_partitions(staged, OUTBOX, "batch_tag")
+    store.overwrite_partitions(staged.select("id_activity", "batch_tag"), DELIVERED, "batch_tag")
+
+
+def batch_tag(checkpoint: str, batch_id: int) -> str:
+    """A path-safe tag for (stream, batch): checkpoint digest + batch id."""
+    return f"{hashlib.sha1(checkpoint.encode()).hexdigest()[:16]}-{batch_id}"
 
 
 def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: DataFrame,
@@ -127,7 +134,7 @@ def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: D
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        deliver_batch(batch, f"{checkpoint}#{batch_id}", employees, store, channel, error)
+        deliver_batch(batch, batch_tag(checkpoint, batch_id), employees, store, channel, error)
 
     return (activities.writeStream.foreachBatch(deliver)
             .option("checkpointLocation", checkpoint)

@@ -30,15 +30,15 @@ def test_delivery_replay_is_exactly_once(spark):
     store = TableStore(spark, tempfile.mkdtemp(prefix="str2-"))
     acts = I.event_activities.withColumnRenamed("source_activity_id", "id_activity")
     first, second = acts.filter(F.col("id_activity") % 2 == 0), acts.filter(F.col("id_activity") % 2 == 1)
-    STR.deliver_batch(first, "s#0", I.employees, store)
-    STR.deliver_batch(first, "s#0", I.employees, store)      # replay of the same batch
-    STR.deliver_batch(acts, "s#1", I.employees, store)       # overlaps what was delivered
-    STR.deliver_batch(acts, "other#0", I.employees, store)   # a fresh stream over everything
+    STR.deliver_batch(first, "s-0", I.employees, store)
+    STR.deliver_batch(first, "s-0", I.employees, store)      # replay of the same batch
+    STR.deliver_batch(acts, "s-1", I.employees, store)       # overlaps what was delivered
+    STR.deliver_batch(acts, "other-0", I.employees, store)   # a fresh stream over everything
     out = store.read(STR.OUTBOX)
     n = acts.count()
     assert out.count() == n
     assert out.select("id_activity").distinct().count() == n
-    assert out.filter(F.col("batch_tag") == "other#0").count() == 0
+    assert out.filter(F.col("batch_tag") == "other-0").count() == 0
     assert second.join(out, "id_activity", "left_anti").count() == 0
 
 
