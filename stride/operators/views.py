@@ -219,3 +219,16 @@ def slice_detail(detail: DataFrame, bu: str | None = None, eligible: bool | None
     if eligible is not None:
         out = out.filter(F.col("eligible") == F.lit(bool(eligible)))
     return out
+
+
+def row_counts(df: DataFrame, predicate: F.Column, name: str = "filtered") -> DataFrame:
+    """AGG-6: total and filtered row counts in one pass."""
+    return df.agg(F.count(F.lit(1)).alias("total"), F.count_if(predicate).alias(name))
+
+
+def by_ids(df: DataFrame, key: str, ids) -> DataFrame:
+    """PRJ-28: rows whose key is in ``ids`` — a left semi join when ``ids`` is
+    a DataFrame (any size), ``isin`` for a short literal list."""
+    if isinstance(ids, DataFrame):
+        return df.join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_semi")
+    return df.filter(F.col(key).isin(list(ids)))

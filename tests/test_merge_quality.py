@@ -96,3 +96,11 @@ def test_gates_and_dispatch(spark):
     with pytest.raises(KeyError):
         Q.run_gate("no_such_check", df)
     assert Q.run_gate("same_count", df, spark.range(3), name="c").first().success
+
+
+def test_by_ids_list_and_frame(spark):
+    from stride.operators import views as V
+    df = spark.range(10).withColumnRenamed("id", "k")
+    assert sorted(r.k for r in V.by_ids(df, "k", [1, 3, 99]).collect()) == [1, 3]
+    ids = spark.createDataFrame([(2,), (4,), (4,)], "x long")
+    assert sorted(r.k for r in V.by_ids(df, "k", ids).collect()) == [2, 4]
