@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -107,16 +107,16 @@ def deliver_batch(batch: DataFrame, tag: str, employees: DataFrame, store: Table
         todo = todo.join(others.select("id_activity"), "id_activity", "left_anti")
     msgs = N.render_messages(todo, employees)
     records = N.outbox_records(msgs, channel, error).withColumn("batch_tag", F.lit(tag))
-    # stage the batch once: the outbox and the id list are both written from it
-    staged_path = work_path(batch.sparkSession, "tmp", f"deliver-{uuid.uuid4().hex}")
-    records.write.parquet(staged_path)
-    staged = batch.sparkSession.read.parquet(staged_path)
-    if staged.isEmpty():
+    # the outbox partition is written once, counted while it is written
+    obs = Observation()
+    store.overwrite_partitions(records.observe(obs, F.count(F.lit(1)).alias("n")), OUTBOX, "batch_tag")
+    if int(obs.get["n"]) == 0:
+        # nothing left to send: a stale partition of an earlier attempt goes
         store.drop_partitions(OUTBOX, "batch_tag", [tag])
         store.drop_partitions(DELIVERED, "batch_tag", [tag])
         return
-    store.overwrite_partitions(staged, OUTBOX, "batch_tag")
-    store.overwrite_partitions(staged.select("id_activity", "batch_tag"), DELIVERED, "batch_tag")
+    ids = store.read(OUTBOX).filter(F.col("batch_tag") == F.lit(tag)).select("id_activity", "batch_tag")
+    store.overwrite_partitions(ids, DELIVERED, "batch_tag")
 
 
 def batch_tag(checkpoint: str, batch_id: int) -> str:
