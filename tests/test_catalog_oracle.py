@@ -57,3 +57,12 @@ def test_query_matches_oracle(spark, con, name):
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
+
+
+def test_flagship_plan_prunes_and_pushes(spark):
+    plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    # the trailing-window filter reaches the orders scan, which reads two columns
+    assert "GreaterThanOrEqual(o_orderdate" in plan
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    # the customer scan reads only what the KPI needs (no name, no address)
+    assert "c_name" not in plan
