@@ -67,10 +67,16 @@ class Inputs:
         return ST.build_payloads(self.event_fields)
 
     @cached_property
-    def event_activities(self) -> DataFrame:
-        """Flattened event documents (PRJ-9/10), without surrogate id."""
+    def flattened_documents(self) -> DataFrame:
+        """The raw documents through the flatten operator (PRJ-9/10)."""
         return ST.flatten_payloads(self.raw_documents)
 
+    @cached_property
+    def event_activities(self) -> DataFrame:
+        """Staging activities of the event documents, as the staging table
+        holds them (equal to ``flattened_documents``; no JSON round trip)."""
+        return BD.event_staging(self.table("events"))
+
     # -- sports, run log --------------------------------------------------------
     @cached_property
     def sport_rows(self) -> DataFrame:

@@ -142,6 +142,25 @@ def event_activity_fields(events: DataFrame) -> DataFrame:
     )
 
 
+def event_staging(events: DataFrame) -> DataFrame:
+    """Staging activities of the event documents, read as the staging table
+    holds them: the same rows ``flatten_payloads(build_payloads(...))``
+    produces (that round trip is checked against this projection), without
+    rebuilding and re-parsing the JSON for every query that reads them."""
+    f = event_activity_fields(events)
+    return f.select(
+        F.col("activity_id").alias("source_activity_id"),
+        F.col("athlete_id").alias("id_employee"),
+        F.col("start").alias("start_dt"),
+        C.plus_seconds(F.col("start"), F.col("elapsed_time")).alias("end_dt"),
+        F.col("sport").alias("sport_type"),
+        F.col("distance").cast("int").alias("distance_m"),
+        F.col("moving_time").cast("int").alias("moving_time_s"),
+        F.col("comment"),
+        F.lit(False).alias("posted_to_slack"),
+    )
+
+
 def sport_file(events: DataFrame) -> DataFrame:
     """Sport file rows: (id_salarie, sport_pratique), one per event (duplicates kept)."""
     declared = F.try_element_at(C.literal_map(EVENT_DECLARED_SPORT), F.col("event_type"))

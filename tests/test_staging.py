@@ -94,3 +94,12 @@ def test_stage_employees_types(spark):
     assert types["date_naissance"] == "date" and types["jours_cp"] == "int"
     modes = {r.moyen_deplacement for r in st.select("moyen_deplacement").distinct().collect()}
     assert modes <= set(S.TRANSPORT_MODES)
+
+
+def test_flatten_round_trip_equals_staging_binding(spark):
+    from stride.plans.inputs import Inputs
+    from tests.conftest import SF0001
+    I = Inputs(spark, SF0001)
+    a, b = I.flattened_documents, I.event_activities
+    assert a.count() == b.count()
+    assert a.exceptAll(b.select(*a.columns)).count() == 0

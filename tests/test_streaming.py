@@ -20,7 +20,7 @@ def test_incremental_flatten_equals_batch(spark):
     q = STR.incremental_flatten(spark, f"{root}/landing", store, f"{root}/ckpt")
     q.awaitTermination()
     got = store.read(STR.STAGING).drop("start_day")
-    want = I.event_activities
+    want = I.event_activities  # the direct projection: stream == batch == binding
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
 
