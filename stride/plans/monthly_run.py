@@ -84,8 +84,10 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         raw = store.read("raw.activities")
         ST.ensure_not_empty(raw, "raw.activities")
         ctx.rows_in = counts["raw_activities"]
+        flat = ST.flatten_payloads(raw, with_id=True).withColumn("start_day", F.to_date("start_dt"))
+        # partitioned by start day: marking posted activities rewrites only their days
         ctx.rows_out = counts["activities"] = _written(
-            store, ST.flatten_payloads(raw, with_id=True), "staging.activities")
+            store, flat, "staging.activities", "write_by_day")
     with step(spark, "check_activities", run_id, log):
         Q.run_gate("same_count", store.read("raw.activities"), store.read("staging.activities"),
                    name="reconciliation")
@@ -126,15 +128,18 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
     with step(spark, "notify", run_id, log) as ctx:
         acts = store.read("staging.activities")
         msgs = N.render_messages(acts, store.read("staging.employees"))
-        batch = msgs.orderBy(F.desc("start_dt"), "id_activity").limit(post_limit)
+        # the delivery batch (at most post_limit rows) is written once, then reused
+        batch_path = work_path(spark, "tmp", f"{run_id}-notify-batch")
+        msgs.orderBy(F.desc("start_dt"), "id_activity").limit(post_limit).write.mode("overwrite") \
+            .parquet(batch_path)
+        batch = spark.read.parquet(batch_path)
         records = N.outbox_records(batch, "#sport", "no webhook configured")
-        store.append(records, "audit.outbox")
+        ctx.rows_out = counts["posted"] = _written(store, records, "audit.outbox", "append")
         # undelivered messages also go to the JSON-lines outbox (SNK-5)
-        N.append_outbox(store.read("audit.outbox").join(batch.select("id_activity"), "id_activity", "left_semi")
-                        .select("payload", "error"), f"{store.root}/outbox_jsonl")
-        marked = N.mark_posted(acts, store.read("audit.outbox").select("id_activity"))
-        ctx.rows_out = counts["posted"] = _written(store, marked, "staging.activities",
-                                                   metric=F.count_if(F.col("posted_to_slack")))
+        N.append_outbox(records.select("payload", "error"), f"{store.root}/outbox_jsonl")
+        days = [r[0] for r in batch.select(F.to_date("start_dt")).distinct().collect()]  # <= post_limit
+        store.rewrite_partitions("staging.activities", "start_day", days,
+                                 lambda current: N.mark_posted(current, batch.select("id_activity")))
     return RunResult(run_id, store, counts)
 
 

@@ -11,9 +11,11 @@ new version.  The root defaults to ``tables`` under the shared work folder
 """
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import work_path
@@ -94,6 +96,10 @@ class TableStore:
         w.parquet(path)
         return path
 
+    def write_by_day(self, df: DataFrame, qualified: str, day_col: str = "start_day") -> str:
+        """A full refresh partitioned by a day column."""
+        return self.write(df, qualified, partition_by=[day_col])
+
     def append(self, df: DataFrame, qualified: str) -> str:
         """SNK-7: append rows to the current version (first append creates it)."""
         path = self.current_path(qualified)
@@ -123,6 +129,25 @@ class TableStore:
             if fs.exists(p):
                 fs.delete(p, True)
 
+    def rewrite_partitions(self, qualified: str, partition_col: str, values: Sequence,
+                           change: Callable[[DataFrame], DataFrame]) -> None:
+        """Rewrite only the partitions ``values`` of a partitioned table:
+        ``change`` maps their current rows to the new rows (which must stay
+        inside ``values``).  The result is staged in the work folder first (a
+        job never overwrites what it reads), then swapped in by dynamic
+        partition overwrite; partitions left without rows are removed.
+        ``values`` is a bounded list (the partitions one batch touches)."""
+        values = list(values)
+        if not values:
+            return
+        current = self.read(qualified).filter(F.col(partition_col).isin(values))
+        staged_path = work_path(self.spark, "tmp", f"rewrite-{uuid.uuid4().hex}")
+        change(current).write.partitionBy(partition_col).parquet(staged_path)
+        staged = self.spark.read.parquet(staged_path)
+        kept = {str(r[0]) for r in staged.select(partition_col).distinct().collect()}
+        self.overwrite_partitions(staged, qualified, partition_col)
+        self.drop_partitions(qualified, partition_col, [v for v in values if str(v) not in kept])
+
     def empty(self, qualified: str, schema: T.StructType) -> str:
         return self.write(self.spark.createDataFrame([], schema), qualified)
 

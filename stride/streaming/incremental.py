@@ -65,15 +65,8 @@ def merge_flat_batch(spark: SparkSession, flat: DataFrame, store: TableStore,
     keys = flat.select(key).distinct()
     moved = table.select(key, day_col).join(keys, key, "left_semi").select(day_col)
     days = [r[0] for r in flat.select(day_col).union(moved).distinct().collect()]
-    current = table.filter(F.col(day_col).isin(days))
-    merged = M.upsert(current, flat.select(*table.columns), [key])
-    staged_path = work_path(spark, "tmp", f"stage-{uuid.uuid4().hex}")
-    merged.write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    store.overwrite_partitions(staged, STAGING, day_col)
-    # days whose every row moved away are not in the staged output: drop them
-    kept = {r[0] for r in staged.select(day_col).distinct().collect()}
-    store.drop_partitions(STAGING, day_col, [d for d in days if d not in kept])
+    store.rewrite_partitions(STAGING, day_col, days,
+                             lambda current: M.upsert(current, flat.select(*table.columns), [key]))
 
 
 def incremental_flatten(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,

@@ -19,6 +19,8 @@ def test_monthly_run_and_logs(spark):
     assert store.read("marts.eligibility_wellbeing").count() == n
     assert res.counts["activities"] == res.counts["raw_activities"] > 0
     assert res.counts["posted"] == 50
+    assert store.read("staging.activities").filter(F.col("posted_to_slack")).count() == 50
+    assert store.read("staging.activities").count() == res.counts["activities"]
     outbox = spark.read.json(f"{store.root}/outbox_jsonl")
     assert outbox.count() == 50 and set(outbox.columns) == {"payload", "error"}
     log = store.read("audit.run_log")
