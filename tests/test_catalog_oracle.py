@@ -42,6 +42,9 @@ def test_entry_schema(spark):
     assert got["FURNITURE"] == (40, 10, 9, "25736.79", 45)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+
 # Operators a plan must never contain: pair-producing joins and per-row Python.
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
@@ -52,6 +55,10 @@ def test_query_matches_oracle(spark, con, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [op for op in FORBIDDEN if op in plan], plan
     s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t).replace(" ", "") for t in rel.types]))
+    for col, t in df.dtypes:  # same column types on both sides
+        assert SPARK_TO_DUCK.get(t, t.upper().replace(" ", "")) == duck_types.get(col), (col, t, duck_types)
     res = con.execute(E.oracle_sql()[name])
     d_cols, d_rows = canon([d[0] for d in res.description], res.fetchall())
     assert s_cols == d_cols
