@@ -1,4 +1,5 @@
-"""E1 — the full benefit run as one Spark driver function.
+"""E1 — the full benefit run as one Spark driver function (11 monitored steps
+with the four named checks of the source system).
 
 ``run(spark, sf_dir, params)`` chains the steps of the monthly run:
 raw HR and sport files -> staging (typed, normalised, pseudonymised, geo
@@ -63,7 +64,7 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         ctx.rows_in = _written(store, hr, "raw.employees", "refresh")
         staged = ST.apply_geo(ST.stage_employees(store.read("raw.employees"), params), params)
         ctx.rows_out = counts["employees"] = _written(store, staged, "staging.employees", "refresh")
-    with step(spark, "check_employees", run_id, log):
+    with step(spark, "check_employees_loaded", run_id, log):
         Q.run_gate("not_empty", store.read("staging.employees"))
 
     with step(spark, "extract_sport", run_id, log) as ctx:
@@ -73,13 +74,12 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
             sports = M.insert_if_absent(store.read("staging.sports_practice"), sports,
                                         ["id_employee", "sport_pratique"])
         ctx.rows_out = counts["sports"] = _written(store, sports, "staging.sports_practice")
+    with step(spark, "check_sports_practice_loaded", run_id, log):
+        Q.run_gate("not_empty", store.read("staging.sports_practice"))
 
     with step(spark, "load_raw_activities", run_id, log) as ctx:
         docs = ST.build_payloads(BD.event_activity_fields(table("events")))
         ctx.rows_out = counts["raw_activities"] = _written(store, docs, "raw.activities", "refresh")
-    with step(spark, "check_raw_volume", run_id, log):
-        Q.run_gate("min_volume", store.read("raw.activities"))
-
     with step(spark, "flatten_activities", run_id, log) as ctx:
         raw = store.read("raw.activities")
         ST.ensure_not_empty(raw, "raw.activities")
@@ -88,7 +88,8 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         # partitioned by start day: marking posted activities rewrites only their days
         ctx.rows_out = counts["activities"] = _written(
             store, flat, "staging.activities", "write_by_day")
-    with step(spark, "check_activities", run_id, log):
+    with step(spark, "check_activities_generated", run_id, log):
+        Q.run_gate("min_volume", store.read("raw.activities"))
         Q.run_gate("same_count", store.read("raw.activities"), store.read("staging.activities"),
                    name="reconciliation")
         Q.run_gate("no_future", store.read("staging.activities"), "start_dt", params.as_of)
@@ -121,9 +122,9 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
                 new = M.upsert(before, new, ["id_employee"])
             counts[mart] = _written(store, new, mart)
         ctx.rows_out = counts["prime"] = counts["marts.eligibility_prime"]
-    with step(spark, "check_coverage", run_id, log):
-        Q.run_gate("same_count", store.read("staging.employees"), store.read("marts.eligibility_prime"),
-                   name="coverage")
+    with step(spark, "check_advantages_computed", run_id, log):
+        for mart in ("marts.eligibility_prime", "marts.eligibility_wellbeing"):
+            Q.run_gate("same_count", store.read("staging.employees"), store.read(mart), name="coverage")
 
     with step(spark, "notify", run_id, log) as ctx:
         acts = store.read("staging.activities")
