@@ -69,7 +69,9 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
 
     with step(spark, "extract_sport", run_id, log) as ctx:
         employees = store.read("staging.employees")
-        sports = ST.stage_sports(BD.sport_file(table("events")), employees)
+        # 1:1 raw copy of the sport file, then the staged practice rows
+        ctx.rows_in = _written(store, BD.sport_file(table("events")), "raw.sports", "refresh")
+        sports = ST.stage_sports(store.read("raw.sports"), employees)
         if store.exists("staging.sports_practice"):
             sports = M.insert_if_absent(store.read("staging.sports_practice"), sports,
                                         ["id_employee", "sport_pratique"])
