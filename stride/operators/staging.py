@@ -108,7 +108,8 @@ def rejected_documents(raw: DataFrame) -> DataFrame:
             .filter(F.size("bad_fields") > 0))
 
 
-def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True) -> DataFrame:
+def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True,
+                     scratch_dir: str | None = None) -> DataFrame:
     """PRJ-9/10: typed projection of the JSON activity documents.
 
     start_dt is the UTC instant of ``start_date`` (wall clock, NTZ);
@@ -131,7 +132,8 @@ def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True)
         F.lit(False).alias("posted_to_slack"),
     )
     if with_id:
-        out = surrogate_key(out, ["start_dt", "source_activity_id"], "id_activity")
+        out = surrogate_key(out, ["start_dt", "source_activity_id"], "id_activity",
+                            scratch_dir=scratch_dir)
     return out
 
 
@@ -180,7 +182,7 @@ def stage_sports(sport_rows: DataFrame, employees: DataFrame) -> DataFrame:
 # -- SRT-1: surrogate key in a global order ------------------------------------
 
 def surrogate_key(df: DataFrame, order_cols: list[str], name: str = "id",
-                  start: int = 1) -> DataFrame:
+                  start: int = 1, scratch_dir: str | None = None) -> DataFrame:
     """Dense 1-based row number in ``order_cols`` order, without a one-partition window.
 
     Range-partition by the order and sort inside each partition; the
@@ -202,7 +204,8 @@ def surrogate_key(df: DataFrame, order_cols: list[str], name: str = "id",
                 .withColumns({"_pid": F.shiftright("_mid", 33),
                               "_rn": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1})
                 .drop("_mid"))
-    path = work_path(df.sparkSession, "tmp", f"surrogate-{uuid.uuid4().hex}")
+    base = scratch_dir or work_path(df.sparkSession, "tmp")
+    path = f"{base.rstrip('/')}/surrogate-{uuid.uuid4().hex}"
     numbered.write.parquet(path)
     numbered = df.sparkSession.read.parquet(path)
     counts = numbered.groupBy("_pid").agg(F.max("_rn").alias("_n"))

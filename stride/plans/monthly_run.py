@@ -55,6 +55,8 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
     run_id = params.run_id
     log = lambda df: store.append(df, "audit.run_log")
     counts: dict[str, int] = {}
+    # scratch data of this run (numbered rows, the delivery batch); removed at the end
+    scratch = work_path(spark, "tmp", f"run-{run_id}")
 
     def table(name: str) -> DataFrame:
         return BD.table(spark, sf_dir, name)
@@ -86,7 +88,8 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         raw = store.read("raw.activities")
         ST.ensure_not_empty(raw, "raw.activities")
         ctx.rows_in = counts["raw_activities"]
-        flat = ST.flatten_payloads(raw, with_id=True).withColumn("start_day", F.to_date("start_dt"))
+        flat = ST.flatten_payloads(raw, with_id=True, scratch_dir=scratch) \
+            .withColumn("start_day", F.to_date("start_dt"))
         # partitioned by start day: marking posted activities rewrites only their days
         ctx.rows_out = counts["activities"] = _written(
             store, flat, "staging.activities", "write_by_day")
@@ -132,7 +135,7 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         acts = store.read("staging.activities")
         msgs = N.render_messages(acts, store.read("staging.employees"))
         # the delivery batch (at most post_limit rows) is written once, then reused
-        batch_path = work_path(spark, "tmp", f"{run_id}-notify-batch")
+        batch_path = f"{scratch}/notify-batch"
         msgs.orderBy(F.desc("start_dt"), "id_activity").limit(post_limit).write.mode("overwrite") \
             .parquet(batch_path)
         batch = spark.read.parquet(batch_path)
@@ -143,6 +146,7 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         days = [r[0] for r in batch.select(F.to_date("start_dt")).distinct().collect()]  # <= post_limit
         store.rewrite_partitions("staging.activities", "start_day", days,
                                  lambda current: N.mark_posted(current, batch.select("id_activity")))
+    store.delete_path(scratch)
     return RunResult(run_id, store, counts)
 
 

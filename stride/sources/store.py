@@ -147,6 +147,13 @@ class TableStore:
         kept = {str(r[0]) for r in staged.select(partition_col).distinct().collect()}
         self.overwrite_partitions(staged, qualified, partition_col)
         self.drop_partitions(qualified, partition_col, [v for v in values if str(v) not in kept])
+        self.delete_path(staged_path)  # swapped in: the staged copy is no longer read
+
+    def delete_path(self, path: str) -> None:
+        """Remove a scratch folder this library wrote (never a table version)."""
+        fs, p = self._fs(path)
+        if fs.exists(p):
+            fs.delete(p, True)
 
     def empty(self, qualified: str, schema: T.StructType) -> str:
         return self.write(self.spark.createDataFrame([], schema), qualified)
