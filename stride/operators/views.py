@@ -39,9 +39,11 @@ def kpi_by_bu(employees: DataFrame, prime: DataFrame, wellbeing: DataFrame) -> D
     """JON-4 + AGG-2: unit KPI over two left joins onto the employee key.
 
     ``COUNT(DISTINCT id) FILTER (...)`` is computed as a group by
-    (bu, id) followed by a group by bu: the join output is already hash
-    partitioned on the id, so the first aggregate needs no exchange and the
-    second one shuffles one partial row per unit — no Expand of the input.
+    (bu, id) followed by a group by bu: the first aggregate dedupes employee
+    rows (partially, before its shuffle), the second shuffles one partial
+    row per unit and task — no Expand of the input for the three distinct
+    counts.  ``kpi_by_bu_fused`` avoids the joins altogether when the marts
+    are computed on the employee row.
     """
     p = prime.select("id_employee", F.col("is_eligible").alias("p_elig"), "prime_amount")
     w = wellbeing.select("id_employee", F.col("is_eligible").alias("w_elig"), "days_granted")
