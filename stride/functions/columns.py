@@ -156,7 +156,8 @@ def salary_band(salary: ColumnOrName) -> Column:
 # -- PRJ-8 / PRJ-10 / PRJ-11: time -----------------------------------------
 
 def as_instant(ts: ColumnOrName) -> Column:
-    """A wall-clock UTC timestamp (NTZ or LTZ) as an instant (session zone UTC)."""
+    """A wall-clock UTC timestamp (NTZ or LTZ) as an instant.  Requires the
+    session zone UTC (``session.configure``), which every entry point sets."""
     return _c(ts).cast("timestamp")
 
 

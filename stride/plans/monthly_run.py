@@ -22,7 +22,7 @@ from ..operators import notify as N
 from ..operators import quality as Q
 from ..operators import staging as ST
 from ..params import BenefitParams
-from ..session import work_path
+from ..session import configure, work_path
 from ..sources import bindings as BD
 from ..sources.store import TableStore
 from .catalog import activity_rules, employee_rules
@@ -50,6 +50,7 @@ def _written(store: TableStore, df: DataFrame, table: str, how: str = "write",
 def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         store: TableStore | None = None, post_limit: int = 50,
         report_dir: str | None = None, fail_on_quality: bool = True) -> RunResult:
+    configure(spark)  # UTC session zone: wall-clock UTC timestamps throughout
     params = params or BenefitParams(run_id=new_run_id())
     store = store or TableStore(spark)
     run_id = params.run_id
