@@ -109,7 +109,7 @@ def rejected_documents(raw: DataFrame) -> DataFrame:
 
 
 def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True,
-                     scratch_dir: str | None = None) -> DataFrame:
+                     scratch_dir: str | None = None, id_start: int = 1) -> DataFrame:
     """PRJ-9/10: typed projection of the JSON activity documents.
 
     start_dt is the UTC instant of ``start_date`` (wall clock, NTZ);
@@ -133,7 +133,7 @@ def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True,
     )
     if with_id:
         out = surrogate_key(out, ["start_dt", "source_activity_id"], "id_activity",
-                            scratch_dir=scratch_dir)
+                            start=id_start, scratch_dir=scratch_dir)
     return out
 
 

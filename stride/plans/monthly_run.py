@@ -30,6 +30,25 @@ from .inputs import EVENTS_AS_OF
 from .monitor import new_run_id, step
 
 
+ACTIVITY_SEQUENCE = "staging.activities.id_activity"
+SEQUENCE_SCHEMA = "name string, last_value long, run_id string"
+
+
+def next_sequence_value(store: TableStore, name: str) -> int:
+    """Next value of an identity sequence kept in ``audit.sequences`` (one
+    small row per allocation; read as a one-row aggregate)."""
+    if not store.exists("audit.sequences"):
+        return 1
+    last = (store.read("audit.sequences").filter(F.col("name") == F.lit(name))
+            .agg(F.max("last_value")).first()[0])
+    return 1 if last is None else int(last) + 1
+
+
+def record_sequence_value(store: TableStore, name: str, last_value: int, run_id: str) -> None:
+    row = store.spark.createDataFrame([(name, int(last_value), run_id)], SEQUENCE_SCHEMA)
+    store.append(row, "audit.sequences")
+
+
 @dataclass
 class RunResult:
     run_id: str
@@ -89,11 +108,14 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         raw = store.read("raw.activities")
         ST.ensure_not_empty(raw, "raw.activities")
         ctx.rows_in = counts["raw_activities"]
-        flat = ST.flatten_payloads(raw, with_id=True, scratch_dir=scratch) \
+        # ids continue the identity sequence across reloads (it survives truncation)
+        first_id = next_sequence_value(store, ACTIVITY_SEQUENCE)
+        flat = ST.flatten_payloads(raw, with_id=True, scratch_dir=scratch, id_start=first_id) \
             .withColumn("start_day", F.to_date("start_dt"))
         # partitioned by start day: marking posted activities rewrites only their days
         ctx.rows_out = counts["activities"] = _written(
             store, flat, "staging.activities", "write_by_day")
+        record_sequence_value(store, ACTIVITY_SEQUENCE, first_id + ctx.rows_out - 1, run_id)
     with step(spark, "check_activities_generated", run_id, log):
         Q.run_gate("min_volume", store.read("raw.activities"))
         Q.run_gate("same_count", store.read("raw.activities"), store.read("staging.activities"),

@@ -32,3 +32,6 @@ def test_monthly_run_and_logs(spark):
     assert ch.filter(F.col("operation") == "INSERT").count() == 2 * n
     assert store.read("audit.run_log").select("run_id").distinct().count() == 2
     assert len(store.versions("marts.eligibility_prime")) >= 3
+    # the activity ids continue the sequence across the reload
+    ids = store.read("staging.activities").agg(F.min("id_activity"), F.max("id_activity")).first()
+    assert (ids[0], ids[1]) == (res.counts["activities"] + 1, 2 * res.counts["activities"])
