@@ -32,3 +32,19 @@ def test_hot_employee(spark):
     msgs = N.render_messages(acts, emps)
     assert msgs.count() == n
     assert msgs.filter("id_employee = 7").count() == n // 3
+
+
+def test_surrogate_key_with_a_hot_timestamp(spark):
+    from pyspark.sql import Window
+
+    from stride.operators import staging as ST
+    n = 20_000
+    df = spark.range(n).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(AS_OF)).otherwise(
+            F.lit(AS_OF).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id") % 97))
+        .cast("timestamp_ntz").alias("t"))
+    got = ST.surrogate_key(df.repartition(9), ["t", "k"], "sid")
+    want = df.withColumn("sid", F.row_number().over(Window.orderBy("t", "k")))
+    assert got.count() == n
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
