@@ -68,7 +68,12 @@ def _written(store: TableStore, df: DataFrame, table: str, how: str = "write",
 
 def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         store: TableStore | None = None, post_limit: int = 50,
-        report_dir: str | None = None, fail_on_quality: bool = True) -> RunResult:
+        report_dir: str | None = None, fail_on_quality: bool = True,
+        mark_undelivered: bool = True) -> RunResult:
+    """One monthly run.  No message is actually sent (there is no chat
+    service here): every rendered message goes to the outbox as undelivered
+    and, as in the source system, is still marked posted unless
+    ``mark_undelivered`` is False."""
     configure(spark)  # UTC session zone: wall-clock UTC timestamps throughout
     params = params or BenefitParams(run_id=new_run_id())
     store = store or TableStore(spark)
@@ -167,6 +172,8 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         # undelivered messages also go to the JSON-lines outbox (SNK-5)
         N.append_outbox(records.select("payload", "error"), f"{store.root}/outbox_jsonl")
         days = [r[0] for r in batch.select(F.to_date("start_dt")).distinct().collect()]  # <= post_limit
+        if not mark_undelivered:
+            days = []
         store.rewrite_partitions("staging.activities", "start_day", days,
                                  lambda current: N.mark_posted(current, batch.select("id_activity")))
     store.delete_path(scratch)
