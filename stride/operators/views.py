@@ -207,10 +207,12 @@ def step_durations(run_log: DataFrame) -> DataFrame:
 def share(by_category: DataFrame, category: str, measure: str) -> DataFrame:
     """AGG-12: share of each category.  The total is a scalar subquery (a
     one-row aggregate run once), so no task ever holds all categories the
-    way an unpartitioned window would."""
+    way an unpartitioned window would; it is projected once and then
+    referenced, so the plan holds one subquery."""
     total = by_category.agg(F.sum(measure)).scalar()
-    return by_category.select(category, measure,
-                              rounded_ratio(F.col(measure), total, 6, "decimal(8,6)").alias("part"))
+    with_total = by_category.select(category, measure, total.alias("_total"))
+    return with_total.select(category, measure,
+                             rounded_ratio(F.col(measure), F.col("_total"), 6, "decimal(8,6)").alias("part"))
 
 
 def slice_detail(detail: DataFrame, bu: str | None = None, eligible: bool | None = None) -> DataFrame:
