@@ -1,4 +1,4 @@
-"""Benefit marts on the reference's golden cases (bonus and wellbeing)."""
+"""Benefit marts on the golden cases of FIXTURES.md (bonus and wellbeing)."""
 import datetime as dt
 from decimal import Decimal
 

@@ -1,4 +1,4 @@
-"""Scalar rules (PRJ-*) on the reference's golden cases."""
+"""Scalar rules (PRJ-*) on the golden cases of FIXTURES.md."""
 import datetime as dt
 import hashlib
 
