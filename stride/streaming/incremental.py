@@ -51,7 +51,9 @@ def merge_flat_batch(spark: SparkSession, flat: DataFrame, store: TableStore,
     partitioned by start day, rewriting ONLY the days it touches.
 
     Affected days = days of the batch rows plus the days where the batch's
-    keys live today (a re-delivered document may move to another day).  The
+    keys live today (a re-delivered document may move to another day); that
+    lookup reads two columns, pruned to the row groups overlapping the
+    batch's key range.  The
     day list is a bounded summary (distinct days of one batch), so it is
     read on the driver and becomes a static partition filter; the merged
     days are staged in the work folder and then swapped in with a dynamic
@@ -63,7 +65,12 @@ def merge_flat_batch(spark: SparkSession, flat: DataFrame, store: TableStore,
         return
     table = store.read(STAGING)
     keys = flat.select(key).distinct()
-    moved = table.select(key, day_col).join(keys, key, "left_semi").select(day_col)
+    # the batch's key range becomes a pushed filter: Parquet row groups whose
+    # key range misses it are skipped (ids mostly grow with time), and the
+    # semi join keeps the lookup exact
+    lo, hi = flat.agg(F.min(key), F.max(key)).first()
+    moved = (table.select(key, day_col).filter(F.col(key).between(lo, hi))
+             .join(keys, key, "left_semi").select(day_col))
     days = [r[0] for r in flat.select(day_col).union(moved).distinct().collect()]
     store.rewrite_partitions(STAGING, day_col, days,
                              lambda current: M.upsert(current, flat.select(*table.columns), [key]))
