@@ -73,6 +73,15 @@ def ensure_not_empty(df: DataFrame, what: str) -> None:
         raise EmptyInputError(f"{what} is empty — load it first")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a frame over at least the cluster's default parallelism
+    when it arrives in fewer partitions (one small file, one row group)
+    before CPU-heavy per-row work (JSON text).  Large inputs already have far
+    more splits than cores, so at scale this is a no-op and adds no shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def parse_documents(raw: DataFrame, *keep: str, column: str = "payload",
                     schema=S.ACTIVITY_PAYLOAD_SCHEMA) -> DataFrame:
     """SRC-5: the JSON payload parsed ONCE per row into top-level columns.
@@ -82,7 +91,7 @@ def parse_documents(raw: DataFrame, *keep: str, column: str = "payload",
     one pruned parse per field (measured 3x slower on the event documents).
     """
     parsed = F.from_json(F.col(column), schema)
-    return raw.select(*keep, F.inline(F.array(parsed)))
+    return spread(raw).select(*keep, F.inline(F.array(parsed)))
 
 
 def json_int(text: "F.Column", field: str, strict: bool) -> "F.Column":
@@ -158,7 +167,7 @@ def build_payloads(fields: DataFrame, source: str = S.RAW_ACTIVITY_SOURCE) -> Da
         F.lit(S.LOCAL_TZ_LABEL).alias("timezone"),
         F.col("comment").alias("comment"),
     )
-    return fields.select(
+    return spread(fields).select(
         F.col("activity_id"),
         F.col("athlete_id"),
         F.to_json(doc, {"ignoreNullFields": "false"}).alias("payload"),
