@@ -132,8 +132,14 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
             "elapsed_s", F.timestamp_diff("SECOND", F.col("start_dt"), F.col("end_dt")).cast("int"))
         report_path = report_dir or work_path(spark, "reports", run_id, "quality")
         try:
-            Q.run_suites({"employees": (store.read("staging.employees"), employee_rules()),
-                          "activities": (acts, activity_rules(params.as_of))}, report_path)
+            report = Q.run_suites({"employees": (store.read("staging.employees"), employee_rules()),
+                                   "activities": (acts, activity_rules(params.as_of))}, report_path,
+                                  raise_on_failure=False)
+            failed = [f"{r.suite}.{r.rule}({r.column_name})"
+                      for r in report.filter(~F.col("success")).collect()]  # one row per rule
+            report.unpersist()
+            if failed:
+                raise Q.QualityError("quality suites failed: " + ", ".join(failed))
         except Q.QualityError as e:
             # the row says FAIL; the run stops only when asked to
             ctx.fail(str(e)[:2000])
