@@ -79,6 +79,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     before CPU-heavy per-row work (JSON text).  Large inputs already have far
     more splits than cores, so at scale this is a no-op and adds no shuffle."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()  # planning only, no job
+    if "Exchange" in plan:
+        # already shuffled (spark.sql.shuffle.partitions); and asking an
+        # adaptive plan for its partitions would run its shuffle stages
+        return df
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 

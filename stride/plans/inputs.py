@@ -37,9 +37,13 @@ class Inputs:
                  params: BenefitParams = CATALOG_PARAMS):
         configure(spark)
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return BD.table(self.spark, self.sf_dir, name)
+        """A driver table, read once per query (one schema lookup)."""
+        if name not in self._tables:
+            self._tables[name] = BD.table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # -- HR ------------------------------------------------------------------
     @cached_property
