@@ -181,7 +181,8 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         if not mark_undelivered:
             days = []
         store.rewrite_partitions("staging.activities", "start_day", days,
-                                 lambda current: N.mark_posted(current, batch.select("id_activity")))
+                                 lambda current: N.mark_posted(current, batch.select("id_activity")),
+                                 cluster_by=["id_activity"])
     store.delete_path(scratch)
     return RunResult(run_id, store, counts)
 

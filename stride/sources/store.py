@@ -130,19 +130,25 @@ class TableStore:
                 fs.delete(p, True)
 
     def rewrite_partitions(self, qualified: str, partition_col: str, values: Sequence,
-                           change: Callable[[DataFrame], DataFrame]) -> None:
+                           change: Callable[[DataFrame], DataFrame],
+                           cluster_by: Sequence[str] = ()) -> None:
         """Rewrite only the partitions ``values`` of a partitioned table:
         ``change`` maps their current rows to the new rows (which must stay
         inside ``values``).  The result is staged in the work folder first (a
         job never overwrites what it reads), then swapped in by dynamic
         partition overwrite; partitions left without rows are removed.
-        ``values`` is a bounded list (the partitions one batch touches)."""
+        ``values`` is a bounded list (the partitions one batch touches).
+        The new rows are range-partitioned by ``(partition_col, *cluster_by)``
+        before the write, so each task writes one or two partitions (no
+        tasks x partitions small files) and a hot partition is split by the
+        ``cluster_by`` key rather than landing in one task."""
         values = list(values)
         if not values:
             return
         current = self.read(qualified).filter(F.col(partition_col).isin(values))
         staged_path = work_path(self.spark, "tmp", f"rewrite-{uuid.uuid4().hex}")
-        change(current).write.partitionBy(partition_col).parquet(staged_path)
+        (change(current).repartitionByRange(partition_col, *cluster_by)
+         .write.partitionBy(partition_col).parquet(staged_path))
         staged = self.spark.read.parquet(staged_path)
         kept = {str(r[0]) for r in staged.select(partition_col).distinct().collect()}
         self.overwrite_partitions(staged, qualified, partition_col)

@@ -61,7 +61,8 @@ def merge_flat_batch(spark: SparkSession, flat: DataFrame, store: TableStore,
     """
     flat = flat.withColumn(day_col, F.to_date(F.col("start_dt")))
     if not store.exists(STAGING):
-        store.write(flat, STAGING, partition_by=[day_col])
+        # range-partitioned by (day, key): each task writes one or two days
+        store.write(flat.repartitionByRange(day_col, key), STAGING, partition_by=[day_col])
         return
     table = store.read(STAGING)
     keys = flat.select(key).distinct()
@@ -73,7 +74,8 @@ def merge_flat_batch(spark: SparkSession, flat: DataFrame, store: TableStore,
              .join(keys, key, "left_semi").select(day_col))
     days = [r[0] for r in flat.select(day_col).union(moved).distinct().collect()]
     store.rewrite_partitions(STAGING, day_col, days,
-                             lambda current: M.upsert(current, flat.select(*table.columns), [key]))
+                             lambda current: M.upsert(current, flat.select(*table.columns), [key]),
+                             cluster_by=[key])
 
 
 def incremental_flatten(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
