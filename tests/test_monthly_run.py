@@ -35,3 +35,12 @@ def test_monthly_run_and_logs(spark):
     # the activity ids continue the sequence across the reload
     ids = store.read("staging.activities").agg(F.min("id_activity"), F.max("id_activity")).first()
     assert (ids[0], ids[1]) == (res.counts["activities"] + 1, 2 * res.counts["activities"])
+
+
+def test_command_line(spark, capsys):
+    from stride.__main__ import main
+    out = main(["--sf-dir", SF0001, "--threshold", "3", "--as-of", "2024-01-31", "--keep-going",
+                "--post-limit", "10"])
+    assert out["employees"] == out["marts.eligibility_prime"] == out["marts.eligibility_wellbeing"]
+    assert out["posted"] == 10 and out["activities"] == out["raw_activities"]
+    assert '"run_id"' in capsys.readouterr().out
