@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..operators import benefits as B
 from ..operators import merge as M
 from ..operators import notify as N
@@ -57,13 +58,26 @@ class RunResult:
 
 
 def _written(store: TableStore, df: DataFrame, table: str, how: str = "write",
-             metric=None) -> int:
+             metric=None, extra: dict | None = None) -> int:
     """Write ``df`` and return its row count (or ``metric``) observed DURING
-    the write — an ``Observation``, not a second job over the table."""
+    the write — an ``Observation``, not a second job over the table.
+    ``extra`` maps names to more aggregate metrics; their values are written
+    back into that dict."""
     obs = Observation()
     metric = F.count(F.lit(1)) if metric is None else metric
-    getattr(store, how)(df.observe(obs, metric.alias("n")), table)
-    return int(obs.get["n"])
+    metrics = [metric.alias("n"), *[m.alias(k) for k, m in (extra or {}).items()]]
+    getattr(store, how)(df.observe(obs, *metrics), table)
+    got = obs.get
+    for k in (extra or {}):
+        extra[k] = got[k]
+    return int(got["n"])
+
+
+def _require(check: str, ok: bool, observed, expected: str) -> None:
+    """A named gate on figures observed while the tables were written
+    (same rule as ``quality.run_gate``, without re-scanning the tables)."""
+    if not ok:
+        raise Q.QualityError(f"check {check} failed: observed {observed}, expected {expected}")
 
 
 def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
@@ -92,7 +106,7 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         staged = ST.apply_geo(ST.stage_employees(store.read("raw.employees"), params), params)
         ctx.rows_out = counts["employees"] = _written(store, staged, "staging.employees", "refresh")
     with step(spark, "check_employees_loaded", run_id, log):
-        Q.run_gate("not_empty", store.read("staging.employees"))
+        _require("employees_loaded", counts["employees"] > 0, counts["employees"], "> 0")
 
     with step(spark, "extract_sport", run_id, log) as ctx:
         employees = store.read("staging.employees")
@@ -104,28 +118,31 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
                                         ["id_employee", "sport_pratique"])
         ctx.rows_out = counts["sports"] = _written(store, sports, "staging.sports_practice")
     with step(spark, "check_sports_practice_loaded", run_id, log):
-        Q.run_gate("not_empty", store.read("staging.sports_practice"))
+        _require("sports_practice_loaded", counts["sports"] > 0, counts["sports"], "> 0")
 
     with step(spark, "load_raw_activities", run_id, log) as ctx:
         docs = ST.build_payloads(BD.event_activity_fields(table("events")))
         ctx.rows_out = counts["raw_activities"] = _written(store, docs, "raw.activities", "refresh")
     with step(spark, "flatten_activities", run_id, log) as ctx:
         raw = store.read("raw.activities")
-        ST.ensure_not_empty(raw, "raw.activities")
+        if counts["raw_activities"] == 0:  # SNK-3, on the count observed at load
+            raise ST.EmptyInputError("raw.activities is empty — load it first")
         ctx.rows_in = counts["raw_activities"]
         # ids continue the identity sequence across reloads (it survives truncation)
         first_id = next_sequence_value(store, ACTIVITY_SEQUENCE)
         flat = ST.flatten_payloads(raw, with_id=True, scratch_dir=scratch, id_start=first_id) \
             .withColumn("start_day", F.to_date("start_dt"))
         # partitioned by start day: marking posted activities rewrites only their days
+        future = {"future": F.count_if(F.col("start_dt") > F.lit(params.as_of).cast("timestamp_ntz"))}
         ctx.rows_out = counts["activities"] = _written(
-            store, flat, "staging.activities", "write_by_day")
+            store, flat, "staging.activities", "write_by_day", extra=future)
+        counts["future_activities"] = int(future["future"])
         record_sequence_value(store, ACTIVITY_SEQUENCE, first_id + ctx.rows_out - 1, run_id)
     with step(spark, "check_activities_generated", run_id, log):
-        Q.run_gate("min_volume", store.read("raw.activities"))
-        Q.run_gate("same_count", store.read("raw.activities"), store.read("staging.activities"),
-                   name="reconciliation")
-        Q.run_gate("no_future", store.read("staging.activities"), "start_dt", params.as_of)
+        raw_n, n = counts["raw_activities"], counts["activities"]
+        _require("min_volume", raw_n >= S.MIN_RAW_ACTIVITIES, raw_n, f">= {S.MIN_RAW_ACTIVITIES}")
+        _require("reconciliation", n == raw_n, n, f"= {raw_n} (raw)")
+        _require("no_future_rows", counts["future_activities"] == 0, counts["future_activities"], "= 0")
 
     with step(spark, "quality", run_id, log) as ctx:
         acts = store.read("staging.activities").withColumn(
@@ -163,7 +180,8 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         ctx.rows_out = counts["prime"] = counts["marts.eligibility_prime"]
     with step(spark, "check_advantages_computed", run_id, log):
         for mart in ("marts.eligibility_prime", "marts.eligibility_wellbeing"):
-            Q.run_gate("same_count", store.read("staging.employees"), store.read(mart), name="coverage")
+            _require("coverage", counts[mart] == counts["employees"], counts[mart],
+                     f"= {counts['employees']} (employees)")
 
     with step(spark, "notify", run_id, log) as ctx:
         acts = store.read("staging.activities")
