@@ -103,3 +103,16 @@ def test_flatten_round_trip_equals_staging_binding(spark):
     a, b = I.flattened_documents, I.event_activities
     assert a.count() == b.count()
     assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_spread_only_upsizes_small_unshuffled_inputs(spark):
+    sc = spark.sparkContext
+    small = spark.range(0, 100, numPartitions=1)
+    assert ST.spread(small, 4).rdd.getNumPartitions() == 4
+    big = spark.range(0, 100, numPartitions=6)
+    assert ST.spread(big, 4) is big
+    shuffled = spark.range(0, 100, numPartitions=2).groupBy((F.col("id") % 3).alias("g")).count()
+    sc.setJobGroup("spread-check", "spread-check")
+    assert ST.spread(shuffled, 4) is shuffled  # decided from the plan, no job run
+    assert sc.statusTracker().getJobIdsForGroup("spread-check") == []
+    sc.setJobGroup("", "")
