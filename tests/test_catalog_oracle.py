@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from stride.plans import catalog
 from tests.conftest import SF0001
 from tools.oracle_check import TABLES, canon
 
 ROWS_ONLY = {"srt_06_random_row"}  # random by design: no oracle
-NAMES = sorted(set(E.queries()) - ROWS_ONLY)
+NAMES = sorted(set(catalog.QUERIES) - ROWS_ONLY)
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert missing == ROWS_ONLY, missing
 
 
