@@ -1,10 +1,12 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB text."""
 from __future__ import annotations
 
+from stride.llm.near_dedup import op5_near_dedup
 from stride.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op5_near_dedup": op5_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
