@@ -6,7 +6,11 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from stride.session import work_path
 
@@ -39,6 +43,42 @@ def text_blocks(texts: list, max_chars: int = BLOCK_CHARS) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def map_texts(docs: DataFrame, keep: list[str], added: str, fn, text: str = "text") -> DataFrame:
+    """Columns ``keep`` as they are, and the columns ``added`` (DDL) that
+    ``fn(texts) -> {column: values}`` makes from a block of whole texts (null: empty)."""
+    schema = StructType(docs.select(*keep).schema.fields + StructType.fromDDL(added).fields)
+    arrow = to_arrow_schema(schema)
+    names = arrow.names[len(keep):]
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
+            parts = [fn(texts[block]) for block in text_blocks(texts)] or [fn([])]
+            new = [pa.concat_arrays([pa.array(part[n], type=arrow.field(n).type) for part in parts]) for n in names]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *new], schema=arrow)
+
+    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+
+
+def expand_texts(docs: DataFrame, key: str, made: str, fn, text: str = "text") -> DataFrame:
+    """``fn(texts) -> (text numbers, {column: values})``: any number of rows for
+    each text, with the text's ``key`` in front of the columns ``made`` (DDL)."""
+    schema = StructType(docs.select(key).schema.fields + StructType.fromDDL(made).fields)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for block in text_blocks(texts):
+                number, columns = fn(texts[block])
+                if len(number):
+                    keys = batch.column(0).take(pa.array(np.asarray(number) + block.start, pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        [keys, *(pa.array(columns[n], type=arrow.field(n).type) for n in arrow.names[1:])], schema=arrow)
+
+    return docs.select(key, F.col(text).alias("__text")).mapInArrow(run, schema)
+
+
 # --------------------------------------------------------------------------
 # Vectorised words: code points -> word boundaries -> 64-bit word hashes
 # --------------------------------------------------------------------------

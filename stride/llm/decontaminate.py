@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm.common import mix64, read_table, stored, text_blocks, words_of
+from stride.llm.common import expand_texts, map_texts, mix64, read_table, stored, words_of
 
 
 @dataclass(frozen=True)
@@ -103,7 +103,7 @@ class Shard:
     def __init__(self, items: pd.DataFrame, postings: pd.DataFrame, n_items: int, mean_words: float, p: LeakParams):
         self.p = p
         items = items.sort_values("item_no", kind="stable").reset_index(drop=True)
-        self.ids = items["item_id"].to_numpy()
+        self.ids = items["item_id"].tolist()
         number = {no: i for i, no in enumerate(items["item_no"])}
         self.shingles, longest = [], 1
         for text in items["text"]:
@@ -233,32 +233,28 @@ def shards(benchmark: DataFrame, p: LeakParams):
         yield Shard(part(items).toPandas(), part(postings).toPandas(), n, float(mean), p)  # bounded: shard_items
 
 
-LEAK = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
+LEAK = "item_id long, score double, overlap double, question_overlap double, answer_overlap double"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
     """One row for each (document, item) pair that is verified."""
     spark = docs.sparkSession
-    texts, out = docs.select("doc_id", "text"), None
+    out = None
     for shard in shards(benchmark, p):
         sent = spark.sparkContext.broadcast(shard)
 
-        def run(batches, sent=sent):
-            index = sent.value
-            for pdf in batches:
-                part = [t or "" for t in pdf["text"]]
-                for block in text_blocks(part):
-                    rows = index.leaks(part[block])
-                    if rows:
-                        ids = pdf["doc_id"].iloc[block].tolist()
-                        yield pd.DataFrame({
-                            "doc_id": [ids[r[0]] for r in rows], "item_id": [index.ids[r[1]] for r in rows],
-                            "score": [r[2] for r in rows], "overlap": [r[3] for r in rows],
-                            "question_overlap": [r[4] for r in rows], "answer_overlap": [r[5] for r in rows]})
-
-        rows = texts.mapInPandas(run, LEAK)
+        def run(texts, sent=sent):
+            rows = sent.value.leaks(texts)
+            columns = {"item_id": [sent.value.ids[r[1]] for r in rows]}
+            for i, name in enumerate(("score", "overlap", "question_overlap", "answer_overlap"), 2):
+                columns[name] = [r[i] for r in rows]
+            return [r[0] for r in rows], columns
+
+        rows = expand_texts(docs, "doc_id", LEAK, run)
         out = rows if out is None else out.unionByName(rows)
-    return out if out is not None else spark.createDataFrame([], LEAK)
+    if out is None:
+        return spark.createDataFrame([], f"doc_id long, {LEAK}")
+    return out
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,14 +266,10 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     for shard in shards(read_table(spark, sf_dir, "benchmark"), LeakParams()):
         sent = spark.sparkContext.broadcast(shard)
 
-        def clean(batches, sent=sent):
-            for pdf in batches:
-                part = [t or "" for t in pdf["text"]]
-                keep = np.ones(len(part), dtype=bool)
-                for block in text_blocks(part):
-                    for r in sent.value.leaks(part[block]):
-                        keep[block.start + r[0]] = False
-                yield pdf[keep]
+        def leaky(texts, sent=sent):
+            found = np.zeros(len(texts), bool)
+            found[[r[0] for r in sent.value.leaks(texts)]] = True
+            return {"__leaky": found}
 
-        docs = docs.mapInPandas(clean, docs.schema)
+        docs = map_texts(docs, docs.columns, "__leaky boolean", leaky).where("not __leaky").drop("__leaky")
     return docs

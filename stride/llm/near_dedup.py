@@ -43,11 +43,10 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm.common import mix64, read_table, stored, text_blocks, words_of
+from stride.llm.common import map_texts, mix64, read_table, stored, words_of
 
 
 @dataclass(frozen=True)
@@ -96,38 +95,28 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def _sets(batches, words):
-    for pdf in batches:
-        texts = [t or "" for t in pdf["text"]]
-        for block in text_blocks(texts):
-            yield pdf.iloc[block], shingle_sets(texts[block], words)
-
-
 def sketches(docs: DataFrame, p: NearParams) -> DataFrame:
     """(doc_id, n_shingles, set_id, head): set digest and the short sketch."""
     words, k = p.words, p.short
 
-    def run(batches):
-        for pdf, sets in _sets(batches, words):
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"], "n_shingles": [len(s) for s in sets],
-                "set_id": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets],
-                "head": [s[:k] for s in sets]})
+    def sketch(texts):
+        sets = shingle_sets(texts, words)
+        return {"n_shingles": [len(s) for s in sets], "head": [s[:k] for s in sets],
+                "set_id": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]}
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_shingles long, set_id string, head array<long>")
+    return map_texts(docs, ["doc_id"], "n_shingles long, set_id string, head array<long>", sketch)
 
 
 def full_sets(docs: DataFrame, p: NearParams) -> DataFrame:
     """(v, n, head, whole): the long sketch and, where it is not whole, the full set."""
     words, k = p.words, p.long
 
-    def run(batches):
-        for pdf, sets in _sets(batches, words):
-            yield pd.DataFrame({"v": pdf["v"], "n": [len(s) for s in sets], "head": [s[:k] for s in sets],
-                                "whole": [s if len(s) > k else None for s in sets]})
+    def make(texts):
+        sets = shingle_sets(texts, words)
+        return {"n": [len(s) for s in sets], "head": [s[:k] for s in sets],
+                "whole": [s if len(s) > k else None for s in sets]}
 
-    return docs.mapInPandas(run, "v long, n long, head array<long>, whole array<long>")
+    return map_texts(docs, ["v"], "n long, head array<long>, whole array<long>", make)
 
 
 def prefixes(sets: DataFrame, k: int, p: NearParams) -> DataFrame:

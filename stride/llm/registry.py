@@ -1,6 +1,7 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB text."""
 from __future__ import annotations
 
+from stride.llm.bpe import op7_bpe
 from stride.llm.decontaminate import op2_decontaminate
 from stride.llm.near_dedup import op5_near_dedup
 from stride.llm.toxicity import op1_toxicity
@@ -9,6 +10,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
     "op5_near_dedup": op5_near_dedup,
+    "op7_bpe": op7_bpe,
 }
 
 ORACLE: dict[str, str] = {}

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm.common import mix64, read_table, stored, text_blocks, words_of
+from stride.llm.common import map_texts, mix64, read_table, stored, text_blocks, words_of
 
 TERM_BITS = 18
 
@@ -172,20 +172,8 @@ def fit(x: np.ndarray, y: np.ndarray, p: ToxicityParams) -> tuple[float, np.ndar
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` (``text`` need not be one) and ``score`` of the whole text."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # 2**TERM_BITS slots: about a megabyte at any size
-    inputs = docs.select(*keep, F.col("text").alias("__text"))
-    schema = docs.select(*keep).schema.add("score", "double")
-
-    def run(batches):
-        m = sent.value
-        for pdf in batches:
-            texts = [t or "" for t in pdf["__text"]]
-            out = pdf.drop(columns="__text")
-            out["score"] = np.concatenate([m.scores(texts[b]) for b in text_blocks(texts)] or [np.zeros(0)])
-            yield out
-
-    return inputs.mapInPandas(run, schema)
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**TERM_BITS slots: about a megabyte at any size
+    return map_texts(docs, keep, "score double", lambda texts: {"score": sent.value.scores(texts)})
 
 
 def fold(column: str = "doc_id"):
@@ -204,6 +192,6 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below 0.5, columns as they came."""
     model = train(docs, read_table(spark, sf_dir, "labels"), learn=fold() != 0)
-    names = docs.columns
-    text = docs.select(*names)
-    return score(text, model, names).where(F.col("score") < 0.5).select(*names)
+    named = docs.withColumnsRenamed({c: f"_{c}" for c in docs.columns})  # a column called score may be among them
+    kept = score(named.withColumn("text", F.col("_text")), model, named.columns).where(F.col("score") < 0.5)
+    return kept.select(*[F.col(f"_{c}").alias(c) for c in docs.columns])
