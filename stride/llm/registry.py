@@ -1,16 +1,20 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB text."""
 from __future__ import annotations
 
+import corpus_pipeline
 from stride.llm.bpe import op7_bpe
 from stride.llm.decontaminate import op2_decontaminate
+from stride.llm.line_dedup import op4_line_dedup
 from stride.llm.near_dedup import op5_near_dedup
 from stride.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
+    "op4_line_dedup": op4_line_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op7_bpe": op7_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
