@@ -100,30 +100,31 @@ def banded_distance(short: Column, long: Column, t: int) -> Column:
 
     Bit ``k`` of a vector at character ``j`` of the longer line stands for row ``j - t + k`` of the shorter."""
     width = 2 * t + 1
-    mask = F.lit((1 << width) - 1).cast("long")
-    p, q = F.split(short, ""), F.split(long, "")
-    m, n = F.length(short), F.length(long)
+    long_of = lambda x: F.lit(x).cast("long")
+    mask = long_of((1 << width) - 1)
 
-    def step(s: Column, j: Column) -> Column:
-        c = F.get(q, j - 1)
-        same = F.lit(0).cast("long")
+    def step(s: Column, c: Column) -> Column:
+        j = s["j"] + 1
+        same = long_of(0)
         for k in range(width):
-            same = same.bitwiseOR(F.when(F.get(p, j - t + k - 1) == c, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
+            same = same.bitwiseOR(F.when(F.get(s["p"], j - t + k - 1) == c, long_of(1 << k)).otherwise(long_of(0)))
         vp, vn = s["vp"], s["vn"]
         d0 = (same.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(same).bitwiseOR(vn).bitwiseAND(mask)
         hp = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))).bitwiseAND(mask)
         hn = d0.bitwiseAND(vp)
         down = F.shiftrightunsigned(d0, 1)
-        at = m - j + t  # the row of the last character, once the longer line runs past it
+        at = s["m"] - j + t  # the row of the last character, once the longer line runs past it
         bit = lambda v: bits("shiftright", v, at).bitwiseAND(F.lit(1)).cast("int")
-        add = F.when(j <= m, 1 - F.shiftright(d0, t).bitwiseAND(F.lit(1)).cast("int")).otherwise(bit(hp) - bit(hn))
+        add = F.when(j <= s["m"], 1 - F.shiftright(d0, t).bitwiseAND(F.lit(1)).cast("int")).otherwise(bit(hp) - bit(hn))
         return F.struct(hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(mask).alias("vp"),
-                        down.bitwiseAND(hp).alias("vn"), (s["d"] + add).alias("d"))
-
-    first = F.struct(F.lit(((1 << width) - 1) & ~((1 << t) - 1)).cast("long").alias("vp"),
-                     F.lit(0).cast("long").alias("vn"), F.lit(0).alias("d"))
-    walked = F.aggregate(F.sequence(F.lit(1), n), first, step, lambda s: s["d"])
-    return F.when(n == 0, m).otherwise(walked)
+                        down.bitwiseAND(hp).alias("vn"), (s["d"] + add).alias("d"), j.alias("j"),
+                        s["p"].alias("p"), s["m"].alias("m"))
+
+    # the characters of the shorter line travel in the state, so that they are split off once
+    first = F.struct(long_of(((1 << width) - 1) & ~((1 << t) - 1)).alias("vp"), long_of(0).alias("vn"),
+                     F.lit(0).alias("d"), F.lit(0).alias("j"), F.split(short, "").alias("p"), F.length(short).alias("m"))
+    walked = F.aggregate(F.split(long, ""), first, step, lambda s: s["d"])
+    return F.when(F.length(long) == 0, F.length(short)).otherwise(walked)
 
 
 def line_rows(docs: DataFrame, p: LineParams) -> DataFrame:
