@@ -4,6 +4,7 @@ from __future__ import annotations
 import corpus_pipeline
 from stride.llm.bpe import op7_bpe
 from stride.llm.decontaminate import op2_decontaminate
+from stride.llm.fingerprint import op6_fingerprint
 from stride.llm.line_dedup import op4_line_dedup
 from stride.llm.near_dedup import op5_near_dedup
 from stride.llm.toxicity import op1_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op4_line_dedup": op4_line_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_fingerprint": op6_fingerprint,
     "op7_bpe": op7_bpe,
     "pipeline": corpus_pipeline.run,
 }
