@@ -83,7 +83,7 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
         if n >= words:
             out.append(np.unique(full[at:at + n - words + 1]).view(np.int64))
         elif n:
-            whole = salt[words:] * np.uint64(n)
+            whole = np.array(salt[words:]) * np.uint64(n)
             for j in range(n):
                 whole = whole + mix64(h[at + j:at + j + 1] * salt[j] + salt[j])
             out.append(mix64(whole).view(np.int64))
@@ -157,15 +157,13 @@ def verified(pairs: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
     """The pairs (a, b) of similar classes: union-sketch estimate, then exact Jaccard."""
     k, need = p.long, p.need(p.long)
     side = lambda c, t: sets.select(F.col("v").alias(c), F.col("n").alias(f"n{t}"), F.col("head").alias(f"h{t}"))
-    near = (pairs.join(side("a", 1), "a").join(side("b", 2), "b")
-            .withColumn("both", F.array_intersect("h1", "h2"))
-            .withColumn("last", F.when((F.col("n1") <= k) & (F.col("n2") <= k), None).otherwise(
-                F.element_at(F.array_sort(F.array_union("h1", "h2")), k)))
-            .withColumn("common", F.when(F.col("last").isNull(), F.size("both")).otherwise(
-                F.size(F.filter("both", lambda x: x <= F.col("last"))))))
-    whole = F.col("last").isNull()
+    near = pairs.join(side("a", 1), "a").join(side("b", 2), "b")
+    both = F.array_intersect("h1", "h2")
+    union = F.slice(F.sort_array(F.array_union("h1", "h2")), 1, k)
+    whole = (F.col("n1") <= k) & (F.col("n2") <= k)
     similar = lambda m: m * 100 >= p.percent * (F.col("n1") + F.col("n2") - m)
-    passed = stored(near.where(F.when(whole, similar(F.col("common"))).otherwise(F.col("common") >= need))
+    sketch = (F.size(both) >= need) & (F.size(F.array_intersect(union, both)) >= need)
+    passed = stored(near.where(F.when(whole, similar(F.size(both))).otherwise(sketch))
                     .select("a", "b", whole.alias("exact")), "near-passed")
     rest = lambda c, t: sets.select(F.col("v").alias(c), F.col("n").alias(f"n{t}"),
                                     F.coalesce("whole", "head").alias(f"s{t}"))
