@@ -7,6 +7,7 @@ from stride.llm.decontaminate import op2_decontaminate
 from stride.llm.fingerprint import op6_fingerprint
 from stride.llm.line_dedup import op4_line_dedup
 from stride.llm.near_dedup import op5_near_dedup
+from stride.llm.secrets import op9_secrets
 from stride.llm.toxicity import op1_toxicity
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_near_dedup": op5_near_dedup,
     "op6_fingerprint": op6_fingerprint,
     "op7_bpe": op7_bpe,
+    "op9_secrets": op9_secrets,
     "pipeline": corpus_pipeline.run,
 }
 

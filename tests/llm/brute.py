@@ -48,3 +48,16 @@ def near_components(rows, words, percent):
             if 100 * m >= percent * (len(sets[i]) + len(sets[j]) - m):
                 union(i, j)
     return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
+                    r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base_spans(text):
+    """(start, kind number, kind, end) of the base kinds, in order."""
+    text, out = text or "", []
+    out += [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return sorted(out)
