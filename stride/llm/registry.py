@@ -5,6 +5,7 @@ import corpus_pipeline
 from stride.llm.bpe import op7_bpe
 from stride.llm.decontaminate import op2_decontaminate
 from stride.llm.fingerprint import op6_fingerprint
+from stride.llm.language import op10_language
 from stride.llm.line_dedup import op4_line_dedup
 from stride.llm.near_dedup import op5_near_dedup
 from stride.llm.secrets import op9_secrets
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_fingerprint": op6_fingerprint,
     "op7_bpe": op7_bpe,
     "op9_secrets": op9_secrets,
+    "op10_language": op10_language,
     "pipeline": corpus_pipeline.run,
 }
 
