@@ -8,12 +8,14 @@ from stride.llm.fingerprint import op6_fingerprint
 from stride.llm.language import op10_language
 from stride.llm.line_dedup import op4_line_dedup
 from stride.llm.near_dedup import op5_near_dedup
+from stride.llm.pii import op3_pii
 from stride.llm.secrets import op9_secrets
 from stride.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
+    "op3_pii": op3_pii,
     "op4_line_dedup": op4_line_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_fingerprint": op6_fingerprint,
