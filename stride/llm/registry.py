@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from stride.llm.bpe import op7_bpe
+from stride.llm.chat import op8_chat_format
 from stride.llm.decontaminate import op2_decontaminate
 from stride.llm.fingerprint import op6_fingerprint
 from stride.llm.language import op10_language
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_near_dedup": op5_near_dedup,
     "op6_fingerprint": op6_fingerprint,
     "op7_bpe": op7_bpe,
+    "op8_chat_format": op8_chat_format,
     "op9_secrets": op9_secrets,
     "op10_language": op10_language,
     "pipeline": corpus_pipeline.run,
