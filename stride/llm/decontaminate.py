@@ -42,6 +42,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,13 +101,13 @@ def item_terms(batches):
 class Shard:
     """Block-max BM25 index of a bounded number of items."""
 
-    def __init__(self, items: pd.DataFrame, postings: pd.DataFrame, n_items: int, mean_words: float, p: LeakParams):
+    def __init__(self, items: pa.Table, postings: pd.DataFrame, n_items: int, mean_words: float, p: LeakParams):
         self.p = p
-        items = items.sort_values("item_no", kind="stable").reset_index(drop=True)
-        self.ids = items["item_id"].tolist()
-        number = {no: i for i, no in enumerate(items["item_no"])}
+        items = items.sort_by("item_no")
+        self.ids = items.column("item_id").to_pylist()
+        number = {no: i for i, no in enumerate(items.column("item_no").to_pylist())}
         self.shingles, longest = [], 1
-        for text in items["text"]:
+        for text in items.column("text").to_pylist():
             whole = [words_of([t or ""])[0] for t in (text or "", *split_item(text or ""))]
             longest = max(longest, len(whole[0]))
             self.shingles.append([np.unique(shingle_hashes(h, p.words)) for h in whole])
@@ -217,8 +218,8 @@ class Shard:
 def shards(benchmark: DataFrame, p: LeakParams):
     """The index shards, one after the other (never all of the benchmark at once)."""
     items = stored(benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
-                   .withColumn("item_no", F.xxhash64("item_id", "text"))
-                   .dropDuplicates(["item_id", "text"]), "leak-items")
+                   .dropDuplicates(["item_id", "text"])
+                   .withColumn("item_no", F.xxhash64("item_id", "text")), "leak-items")
     n = items.count()
     if not n:
         return
@@ -230,7 +231,7 @@ def shards(benchmark: DataFrame, p: LeakParams):
     pieces = max(1, math.ceil(n / p.shard_items))
     for k in range(pieces):
         part = lambda t: t.where(F.pmod(F.col("item_no"), F.lit(pieces)) == k)
-        yield Shard(part(items).toPandas(), part(postings).toPandas(), n, float(mean), p)  # bounded: shard_items
+        yield Shard(part(items).toArrow(), part(postings).toPandas(), n, float(mean), p)  # bounded: shard_items
 
 
 LEAK = "item_id long, score double, overlap double, question_overlap double, answer_overlap double"

@@ -1,7 +1,7 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
 Lines of at least ``min_chars`` code points are compared; of equal lines and of
-lines within ``threshold`` edits the first (by document, then place) stays.
+lines within ``threshold`` edits the first (by document, then first place, then the line itself) stays.
 
 1. Equal lines meet in one grouping with map-side combine: a line that a third
    of all documents share is one row per task.
@@ -147,8 +147,8 @@ def near_lines(lines: DataFrame, p: LineParams) -> DataFrame:
     # few handles are sent to the lines; more than the bound meet them in a shuffle
     few = F.broadcast(named) if named.count() <= p.broadcast_rows else named
     text = stored(lines.join(few, "h", "left_semi"), "line-text")
-    side = lambda c: text.select(F.col("h").alias(c), F.struct("line", "doc", "pos", "h", "h2").alias(f"t{c}"))
-    order = lambda c: F.struct(F.col(f"{c}.doc"), F.col(f"{c}.pos"), F.col(f"{c}.h"), F.col(f"{c}.h2"))
+    side = lambda c: text.select(F.col("h").alias(c), F.struct("doc", "pos", "line", "h", "h2").alias(f"t{c}"))
+    order = lambda c: F.struct(F.col(f"{c}.doc"), F.col(f"{c}.pos"), F.col(f"{c}.line"))
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     short, long = [F.when((F.length("ta.line") <= F.length("tb.line")) == yes, F.col("ta.line")).otherwise(F.col("tb.line"))
                    for yes in (True, False)]
@@ -190,7 +190,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
     rows = _with_dropped(docs, LineParams(), F.col("doc_id"), F.when(F.col("text").isNull(), 0).otherwise(n).alias("n_lines"))
     return rows.select("doc_id", "n_lines", (F.col("n_lines") - F.size("__dropped")).alias("n_kept"),
-                       F.col("__dropped").alias("dropped"))
+                       F.array_join("__dropped", ",").alias("dropped"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -207,3 +207,39 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         new["n_chars"] = F.when(F.size("__dropped") == 0, F.col("c_n_chars")).otherwise(
             F.length("__text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*[(new[c] if c in new else F.col(f"c_{c}")).alias(c) for c in docs.columns])
+
+
+#: One edit apart: the common prefix and suffix cover all but one character of the longer line;
+#: of 40 or more characters, the first or the last 16 are then equal.
+ORACLE_SQL = """
+WITH numbered AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL),
+compared AS (SELECT * FROM numbered WHERE length(line) >= 40),
+lines AS (SELECT line, min(doc_id) AS doc, min(pos) AS pos FROM compared GROUP BY line),
+met AS (
+  SELECT a.line AS x, b.line AS y FROM lines a JOIN lines b
+    ON left(a.line, 16) = left(b.line, 16) AND a.line < b.line AND abs(length(a.line) - length(b.line)) <= 1
+  UNION
+  SELECT a.line, b.line FROM lines a JOIN lines b
+    ON right(a.line, 16) = right(b.line, 16) AND a.line < b.line AND abs(length(a.line) - length(b.line)) <= 1),
+near AS (
+  SELECT x, y FROM met
+  WHERE len(list_filter(range(1, 1 + least(length(x), length(y))), lambda i: left(x, i) = left(y, i)))
+      + len(list_filter(range(1, 1 + least(length(x), length(y))), lambda i: right(x, i) = right(y, i)))
+      >= greatest(length(x), length(y)) - 1),
+later AS (
+  SELECT DISTINCT CASE WHEN (a.doc, a.pos, a.line) < (b.doc, b.pos, b.line) THEN b.line ELSE a.line END AS line
+  FROM near JOIN lines a ON a.line = x JOIN lines b ON b.line = y),
+own AS (SELECT doc_id, line, min(pos) AS first_pos FROM compared GROUP BY doc_id, line),
+gone AS (
+  SELECT c.doc_id, c.pos FROM compared c JOIN lines l ON l.line = c.line
+    JOIN own o ON o.doc_id = c.doc_id AND o.line = c.line LEFT JOIN later n ON n.line = c.line
+  WHERE n.line IS NOT NULL OR c.doc_id <> l.doc OR c.pos > o.first_pos),
+per AS (SELECT doc_id, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS dropped FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS INTEGER) AS n_lines,
+       CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END - coalesce(per.n, 0) AS INTEGER) AS n_kept,
+       coalesce(per.dropped, '') AS dropped
+FROM documents d LEFT JOIN per ON per.doc_id = d.doc_id
+"""

@@ -238,3 +238,31 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows that repeat a doc_id stay or go together."""
     gone = near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+#: Every pair that shares a shingle is counted; components by reachability.
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+lists AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END AS s
+  FROM words),
+shingles AS (SELECT DISTINCT doc_id, unnest(s) AS sh FROM lists),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m
+  FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * m >= 85 * (p.n + q.n - m)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc, there) AS (
+  SELECT x, y FROM both_ways UNION SELECT r.doc, b.y FROM reach r JOIN both_ways b ON r.there = b.x),
+least_reached AS (SELECT doc, min(there) AS low FROM reach GROUP BY doc)
+SELECT l.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(l.doc_id, coalesce(low, l.doc_id)) AS component_id,
+       coalesce(low, l.doc_id) >= l.doc_id AS kept
+FROM lists l LEFT JOIN sizes ON sizes.doc_id = l.doc_id LEFT JOIN least_reached ON doc = l.doc_id
+"""

@@ -7,6 +7,7 @@ from stride.llm.chat import op8_chat_format
 from stride.llm.decontaminate import op2_decontaminate
 from stride.llm.fingerprint import op6_fingerprint
 from stride.llm.language import op10_language
+from stride.llm import line_dedup, near_dedup
 from stride.llm.line_dedup import op4_line_dedup
 from stride.llm.near_dedup import op5_near_dedup
 from stride.llm.pii import op3_pii
@@ -27,4 +28,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE_SQL,
+    "op5_near_dedup": near_dedup.ORACLE_SQL,
+}
