@@ -29,8 +29,8 @@ benchmark) and goes to the tasks in shards of at most ``shard_items`` items; a
 larger benchmark takes one pass over the texts per shard.  Texts are never
 shuffled and a passage needs no state outside its document.
 
-Edge cases: null, empty and word-less texts and items match nothing; an item of
-fewer than five words is one shingle; repeated items each count; equal scores
+Edge cases: null, empty and word-less texts and items match nothing; an item or
+part of fewer than five words is one shingle; repeated items each count; equal scores
 are all reported; a null doc_id is scored like others; an empty benchmark leaks
 nothing.  Only doc_id, text and item_id, text are read.
 """
@@ -83,7 +83,7 @@ def shingle_hashes(h: np.ndarray, words: int) -> np.ndarray:
     w = min(words, len(h))
     acc = np.zeros(len(h) - w + 1, np.uint64)
     for j in range(w):
-        acc += mix64(h[j:j + len(acc)] + np.uint64(j + 1) * np.uint64(0xD1B54A32D192ED03))
+        acc += mix64(h[j:j + len(acc)] + np.uint64((j + 1) * 0xD1B54A32D192ED03 % 2 ** 64))
     return mix64(acc)
 
 
@@ -110,7 +110,7 @@ class Shard:
         for text in items.column("text").to_pylist():
             whole = [words_of([t or ""])[0] for t in (text or "", *split_item(text or ""))]
             longest = max(longest, len(whole[0]))
-            self.shingles.append([np.unique(shingle_hashes(h, p.words)) for h in whole])
+            self.shingles.append([(min(p.words, len(h)), np.unique(shingle_hashes(h, p.words))) for h in whole])
         self.stride = max(p.min_stride, longest)
         postings = postings.sort_values(["term", "item_no"], kind="stable")
         term = postings["term"].to_numpy(np.int64)
@@ -205,9 +205,9 @@ class Shard:
             win, item = int(q // len(self.ids)), int(q % len(self.ids))
             doc = int(np.searchsorted(base, win, side="right") - 1)
             a = first[doc] + (win - base[doc]) * s
-            found = shingle_hashes(h[a:min(a + 2 * s, first[doc] + n[doc])], p.words)
-            whole, question, answer = (float(np.isin(x, found).mean()) if len(x) else 1.0
-                                       for x in self.shingles[item])
+            passage = h[a:min(a + 2 * s, first[doc] + n[doc])]
+            whole, question, answer = (float(np.isin(x, shingle_hashes(passage, w)).mean()) if len(x) else 1.0
+                                       for w, x in self.shingles[item])
             if whole >= p.overlap and min(question, answer) >= p.part_overlap:
                 row = (whole, float(sc), question, answer)
                 if row > best.get((doc, item), ()):
