@@ -10,7 +10,8 @@ chooses, for every turn of a conversation, the cheapest of
 * ``relabel``: giving it another role;
 * ``insert``: an empty turn of one role before it, or at the end.
 
-Ties go to the smaller state number, so results do not depend on the plan.
+Of ways with equal cost, the smaller state number is taken at the end of each
+stretch, then backwards inside it: results depend on the parameters, not on the plan.
 
 Turn by turn the automaton has five states, so a stretch of turns is a 5 x 5
 matrix of costs, and stretches compose.  Conversations are cut into stretches of

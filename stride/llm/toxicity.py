@@ -38,7 +38,8 @@ class ToxicityParams:
     terms: int = 512          # hashed terms that the machine sees
     factors: int = 6
     min_rows: int = 5         # sample rows a term occurs in, at least
-    epochs: int = 60
+    least_z: float = 3.0      # standard errors between the classes' shares of a term, at least
+    steps: int = 2000         # of the fit, on batches of at most ``batch`` rows
     batch: int = 512
     rate: float = 0.02
     l2: float = 2e-4
@@ -120,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, learn=None, params: ToxicityParams
     chosen = (terms.select("toxic", F.explode("buckets").alias("bucket"))
               .groupBy("bucket").agg(F.count("*").alias("all"), F.sum((F.col("toxic") >= 1).cast("int")).alias("pos"))
               .where(F.col("all") >= params.min_rows)
-              .select("bucket", F.abs(z).alias("z")).orderBy(F.desc("z"), "bucket").limit(params.terms).collect())
+              .select("bucket", F.abs(z).alias("z")).where(F.col("z") >= params.least_z).orderBy(F.desc("z"), "bucket").limit(params.terms).collect())
     for i, r in enumerate(chosen):
         slots[r.bucket] = i
     width = len(chosen)
@@ -148,25 +149,25 @@ def fit(x: np.ndarray, y: np.ndarray, p: ToxicityParams) -> tuple[float, np.ndar
     w = np.zeros(d, np.float32)
     v = rng.normal(0, 0.02, (d, p.factors)).astype(np.float32)
     state = [[np.zeros_like(a), np.zeros_like(a)] for a in (w0, w, v)]
-    x2, step = x * x, 0
-    for epoch in range(p.epochs):
-        rate = p.rate * 0.5 * (1 + np.cos(np.pi * epoch / p.epochs))
-        order = rng.permutation(n)
-        for a in range(0, n, p.batch):
-            i = order[a:a + p.batch]
-            xb = x[i]
-            s = xb @ v
-            z = w0 + xb @ w + 0.5 * (s * s - x2[i] @ (v * v)).sum(axis=1)
-            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[i]) / len(i)
-            gv = xb.T @ (g[:, None] * s) - v * (x2[i].T @ g)[:, None] + p.l2 * v
-            grads = (g.sum(keepdims=True), xb.T @ g + p.l2 * w, gv)
-            step += 1
-            for value, grad, (m, q) in zip((w0, w, v), grads, state):
-                m *= 0.9
-                m += 0.1 * grad
-                q *= 0.999
-                q += 0.001 * grad * grad
-                value -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(q / (1 - 0.999 ** step)) + 1e-8)
+    x2, at, order = x * x, n, np.zeros(0, np.int64)
+    for step in range(1, p.steps + 1):
+        rate = p.rate * 0.5 * (1 + np.cos(np.pi * step / p.steps))
+        if at >= n:  # once through all rows
+            at, order = 0, rng.permutation(n)
+        i = order[at:at + p.batch]
+        at += p.batch
+        xb = x[i]
+        s = xb @ v
+        z = w0 + xb @ w + 0.5 * (s * s - x2[i] @ (v * v)).sum(axis=1)
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[i]) / len(i)
+        gv = xb.T @ (g[:, None] * s) - v * (x2[i].T @ g)[:, None] + p.l2 * v
+        grads = (g.sum(keepdims=True), xb.T @ g + p.l2 * w, gv)
+        for value, grad, (m, q) in zip((w0, w, v), grads, state):
+            m *= 0.9
+            m += 0.1 * grad
+            q *= 0.999
+            q += 0.001 * grad * grad
+            value -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(q / (1 - 0.999 ** step)) + 1e-8)
     return float(w0[0]), w, v
 
 
