@@ -17,8 +17,9 @@ compared).  Between classes:
 2. *Overlaps.*  Every list has a pivot, the class with the fewest rarer values
    (the likely original of a group of copies); all others are paired with it.
    After these links are joined to components, only pairs of a list whose
-   components still differ are generated, under the size and position bounds on
-   the overlap they could have.  A group of thousands of copies thus costs its
+   components still differ are generated, under bounds on the overlap they could
+   have: by size, by position in the lists, and by the parities of the sketches'
+   last bytes (256 bits, of which unshared values turn one each).  A group of thousands of copies thus costs its
    size, not its square, as far as its members link to the pivot.
 3. *Union-sketch estimate.*  The ``k`` smallest values of both sketches together
    are a sketch of the union; pairs with fewer than ``need(k)`` common ones go.
@@ -108,15 +109,20 @@ def sketches(docs: DataFrame, p: NearParams) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, p: NearParams) -> DataFrame:
-    """(v, n, head, whole): the long sketch and, where it is not whole, the full set."""
+    """(v, n, head, bits, whole): the long sketch, the parities of its values per
+    last byte (256 bits), and, where the sketch is not whole, the full set."""
     words, k = p.words, p.long
 
+    def bits(head):
+        odd = np.bincount(head & 255, minlength=256) & 1
+        return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
     def make(texts):
         sets = shingle_sets(texts, words)
-        return {"n": [len(s) for s in sets], "head": [s[:k] for s in sets],
+        return {"n": [len(s) for s in sets], "head": [s[:k] for s in sets], "bits": [bits(s[:k]) for s in sets],
                 "whole": [s if len(s) > k else None for s in sets]}
 
-    return map_texts(docs, ["v"], "n long, head array<long>, whole array<long>", make)
+    return map_texts(docs, ["v"], "n long, head array<long>, bits array<long>, whole array<long>", make)
 
 
 def prefixes(sets: DataFrame, k: int, p: NearParams) -> DataFrame:
@@ -141,7 +147,9 @@ def prefixes(sets: DataFrame, k: int, p: NearParams) -> DataFrame:
 
 
 def could_link(a: str, b: str, p: NearParams):
-    """Size and position bounds on the overlap of two classes of one list."""
+    """Size, position and parity bounds on the overlap of two classes of one list: a
+    value that only one of them has turns a parity, so differing bits count at
+    most the values they do not share."""
     s = p.percent / 100
     exact, need = int(p.long * s), p.need(p.long)
     col = lambda t, c: F.col(f"{t}.{c}")
@@ -150,7 +158,9 @@ def could_link(a: str, b: str, p: NearParams):
     overlap = F.when(both_whole, F.ceil((col(a, "n") + col(b, "n")) * (s / (1 + s)) - 1e-9)).otherwise(
         F.least(F.lit(need), F.ceil(F.least(col(a, "n"), col(b, "n")) * s - 1e-9)))
     return ((F.least(col(a, "n"), col(b, "n")) * 100 >= F.greatest(col(a, "n"), col(b, "n")) * p.percent)
-            & (reach >= overlap))
+            & (reach >= overlap)
+            & (sum((F.bit_count(F.get(col(a, "bits"), F.lit(i)).bitwiseXOR(F.get(col(b, "bits"), F.lit(i))))
+                    for i in range(4)), F.lit(0)) <= col(a, "size") + col(b, "size") - 2 * overlap))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
@@ -201,8 +211,8 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     going = stored(prefixes(vectors, p.short, p).select("v").distinct(), "near-going")
     named = docs.select(F.col("doc_id").alias("v"), "text").join(going, "v")
     sets = stored(full_sets(named, p), "near-set")
-    lists = stored(prefixes(sets.select("v", "n", "head"), p.long, p), "near-list")
-    pivots = stored(lists.groupBy("value").agg(F.min(F.struct("pos", "v", "n", "size")).alias("p"))
+    lists = stored(prefixes(sets.select("v", "n", "head"), p.long, p).join(sets.select("v", "bits"), "v"), "near-list")
+    pivots = stored(lists.groupBy("value").agg(F.min(F.struct("pos", "v", "n", "size", "bits")).alias("p"))
                     .select("value", "p.*"), "near-pivot")
     tried = stored(lists.alias("x").join(pivots.alias("y"), "value")
                    .where((F.col("x.v") != F.col("y.v")) & could_link("x", "y", p))
