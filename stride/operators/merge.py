@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .staging import surrogate_key
@@ -24,14 +24,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     absent from the source stay as they are.
 
     One full outer join on the key (each side shuffled once, or not at all
-    when already partitioned on it).
+    when already partitioned on it).  A key that the source repeats raises:
+    no one row of it could be chosen.
     """
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
     update = set(update_cols if update_cols is not None else [c for c in source.columns if c not in keys])
     t = target.withColumn("_present", F.lit(True)).alias("t")
     s = source.select(*keys, *[c for c in source.columns if c not in keys]) \
-        .withColumn("_present", F.lit(True)).alias("s")
+        .withColumn("_present", once(keys)).alias("s")
     j = t.join(s, keys, "full_outer")
     in_s = F.col("s._present").isNotNull()
     in_t = F.col("t._present").isNotNull()
@@ -47,6 +48,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return j.select(*keys, *out)
 
 
+def once(keys: Sequence[str]) -> Column:
+    """TRUE on a row whose key is its own; raises where a key repeats."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    names = ", ".join(keys)
+    return F.when(n == 1, F.lit(True)).otherwise(F.raise_error(F.lit(f"merge source repeats a key ({names})")).cast("boolean"))
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """MRG-3 (``ON CONFLICT DO NOTHING``): source rows with a new key are added
     once; existing keys keep the target row."""
@@ -76,13 +84,12 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return child.filter(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
 
 
-def cache_lookup(requests: DataFrame, cache: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """JON-8: (hits, misses).  Hits carry the cache columns; misses are the
-    requests with no cache row and go on to resolution."""
+def cache_lookup(requests: DataFrame, cache: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """JON-8: the requests with the cache columns and ``cache_hit``: one left
+    join, both sides read once.  Misses (``not cache_hit``) go on to resolution."""
     keys = list(keys)
-    hits = requests.join(cache, keys, "inner")
-    misses = requests.join(cache.select(*keys), keys, "left_anti")
-    return hits, misses
+    marked = cache.withColumn("cache_hit", F.lit(True))
+    return requests.join(marked, keys, "left").withColumn("cache_hit", F.coalesce("cache_hit", F.lit(False)))
 
 
 # -- MRG-5: change log -----------------------------------------------------------

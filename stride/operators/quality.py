@@ -72,7 +72,8 @@ def check(name: str, col: str, predicate: Column) -> Rule:        # QLT-13 / QLT
 
 
 def primary_key(*cols: str) -> list[Rule]:                        # QLT-16
-    return [*[not_null(c) for c in cols], unique(*cols)]
+    """Not null and unique, from one grouping on the key (the table is read once)."""
+    return [Rule("primary_key", ",".join(cols), tuple(cols))]
 
 
 def foreign_key(col: str, parent: DataFrame, parent_col: str) -> Rule:   # QLT-17
@@ -116,7 +117,7 @@ def _element(r: Rule) -> Column:
 def evaluate(df: DataFrame, rules: Sequence[Rule], suite: str) -> DataFrame:
     """Report rows for ``rules`` over ``df`` (lazy; nothing is collected)."""
     parts: list[DataFrame] = []
-    row_rules = [r for r in rules if r.kind not in ("unique", "foreign_key")]
+    row_rules = [r for r in rules if r.kind not in ("unique", "foreign_key", "primary_key")]
     if row_rules:
         aggs = []
         for i, r in enumerate(row_rules):
@@ -144,15 +145,30 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], suite: str) -> DataFrame:
             parts.append(dup.select(F.lit(r.label).alias("rule"), F.lit(r.column).alias("column_name"),
                                     F.col("e").cast("bigint").alias("element_count"),
                                     F.col("u").cast("bigint").alias("unexpected_count")))
+        elif r.kind == "primary_key":
+            cols = list(r.args)
+            some = [F.col(c).isNull() for c in cols]
+            whole = F.lit(True)
+            for null in some:
+                whole = whole & ~null
+            total = lambda when: F.coalesce(F.sum(F.when(when, F.col("_n"))), F.lit(0)).cast("bigint")
+            one = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).agg(
+                total(F.lit(True)).alias("e"), total(whole).alias("e_whole"),
+                total(whole & (F.col("_n") > 1)).alias("twice"), *[total(null).alias(f"n{i}") for i, null in enumerate(some)])
+            entry = lambda rule, col, e, u: F.struct(
+                F.lit(rule).alias("rule"), F.lit(col).alias("column_name"), F.col(e).alias("element_count"),
+                F.col(u).alias("unexpected_count"))
+            parts.append(one.select(F.inline(F.array(
+                *[entry("not_null", c, "e", f"n{i}") for i, c in enumerate(cols)], entry("unique", r.column, "e_whole", "twice")))))
         elif r.kind == "foreign_key":
-            parent = r.parent.select(F.col(r.args[0]).alias(r.column)).distinct()
-            child = df.select(r.column).filter(F.col(r.column).isNotNull())
-            orphans = child.join(parent, r.column, "left_anti").agg(F.count(F.lit(1))).scalar()
-            total = child.agg(F.count(F.lit(1)).alias("e"))
-            parts.append(total.select(
-                F.lit(r.label).alias("rule"), F.lit(r.column).alias("column_name"),
-                F.col("e").cast("bigint").alias("element_count"),
-                orphans.cast("bigint").alias("unexpected_count")))
+            # one row for each key value before it meets the parents: the child is read once, a hot key is one row
+            counts = (df.filter(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("_n")))
+            parent = r.parent.select(F.col(r.args[0]).alias(r.column)).distinct().withColumn("_known", F.lit(True))
+            both = counts.join(parent, r.column, "left").agg(
+                F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("e"),
+                F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("u"))
+            parts.append(both.select(F.lit(r.label).alias("rule"), F.lit(r.column).alias("column_name"),
+                                     F.col("e").alias("element_count"), F.col("u").alias("unexpected_count")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -231,3 +247,49 @@ def run_gate(check_name: str, *args, raise_on_failure: bool = True, **kw) -> Dat
         if not row["success"]:
             raise QualityError(f"check {check_name} failed: observed {row['observed']}, expected {row['expected']}")
     return out
+
+
+# -- the named checks of a run (QLT-18): written tables against each other -----------
+
+def check_employees_loaded(read, as_of) -> list[DataFrame]:
+    return [gate_not_empty(read("staging.employees"), "employees_loaded")]
+
+
+def check_sports_practice_loaded(read, as_of) -> list[DataFrame]:
+    return [gate_not_empty(read("staging.sports_practice"), "sports_practice_loaded")]
+
+
+def check_activities_generated(read, as_of) -> list[DataFrame]:
+    return [gate_min_volume(read("raw.activities")),
+            gate_same_count(read("raw.activities"), read("staging.activities")),
+            gate_no_future(read("staging.activities"), "start_dt", as_of)]
+
+
+def check_advantages_computed(read, as_of) -> list[DataFrame]:
+    return [gate_same_count(read("staging.employees"), read("marts.eligibility_prime"), "coverage_prime"),
+            gate_same_count(read("staging.employees"), read("marts.eligibility_wellbeing"), "coverage_wellbeing")]
+
+
+CHECKS: dict[str, Callable[..., list[DataFrame]]] = {
+    "employees_loaded": check_employees_loaded,
+    "sports_practice_loaded": check_sports_practice_loaded,
+    "activities_generated": check_activities_generated,
+    "advantages_computed": check_advantages_computed,
+}
+
+
+def run_check(name: str, read: Callable[[str], DataFrame], as_of: dt.datetime,
+              raise_on_failure: bool = True) -> DataFrame:
+    """The outcome rows (check_name, observed, expected, success) of a named
+    check on the tables that ``read`` returns; an unknown name is an error."""
+    if name not in CHECKS:
+        raise KeyError(f"unknown check {name!r}; known: {sorted(CHECKS)}")
+    gates = CHECKS[name](read, as_of)
+    out = gates[0]
+    for g in gates[1:]:
+        out = out.unionByName(g)
+    if raise_on_failure:
+        bad = [f"{r.check_name}: observed {r.observed}, expected {r.expected}" for r in out.collect() if not r.success]
+        if bad:
+            raise QualityError(f"check {name} failed: " + "; ".join(bad))
+    return out

@@ -73,20 +73,6 @@ def ensure_not_empty(df: DataFrame, what: str) -> None:
         raise EmptyInputError(f"{what} is empty — load it first")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a frame over at least the cluster's default parallelism
-    when it arrives in fewer partitions (one small file, one row group)
-    before CPU-heavy per-row work (JSON text).  Large inputs already have far
-    more splits than cores, so at scale this is a no-op and adds no shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().executedPlan().toString()  # planning only, no job
-    if "Exchange" in plan:
-        # already shuffled (spark.sql.shuffle.partitions); and asking an
-        # adaptive plan for its partitions would run its shuffle stages
-        return df
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def parse_documents(raw: DataFrame, *keep: str, column: str = "payload",
                     schema=S.ACTIVITY_PAYLOAD_SCHEMA) -> DataFrame:
     """SRC-5: the JSON payload parsed ONCE per row into top-level columns.
@@ -96,7 +82,7 @@ def parse_documents(raw: DataFrame, *keep: str, column: str = "payload",
     one pruned parse per field (measured 3x slower on the event documents).
     """
     parsed = F.from_json(F.col(column), schema)
-    return spread(raw).select(*keep, F.inline(F.array(parsed)))
+    return raw.select(*keep, F.inline(F.array(parsed)))
 
 
 def json_int(text: "F.Column", field: str, strict: bool) -> "F.Column":
@@ -111,29 +97,39 @@ def json_int(text: "F.Column", field: str, strict: bool) -> "F.Column":
             .otherwise(value)
 
 
+def required(text: "F.Column", field: str, strict: bool) -> "F.Column":
+    """A field every document must have; a malformed document has none of them."""
+    if not strict:
+        return text
+    return F.when(text.isNull(), F.raise_error(F.concat(
+        F.lit(f"missing payload field {field} in document "), F.col("activity_id").cast("string")))).otherwise(text)
+
+
 def rejected_documents(raw: DataFrame) -> DataFrame:
-    """Documents whose integer fields do not all parse (the lenient mode's
-    rejects), with the offending field names."""
+    """Documents the strict flatten refuses (malformed, a required field missing,
+    an integer field that is none), with the offending field names."""
     doc = parse_documents(raw, "activity_id", schema=S.ACTIVITY_PAYLOAD_TEXT_SCHEMA)
     texts = {f: F.col(f) for f in S.PAYLOAD_INT_FIELDS}
     texts["athlete.id"] = F.col("athlete")["id"]
-    bad = [F.when(t.isNotNull() & t.try_cast("bigint").isNull(), F.lit(f)) for f, t in texts.items()]
+    bad = [F.when(F.col(f).isNull(), F.lit(f)) for f in S.PAYLOAD_REQUIRED_FIELDS]
+    bad += [F.when(t.isNotNull() & t.try_cast("bigint").isNull(), F.lit(f)) for f, t in texts.items()]
     return (doc.select("activity_id", F.array_compact(F.array(*bad)).alias("bad_fields"))
             .filter(F.size("bad_fields") > 0))
 
 
 def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True,
-                     scratch_dir: str | None = None, id_start: int = 1) -> DataFrame:
+                     scratch_dir: str | None = None, id_start: int = 1, keep: tuple = ()) -> DataFrame:
     """PRJ-9/10: typed projection of the JSON activity documents.
 
     start_dt is the UTC instant of ``start_date`` (wall clock, NTZ);
     end_dt = start_dt + elapsed_time seconds; JSON null -> NULL.  Integer
-    fields are read as text and cast here: strictly by default (``"10.5"``
-    raises), or leniently (NULL; ``rejected_documents`` lists them).
+    fields are read as text and cast here: strictly by default (malformed
+    documents, missing required fields and ``"10.5"`` raise), or leniently (NULL;
+    ``rejected_documents`` lists them).  Columns ``keep`` of ``raw`` are carried.
     """
-    doc = parse_documents(raw, "activity_id", "athlete_id", schema=S.ACTIVITY_PAYLOAD_TEXT_SCHEMA)
-    start = F.col("start_date").cast("timestamp").cast("timestamp_ntz")
-    elapsed = json_int(F.col("elapsed_time"), "elapsed_time", strict)
+    doc = parse_documents(raw, "activity_id", "athlete_id", *keep, schema=S.ACTIVITY_PAYLOAD_TEXT_SCHEMA)
+    start = required(F.col("start_date"), "start_date", strict).cast("timestamp").cast("timestamp_ntz")
+    elapsed = json_int(required(F.col("elapsed_time"), "elapsed_time", strict), "elapsed_time", strict)
     out = doc.select(
         F.col("activity_id").alias("source_activity_id"),
         F.col("athlete_id").alias("id_employee"),
@@ -144,8 +140,12 @@ def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True,
         json_int(F.col("moving_time"), "moving_time", strict).cast("int").alias("moving_time_s"),
         F.col("comment").alias("comment"),
         F.lit(False).alias("posted_to_slack"),
+        *keep,
     )
     if with_id:
+        # number narrow rows, already parsed and written: ranging them twice (a range
+        # exchange samples its input) would parse every document twice
+        out = written(out, scratch_dir)
         out = surrogate_key(out, ["start_dt", "source_activity_id"], "id_activity",
                             start=id_start, scratch_dir=scratch_dir)
     return out
@@ -172,7 +172,7 @@ def build_payloads(fields: DataFrame, source: str = S.RAW_ACTIVITY_SOURCE) -> Da
         F.lit(S.LOCAL_TZ_LABEL).alias("timezone"),
         F.col("comment").alias("comment"),
     )
-    return spread(fields).select(
+    return fields.select(
         F.col("activity_id"),
         F.col("athlete_id"),
         F.to_json(doc, {"ignoreNullFields": "false"}).alias("payload"),
@@ -195,6 +195,14 @@ def stage_sports(sport_rows: DataFrame, employees: DataFrame) -> DataFrame:
 
 # -- SRT-1: surrogate key in a global order ------------------------------------
 
+def written(df: DataFrame, scratch_dir: str | None = None) -> DataFrame:
+    """``df`` written once as a scratch table in the shared work folder and read back."""
+    base = scratch_dir or work_path(df.sparkSession, "tmp")
+    path = f"{base.rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def surrogate_key(df: DataFrame, order_cols: list[str], name: str = "id",
                   start: int = 1, scratch_dir: str | None = None) -> DataFrame:
     """Dense 1-based row number in ``order_cols`` order, without a one-partition window.
@@ -218,10 +226,7 @@ def surrogate_key(df: DataFrame, order_cols: list[str], name: str = "id",
                 .withColumns({"_pid": F.shiftright("_mid", 33),
                               "_rn": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1})
                 .drop("_mid"))
-    base = scratch_dir or work_path(df.sparkSession, "tmp")
-    path = f"{base.rstrip('/')}/surrogate-{uuid.uuid4().hex}"
-    numbered.write.parquet(path)
-    numbered = df.sparkSession.read.parquet(path)
+    numbered = written(numbered, scratch_dir)
     counts = numbered.groupBy("_pid").agg(F.max("_rn").alias("_n"))
     offsets = counts.select(
         "_pid",

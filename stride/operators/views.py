@@ -4,7 +4,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -30,7 +30,7 @@ def _kpi_by_unit(rows: DataFrame) -> DataFrame:
         F.count("id_employee").alias("nb_employees"),
         F.count(F.when(F.col("_p"), F.col("id_employee"))).alias("nb_eligible_prime"),
         F.count(F.when(F.col("_w"), F.col("id_employee"))).alias("nb_eligible_wellbeing"),
-        F.coalesce(F.sum("_amt"), F.lit(0)).cast("decimal(14,2)").alias("total_prime_cost_eur"),
+        F.coalesce(F.sum("_amt"), F.lit(0)).cast("decimal(38,2)").alias("total_prime_cost_eur"),
         F.coalesce(F.sum("_days"), F.lit(0)).cast("bigint").alias("total_wellbeing_days"),
     )
 
@@ -78,7 +78,7 @@ def kpi_global(safe: DataFrame, prime: DataFrame, wellbeing: DataFrame) -> DataF
     p = prime.agg(
         F.count_if(F.col("is_eligible")).alias("n"),
         F.coalesce(F.sum(F.when(F.col("is_eligible"), F.col("prime_amount"))), F.lit(0))
-         .cast("decimal(12,2)").alias("cost"))
+         .cast("decimal(38,2)").alias("cost"))
     w = wellbeing.agg(
         F.count_if(F.col("is_eligible")).alias("n"),
         F.coalesce(F.sum(F.when(F.col("is_eligible"), F.col("days_granted"))), F.lit(0))
@@ -173,16 +173,28 @@ def rate_summary(prime: DataFrame) -> DataFrame:
     """AGG-5: per rate: eligible count, total amount."""
     return prime.groupBy("prime_rate").agg(
         F.count_if(F.col("is_eligible")).alias("nb_eligible"),
-        F.sum("prime_amount").cast("decimal(14,2)").alias("cout_total"),
+        F.sum("prime_amount").cast("decimal(38,2)").alias("cout_total"),
     ).orderBy("prime_rate")
 
 
 def what_if_cost(detail: DataFrame, new_rate: Decimal) -> DataFrame:
-    """AGG-8: projected cost ``SUM(amount / rate * new_rate)`` over eligible rows."""
-    per_row = (F.col("montant_prime_eur").cast("double") / F.col("taux").cast("double")
-               * F.lit(float(new_rate)))
-    return detail.filter(F.col("eligible")).agg(
-        F.round(F.coalesce(F.sum(per_row), F.lit(0.0)), 2).cast("decimal(14,2)").alias("cout_projete"))
+    """AGG-8: projected cost ``SUM(amount) / rate * new_rate`` over eligible rows.
+
+    Amounts are summed exactly per rate (as cents); the ratio of the two rates
+    is a ratio of integers, rounded half up once per rate, so the last cent does
+    not depend on the order of the sum."""
+    cents = (F.sum(F.col("montant_prime_eur").cast("decimal(38,2)")) * 100).cast("decimal(38,0)")
+    per_rate = (detail.filter(F.col("eligible") & (F.col("taux") > 0)).groupBy("taux").agg(cents.alias("cents"))
+                .select(rounded_ratio(F.col("cents") * int(new_rate * 10000), (F.col("taux") * 10000).cast("decimal(38,0)"), 0)
+                        .alias("c")))
+    return per_rate.agg((F.coalesce(F.sum("c"), F.lit(0)).cast("decimal(30,0)") * F.lit(Decimal("0.01")))
+                        .cast("decimal(38,2)").alias("cout_projete"))
+
+
+def kpi_by_cost(kpi: DataFrame) -> DataFrame:
+    """SRT-3: the unit KPI, costliest unit first, with its place (one row per unit)."""
+    by_cost = Window.orderBy(F.desc("total_prime_cost_eur"), "bu")
+    return kpi.withColumn("place", F.row_number().over(by_cost)).orderBy("place")
 
 
 def count_histogram(detail: DataFrame, column: str = "nb_activites") -> DataFrame:

@@ -66,7 +66,7 @@ def step(spark: SparkSession, name: str, run_id: str, sink=None):
     except BaseException as e:  # noqa: BLE001 - recorded, then re-raised
         error = e
         ctx.status = "FAIL"
-        ctx.message = f"{type(e).__name__}: {e}"[:2000]
+        ctx.message = f"{type(e).__name__}: {e}"
     finally:
         row = run_log_row(ctx, started, (time.perf_counter() - t0) * 1000)
         ctx.row = row  # type: ignore[attr-defined]

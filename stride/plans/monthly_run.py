@@ -1,5 +1,5 @@
-"""E1 — the full benefit run as one Spark driver function (11 monitored steps
-with the four named checks of the source system).
+"""E1 — the full benefit run as one Spark driver function (12 monitored steps,
+four of them the named checks of the source system).
 
 ``run(spark, sf_dir, params)`` chains the steps of the monthly run:
 raw HR and sport files -> staging (typed, normalised, pseudonymised, geo
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import columns as C
 from ..operators import benefits as B
 from ..operators import merge as M
 from ..operators import notify as N
@@ -28,26 +29,9 @@ from ..sources import bindings as BD
 from ..sources.store import TableStore
 from .catalog import activity_rules, employee_rules
 from .inputs import EVENTS_AS_OF
-from .monitor import new_run_id, step
+from .monitor import step
 
-
-ACTIVITY_SEQUENCE = "staging.activities.id_activity"
-SEQUENCE_SCHEMA = "name string, last_value long, run_id string"
-
-
-def next_sequence_value(store: TableStore, name: str) -> int:
-    """Next value of an identity sequence kept in ``audit.sequences`` (one
-    small row per allocation; read as a one-row aggregate)."""
-    if not store.exists("audit.sequences"):
-        return 1
-    last = (store.read("audit.sequences").filter(F.col("name") == F.lit(name))
-            .agg(F.max("last_value")).first()[0])
-    return 1 if last is None else int(last) + 1
-
-
-def record_sequence_value(store: TableStore, name: str, last_value: int, run_id: str) -> None:
-    row = store.spark.createDataFrame([(name, int(last_value), run_id)], SEQUENCE_SCHEMA)
-    store.append(row, "audit.sequences")
+CACHE = "staging.distance_cache"
 
 
 @dataclass
@@ -57,30 +41,36 @@ class RunResult:
     counts: dict
 
 
-def _written(store: TableStore, df: DataFrame, table: str, how: str = "write",
-             metric=None, extra: dict | None = None) -> int:
-    """Write ``df`` and return its row count (or ``metric``) observed DURING
-    the write — an ``Observation``, not a second job over the table.
-    ``extra`` maps names to more aggregate metrics; their values are written
-    back into that dict."""
+def _written(store: TableStore, df: DataFrame, table: str, how: str = "write") -> int:
+    """Write ``df`` and return its row count, observed DURING the write (an
+    ``Observation``, not a second job over the table)."""
     obs = Observation()
-    metric = F.count(F.lit(1)) if metric is None else metric
-    metrics = [metric.alias("n"), *[m.alias(k) for k, m in (extra or {}).items()]]
-    getattr(store, how)(df.observe(obs, *metrics), table)
-    got = obs.get
-    for k in (extra or {}):
-        extra[k] = got[k]
-    return int(got["n"])
-
-
-def _require(check: str, ok: bool, observed, expected: str) -> None:
-    """A named gate on figures observed while the tables were written
-    (same rule as ``quality.run_gate``, without re-scanning the tables)."""
-    if not ok:
-        raise Q.QualityError(f"check {check} failed: observed {observed}, expected {expected}")
-
-
-def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
+    getattr(store, how)(df.observe(obs, F.count(F.lit(1)).alias("n")), table)
+    return int(obs.get["n"])
+
+
+def resolve_distances(staged: DataFrame, store: TableStore, params: BenefitParams, scratch: str) -> DataFrame:
+    """JON-8 -> MRG-2 -> JON-9: commute distances from the cache; misses are
+    resolved (here by the binding's answer), upserted into the cache, and the
+    employees updated by key.  Unresolved ones stay NULL."""
+    keys = ["address_hash", "mode"]
+    mode = F.try_element_at(C.literal_map(S.ACTIVE_MODE_ROUTING), F.col("moyen_deplacement"))
+    requests = staged.filter(C.is_active_commute("moyen_deplacement")).select(
+        "id_employee", C.address_hash("adresse_domicile").alias("address_hash"), mode.alias("mode"),
+        F.col("distance_resolved_m").alias("answer_m"))
+    cache = store.read(CACHE) if store.exists(CACHE) else store.spark.createDataFrame([], S.DISTANCE_CACHE_SCHEMA)
+    looked = ST.written(M.cache_lookup(requests, cache, keys), scratch)
+    resolved = (looked.filter(~F.col("cache_hit") & F.col("answer_m").isNotNull())
+                .select(*keys, F.col("answer_m").alias("distance_m"),
+                        F.floor(F.col("answer_m") * 3 / 10).cast("int").alias("duration_s"),
+                        F.lit(params.as_of).cast("timestamp_ntz").alias("resolved_at"))
+                .dropDuplicates(keys))
+    store.write(M.upsert(cache, resolved, keys), CACHE)
+    found = looked.select("id_employee", F.coalesce("distance_m", "answer_m").alias("distance_resolved_m"))
+    return M.update_by_key(staged, found, ["id_employee"], ["distance_resolved_m"])
+
+
+def run(spark: SparkSession, sf_dir: str, params: BenefitParams,
         store: TableStore | None = None, post_limit: int = 50,
         report_dir: str | None = None, fail_on_quality: bool = True,
         mark_undelivered: bool = True) -> RunResult:
@@ -89,7 +79,6 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
     and, as in the source system, is still marked posted unless
     ``mark_undelivered`` is False."""
     configure(spark)  # UTC session zone: wall-clock UTC timestamps throughout
-    params = params or BenefitParams(run_id=new_run_id())
     store = store or TableStore(spark)
     run_id = params.run_id
     log = lambda df: store.append(df, "audit.run_log")
@@ -97,16 +86,25 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
     # scratch data of this run (numbered rows, the delivery batch); removed at the end
     scratch = work_path(spark, "tmp", f"run-{run_id}")
 
+    def check(name: str) -> None:
+        """A named check on the written tables; its outcomes go to the run log."""
+        with step(spark, f"check_{name}", run_id, log) as ctx:
+            outcomes = Q.run_check(name, store.read, params.as_of, raise_on_failure=False).collect()  # a row per gate
+            ctx.message = "; ".join(f"{r.check_name}: observed {r.observed}, expected {r.expected}" for r in outcomes)
+            if not all(r.success for r in outcomes):
+                raise Q.QualityError(f"check {name} failed: {ctx.message}")
+
     def table(name: str) -> DataFrame:
         return BD.table(spark, sf_dir, name)
 
     with step(spark, "extract_rh", run_id, log) as ctx:
         hr = BD.hr_file(table("customer"))
         ctx.rows_in = _written(store, hr, "raw.employees", "refresh")
-        staged = ST.apply_geo(ST.stage_employees(store.read("raw.employees"), params), params)
+    with step(spark, "resolve_distances", run_id, log) as ctx:
+        staged = ST.stage_employees(store.read("raw.employees"), params)
+        staged = ST.apply_geo(resolve_distances(staged, store, params, scratch), params)
         ctx.rows_out = counts["employees"] = _written(store, staged, "staging.employees", "refresh")
-    with step(spark, "check_employees_loaded", run_id, log):
-        _require("employees_loaded", counts["employees"] > 0, counts["employees"], "> 0")
+    check("employees_loaded")
 
     with step(spark, "extract_sport", run_id, log) as ctx:
         employees = store.read("staging.employees")
@@ -117,8 +115,7 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
             sports = M.insert_if_absent(store.read("staging.sports_practice"), sports,
                                         ["id_employee", "sport_pratique"])
         ctx.rows_out = counts["sports"] = _written(store, sports, "staging.sports_practice")
-    with step(spark, "check_sports_practice_loaded", run_id, log):
-        _require("sports_practice_loaded", counts["sports"] > 0, counts["sports"], "> 0")
+    check("sports_practice_loaded")
 
     with step(spark, "load_raw_activities", run_id, log) as ctx:
         docs = ST.build_payloads(BD.event_activity_fields(table("events")))
@@ -128,30 +125,25 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         if counts["raw_activities"] == 0:  # SNK-3, on the count observed at load
             raise ST.EmptyInputError("raw.activities is empty — load it first")
         ctx.rows_in = counts["raw_activities"]
-        # ids continue the identity sequence across reloads (it survives truncation)
-        first_id = next_sequence_value(store, ACTIVITY_SEQUENCE)
-        flat = ST.flatten_payloads(raw, with_id=True, scratch_dir=scratch, id_start=first_id) \
-            .withColumn("start_day", F.to_date("start_dt"))
-        # partitioned by start day: marking posted activities rewrites only their days
-        future = {"future": F.count_if(F.col("start_dt") > F.lit(params.as_of).cast("timestamp_ntz"))}
-        ctx.rows_out = counts["activities"] = _written(
-            store, flat, "staging.activities", "write_by_day", extra=future)
-        counts["future_activities"] = int(future["future"])
-        record_sequence_value(store, ACTIVITY_SEQUENCE, first_id + ctx.rows_out - 1, run_id)
-    with step(spark, "check_activities_generated", run_id, log):
-        raw_n, n = counts["raw_activities"], counts["activities"]
-        _require("min_volume", raw_n >= S.MIN_RAW_ACTIVITIES, raw_n, f">= {S.MIN_RAW_ACTIVITIES}")
-        _require("reconciliation", n == raw_n, n, f"= {raw_n} (raw)")
-        _require("no_future_rows", counts["future_activities"] == 0, counts["future_activities"], "= 0")
+        flat = ST.flatten_payloads(raw, with_id=True, scratch_dir=scratch).withColumn("start_day", F.to_date("start_dt"))
+        ctx.rows_out = counts["activities"] = _written(store, flat, "staging.activities", "write_by_day")
+    check("activities_generated")
 
     with step(spark, "quality", run_id, log) as ctx:
         acts = store.read("staging.activities").withColumn(
             "elapsed_s", F.timestamp_diff("SECOND", F.col("start_dt"), F.col("end_dt")).cast("int"))
         report_path = report_dir or work_path(spark, "reports", run_id, "quality")
         try:
-            report = Q.run_suites({"employees": (store.read("staging.employees"), employee_rules()),
-                                   "activities": (acts, activity_rules(params.as_of))}, report_path,
-                                  raise_on_failure=False)
+            employees = store.read("staging.employees")
+            report = Q.run_suites({
+                "employees": (employees, [*employee_rules(), Q.check("salary_positive", "salaire_brut", F.col("salaire_brut") >= 0)]),
+                "sports": (store.read("staging.sports_practice"),
+                           [*Q.primary_key("id_employee", "sport_pratique"), Q.foreign_key("id_employee", employees, "id_employee")]),
+                "activities": (acts, [*activity_rules(params.as_of), *Q.primary_key("id_activity"),
+                                      Q.check("end_after_start", "end_dt", F.col("end_dt") > F.col("start_dt")),
+                                      Q.in_set("sport_type", S.SPORTS),
+                                      Q.foreign_key("id_employee", employees, "id_employee")]),
+            }, report_path, raise_on_failure=False)
             failed = [f"{r.suite}.{r.rule}({r.column_name})"
                       for r in report.filter(~F.col("success")).collect()]  # one row per rule
             report.unpersist()
@@ -159,7 +151,7 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
                 raise Q.QualityError("quality suites failed: " + ", ".join(failed))
         except Q.QualityError as e:
             # the row says FAIL; the run stops only when asked to
-            ctx.fail(str(e)[:2000])
+            ctx.fail(str(e))
             if fail_on_quality:
                 raise
 
@@ -168,20 +160,16 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         activities = store.read("staging.activities")
         for mart, new in (("marts.eligibility_prime", B.compute_prime(employees, params)),
                           ("marts.eligibility_wellbeing", B.compute_wellbeing(employees, activities, params))):
-            if store.exists(mart):
-                before = store.read(mart)
-                changes = M.change_log_from_merge(before, new, "id_employee", mart, params.as_of, "stride")
-                store.append(changes.select("changed_at", "changed_by", "table_name", "operation",
-                                            "id_employee", F.to_json("old_data").alias("old_data"),
-                                            F.to_json("new_data").alias("new_data")),
-                             "audit.eligibility_changes")
-                new = M.upsert(before, new, ["id_employee"])
-            counts[mart] = _written(store, new, mart)
+            # a mart that does not exist yet is an empty one: its rows are logged as inserts
+            before = store.read(mart) if store.exists(mart) else spark.createDataFrame([], new.schema)
+            changes = M.change_log_from_merge(before, new, "id_employee", mart, params.as_of, "stride")
+            store.append(changes.select("changed_at", "changed_by", "table_name", "operation",
+                                        "id_employee", F.to_json("old_data").alias("old_data"),
+                                        F.to_json("new_data").alias("new_data")),
+                         "audit.eligibility_changes")
+            counts[mart] = _written(store, M.upsert(before, new, ["id_employee"]), mart)
         ctx.rows_out = counts["prime"] = counts["marts.eligibility_prime"]
-    with step(spark, "check_advantages_computed", run_id, log):
-        for mart in ("marts.eligibility_prime", "marts.eligibility_wellbeing"):
-            _require("coverage", counts[mart] == counts["employees"], counts[mart],
-                     f"= {counts['employees']} (employees)")
+    check("advantages_computed")
 
     with step(spark, "notify", run_id, log) as ctx:
         acts = store.read("staging.activities")
@@ -195,12 +183,12 @@ def run(spark: SparkSession, sf_dir: str, params: BenefitParams | None = None,
         ctx.rows_out = counts["posted"] = _written(store, records, "audit.outbox", "append")
         # undelivered messages also go to the JSON-lines outbox (SNK-5)
         N.append_outbox(records.select("payload", "error"), f"{store.root}/outbox_jsonl")
-        days = [r[0] for r in batch.select(F.to_date("start_dt")).distinct().collect()]  # <= post_limit
-        if not mark_undelivered:
-            days = []
-        store.rewrite_partitions("staging.activities", "start_day", days,
-                                 lambda current: N.mark_posted(current, batch.select("id_activity")),
-                                 cluster_by=["id_activity"])
+        if mark_undelivered:  # a new version of the table, day by day as before
+            store.write(N.mark_posted(acts, batch.select("id_activity")).repartitionByRange("start_day", "id_activity"),
+                        "staging.activities", partition_by=["start_day"])
+    for name in ("raw.employees", "raw.sports", "raw.activities", "staging.employees", "staging.sports_practice",
+                 "staging.activities", CACHE, "marts.eligibility_prime", "marts.eligibility_wellbeing"):
+        store.vacuum(name, keep=3)
     store.delete_path(scratch)
     return RunResult(run_id, store, counts)
 

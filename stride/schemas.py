@@ -38,7 +38,6 @@ ACTIVE_MODE_ROUTING = {
     "Marche/running": "walking",
     "Vélo/Trottinette/Autres": "bicycling",
 }
-ROUTING_MODES = ("walking", "bicycling", "driving", "transit")
 DEFAULT_WALKING_MAX_KM = 15.0
 DEFAULT_CYCLING_MAX_KM = 25.0
 
@@ -125,9 +124,6 @@ MOVING_TIME_MIN, MOVING_TIME_MAX = 0, 86_400
 ACTIVITY_MIN_START = "2024-01-01 00:00:00"
 MIN_RAW_ACTIVITIES = 500
 
-RUN_STATUSES = ("OK", "WARN", "FAIL")
-CHANGE_OPERATIONS = ("INSERT", "UPDATE", "DELETE")
-
 # ---------------------------------------------------------------------------
 # Header contracts of the input files
 # ---------------------------------------------------------------------------
@@ -163,7 +159,7 @@ HR_FILE_SCHEMA = T.StructType([
     T.StructField("Date de naissance", T.StringType()),
     T.StructField("BU", T.StringType()),
     T.StructField("Date d'embauche", T.StringType()),
-    T.StructField("Salaire brut", T.DoubleType()),
+    T.StructField("Salaire brut", T.DecimalType(12, 2)),
     T.StructField("Type de contrat", T.StringType()),
     T.StructField("Nombre de jours de CP", T.IntegerType()),
     T.StructField("Adresse du domicile", T.StringType()),
@@ -193,6 +189,7 @@ ACTIVITY_PAYLOAD_SCHEMA = T.StructType([
 
 # The same document read with its numbers as text: the flatten casts them
 # itself, strictly (a non-integer raises) or leniently (NULL, counted).
+PAYLOAD_REQUIRED_FIELDS = ("start_date", "elapsed_time")
 PAYLOAD_INT_FIELDS = ("id", "distance", "moving_time", "elapsed_time")
 ACTIVITY_PAYLOAD_TEXT_SCHEMA = T.StructType([
     T.StructField(f.name, T.StringType()) if f.name in PAYLOAD_INT_FIELDS
@@ -208,60 +205,6 @@ RAW_ACTIVITIES_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
 ])
 
-STAGING_ACTIVITIES_COLUMNS = (
-    "id_activity", "source_activity_id", "id_employee", "start_dt", "end_dt",
-    "sport_type", "distance_m", "moving_time_s", "comment", "posted_to_slack",
-)
-
-PRIME_MART_SCHEMA = T.StructType([
-    T.StructField("id_employee", T.LongType(), False),
-    T.StructField("is_eligible", T.BooleanType(), False),
-    T.StructField("prime_rate", T.DecimalType(5, 4), False),
-    T.StructField("prime_amount", T.DecimalType(12, 2), False),
-    T.StructField("reason", T.StringType(), False),
-    T.StructField("computed_at", T.TimestampType(), False),
-    T.StructField("run_id", T.StringType(), False),
-])
-
-WELLBEING_MART_SCHEMA = T.StructType([
-    T.StructField("id_employee", T.LongType(), False),
-    T.StructField("is_eligible", T.BooleanType(), False),
-    T.StructField("activity_count", T.IntegerType(), False),
-    T.StructField("threshold", T.IntegerType(), False),
-    T.StructField("days_granted", T.IntegerType(), False),
-    T.StructField("reason", T.StringType(), False),
-    T.StructField("computed_at", T.TimestampType(), False),
-    T.StructField("run_id", T.StringType(), False),
-])
-
-RUN_LOG_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("step_name", T.StringType(), False),
-    T.StructField("status", T.StringType(), False),
-    T.StructField("rows_in", T.LongType()),
-    T.StructField("rows_out", T.LongType()),
-    T.StructField("duration_ms", T.LongType()),
-    T.StructField("message", T.StringType()),
-    T.StructField("started_at", T.TimestampType(), False),
-])
-
-DISTANCE_CACHE_SCHEMA = T.StructType([
-    T.StructField("address_hash", T.StringType(), False),
-    T.StructField("mode", T.StringType(), False),
-    T.StructField("distance_m", T.IntegerType(), False),
-    T.StructField("duration_s", T.IntegerType(), False),
-    T.StructField("resolved_at", T.TimestampType(), False),
-])
-
-QUALITY_REPORT_SCHEMA = T.StructType([
-    T.StructField("suite", T.StringType(), False),
-    T.StructField("rule", T.StringType(), False),
-    T.StructField("column_name", T.StringType(), False),
-    T.StructField("element_count", T.LongType(), False),
-    T.StructField("unexpected_count", T.LongType(), False),
-    T.StructField("success", T.BooleanType(), False),
-])
-
 # Run-log rows as written by the step wrapper (wall-clock UTC, no zone).
 RUN_LOG_SCHEMA_NTZ = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -273,3 +216,12 @@ RUN_LOG_SCHEMA_NTZ = T.StructType([
     T.StructField("message", T.StringType()),
     T.StructField("started_at", T.TimestampNTZType(), False),
 ])
+
+# Cached answers of the distance service.
+DISTANCE_CACHE_SCHEMA = T.StructType([
+    T.StructField("address_hash", T.StringType()),
+    T.StructField("mode", T.StringType()),
+    T.StructField("distance_m", T.IntegerType()),
+    T.StructField("duration_s", T.IntegerType()),
+    T.StructField("resolved_at", T.TimestampNTZType()),
+])

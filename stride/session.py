@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -43,6 +44,24 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def submitted_session(app_name: str = "stride") -> SparkSession:
+    """The session as submitted (``spark-submit``, ``PYSPARK_SUBMIT_ARGS``, defaults
+    file): whatever is set there stays, and only what is unset gets a default."""
+    SparkContext._ensure_initialized()  # the launcher's settings are read with the JVM
+    given = SparkConf()
+    b = SparkSession.builder
+    if not given.contains("spark.app.name"):
+        b = b.appName(app_name)
+    if not given.contains("spark.master"):
+        b = b.master("local[*]")
+    for k, v in DEFAULT_CONF.items():
+        if not given.contains(k):
+            b = b.config(k, v)
+    spark = b.getOrCreate()
+    ensure_work_dir(spark)  # a cluster without a shared folder is refused here
+    return spark
+
+
 def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
     try:
         value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

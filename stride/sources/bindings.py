@@ -8,7 +8,7 @@ with that table and Catalyst prunes the columns it does not need.
 Binding choices (all deterministic):
 
 * employees      <- customer: id ``c_custkey``, address ``c_name``, unit
-  ``c_mktsegment``, salary ``abs(c_acctbal) * 10``, commute mode from
+  ``c_mktsegment``, salary ``10000 + abs(c_acctbal) * 10``, commute mode from
   ``c_nationkey % 4`` (label spelling varies with ``c_nationkey / 4``), resolved
   commute distance ``(c_custkey * 7919) % 40000`` metres.
 * activities     <- orders: id ``o_orderkey``, employee ``o_custkey``, start
@@ -48,8 +48,8 @@ EVENT_DECLARED_SPORT = {
     # "error" declares nothing (NULL)
 }
 ACTIVITY_NO_DISTANCE_CATEGORY = "4-NOT SPECIFIED"
-ACTIVITY_COMMENT_BY_STATUS = {"P": "Petite séance tranquille"}
-EVENT_COMMENT_TEXT = "Reprise du sport :)"
+ACTIVITY_COMMENT_BY_STATUS = {"P": "Order still being filled"}
+EVENT_COMMENT_TEXT = "Every tenth key"
 DISTANCE_MULTIPLIER = 7919
 DISTANCE_MODULUS = 40000
 
@@ -91,8 +91,8 @@ def hr_file(customer: DataFrame) -> DataFrame:
 
 
 def salary_from_balance(acctbal: Column) -> Column:
-    """Staging salary of the binding: ``abs(balance)`` to cents, times 10."""
-    return (F.abs(acctbal).cast("decimal(12,2)") * 10).cast("decimal(12,2)")
+    """Staging salary of the binding: 10,000 and ten times ``abs(balance)`` to cents (inside the suite's range)."""
+    return (F.abs(acctbal).cast("decimal(12,2)") * 10 + 10000).cast("decimal(12,2)")
 
 
 # -- activities -------------------------------------------------------------

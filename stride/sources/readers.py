@@ -15,11 +15,24 @@ class HeaderContractError(ValueError):
     """Input file columns do not match the declared contract."""
 
 
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast to the contract's types; a value that does not parse raises,
+    whatever the session's ANSI setting (a permissive reader would make it NULL)."""
+    cols = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        value = c.try_cast(f.dataType)
+        bad = F.raise_error(F.concat(F.lit(f"invalid {f.dataType.simpleString()} in column {f.name}: "), c))
+        cols.append((c if f.dataType == T.StringType() else F.when(c.isNotNull() & value.isNull(), bad).otherwise(value))
+                    .alias(f.name))
+    return df.select(*cols)
+
+
 def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None = None,
             options: Mapping[str, str] | None = None):
     r = spark.read.format(fmt).options(**(options or {}))
     if fmt == "csv":
-        r = r.option("header", True).option("enforceSchema", False)
+        r = r.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
     if schema is not None:
         r = r.schema(schema)
     return r
@@ -56,7 +69,8 @@ def with_provenance(df: DataFrame, column_map: Mapping[str, str],
     ``_metadata`` column, so it must be applied to a file scan.
     """
     out = df.withColumnsRenamed(dict(column_map))
-    src = F.lit(source_file) if source_file is not None else F.col("_metadata.file_name")
+    src = F.lit(source_file) if source_file is not None else \
+        F.col("source_file" if "source_file" in df.columns else "_metadata.file_name")
     ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None \
         else F.current_timestamp().cast("timestamp_ntz")
     return out.withColumns({"source_file": src, "loaded_at": ts})
@@ -70,8 +84,20 @@ def scan_with_contract(spark: SparkSession, path: str, column_map: Mapping[str,
     """Scan a file whose header must match ``column_map``'s keys, then rename."""
     header = file_header(spark, path, fmt)
     (check_ordered_header if ordered else check_header_set)(header, column_map.keys())
-    df = _reader(spark, fmt, schema, options).load(path)
-    return with_provenance(df, column_map, loaded_at=loaded_at)
+    return with_provenance(_scan(spark, path, fmt, header, schema, options), column_map, loaded_at=loaded_at)
+
+
+def _scan(spark: SparkSession, path: str, fmt: str, header: list[str], schema: T.StructType | None,
+          options: Mapping[str, str] | None) -> DataFrame:
+    """The file's columns in its own order; text files are read as text and cast by name."""
+    if schema is None:
+        df = _reader(spark, fmt, None, options).load(path)
+        return df.select("*", F.col("_metadata.file_name").alias("source_file"))
+    text = T.StructType([T.StructField(h, T.StringType()) for h in header])
+    df = _reader(spark, fmt, text, options).load(path)
+    df = df.select("*", F.col("_metadata.file_name").alias("source_file"))
+    by_name = {f.name: f for f in schema.fields}
+    return typed(df, T.StructType([*[by_name[h] for h in header], T.StructField("source_file", T.StringType())]))
 
 
 def scan_hr_file(spark: SparkSession, path: str, fmt: str = "csv",
@@ -88,24 +114,15 @@ def scan_sport_file(spark: SparkSession, path: str, fmt: str = "csv",
     """Sport file: two columns, order free."""
     header = file_header(spark, path, fmt)
     check_header_set(header, S.SPORT_COLUMN_MAP.keys())
-    schema = None
-    if fmt == "csv":  # CSV binds a schema by position: follow the file's order
-        by_name = {f.name: f for f in S.SPORT_FILE_SCHEMA.fields}
-        schema = T.StructType([by_name[h] for h in header])
-    df = _reader(spark, fmt, schema, options).load(path)
-    return with_provenance(df, S.SPORT_COLUMN_MAP, loaded_at=loaded_at)
-
-
-def scan_columns(spark: SparkSession, path: str, columns: Iterable[str], fmt: str = "parquet") -> DataFrame:
-    """SRC-4: table scan with a column subset (pruned into the ReadSchema)."""
-    return spark.read.format(fmt).load(path).select(*columns)
+    schema = S.SPORT_FILE_SCHEMA if fmt == "csv" else None
+    return with_provenance(_scan(spark, path, fmt, header, schema, options), S.SPORT_COLUMN_MAP, loaded_at=loaded_at)
 
 
 def scan_payload_documents(spark: SparkSession, path: str, array_field: str | None = None) -> DataFrame:
     """SRC-5 for files: one JSON document per line, or a multi-line document
     whose ``array_field`` holds the records (exploded into rows)."""
     if array_field is None:
-        return spark.read.schema(S.ACTIVITY_PAYLOAD_SCHEMA).json(path)
+        return spark.read.schema(S.ACTIVITY_PAYLOAD_SCHEMA).option("mode", "FAILFAST").json(path)
     wrapper = T.StructType([T.StructField(array_field, T.ArrayType(S.ACTIVITY_PAYLOAD_SCHEMA))])
-    doc = spark.read.option("multiLine", True).schema(wrapper).json(path)
+    doc = spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(wrapper).json(path)
     return doc.select(F.explode(F.col(array_field)).alias("r")).select("r.*")

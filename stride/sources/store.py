@@ -1,25 +1,28 @@
-"""Layered Parquet tables with versioned, atomically visible rewrites
-(SNK-1, SNK-2, SNK-7, and the commit step of every MRG-*).
-
-A table lives at ``<root>/<layer>/<name>/v<NNNNNNNN>``.  A rewrite goes to
-the next version folder and becomes visible only once Spark's committer has
-written ``_SUCCESS`` there, so a reader never sees a half-written table, a
-job may read version N while writing N+1 (no overwrite of a path being
-read), and an executor lost during the write only retries tasks of the
-new version.  The root defaults to ``tables`` under the shared work folder
-(``spark.checkpoint.dir``), so the layout works on any Hadoop filesystem.
+"""Layered Parquet tables whose writes become visible whole (SNK-1, SNK-2,
+SNK-7, and the commit step of every MRG-*).
+
+A table lives at ``<root>/<layer>/<name>``.  A rewrite goes to the next version
+folder ``v<NNNNNNNN>``, an append to a part folder ``v<NNNNNNNN>.a<NNNNNNNN>`` of
+the current version, a batch of a stream to a table of its own below the
+name.  A folder counts only once Spark's committer has written ``_SUCCESS``
+there, and no committed folder is ever changed: a reader never sees half of a
+write, a job may read version N while writing N+1, and a write that failed
+half-way is simply not there when it is tried again.  The root defaults to
+``tables`` under the shared work folder (``spark.checkpoint.dir``), so the
+layout works on any Hadoop filesystem.
 """
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import work_path
 
+VERSION = re.compile(r"v\d{8}(?:\.a\d{8})?")
+
 # Reloading a parent table empties these dependents (TRUNCATE ... CASCADE).
 DEFAULT_CASCADE: Mapping[str, Sequence[str]] = {
     "staging.employees": ("staging.sports_practice", "staging.activities",
@@ -49,27 +52,23 @@ class TableStore:
         layer, name = qualified.split(".", 1)
         return f"{self.root}/{layer}/{name}"
 
-    def versions(self, qualified: str) -> list[int]:
-        """Committed versions (folders holding ``_SUCCESS``), ascending."""
-        base = self.table_dir(qualified)
-        if not self._exists(base):
-            return []
-        fs, p = self._fs(base)
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
-                if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                    out.append(int(name[1:]))
-        return sorted(out)
-
-    def _all_versions(self, qualified: str) -> list[int]:
+    def _folders(self, qualified: str) -> dict[str, bool]:
+        """Folder name below the table's -> whether it is committed."""
         base = self.table_dir(qualified)
         if not self._exists(base):
-            return []
+            return {}
         fs, p = self._fs(base)
-        return sorted(int(st.getPath().getName()[1:]) for st in fs.listStatus(p)
-                      if st.getPath().getName().startswith("v") and st.getPath().getName()[1:].isdigit())
+        return {st.getPath().getName(): bool(fs.exists(st.getPath().suffix("/_SUCCESS")))
+                for st in fs.listStatus(p) if st.isDirectory()}
+
+    def versions(self, qualified: str) -> list[int]:
+        """Committed versions (folders holding ``_SUCCESS``), ascending."""
+        return sorted(int(n[1:]) for n, done in self._folders(qualified).items() if done and VERSION.fullmatch(n) and len(n) == 9)
+
+    def _parts(self, qualified: str, version: int) -> list[str]:
+        """Committed appends to a version, in order."""
+        head = f"v{version:08d}.a"
+        return sorted(n for n, done in self._folders(qualified).items() if done and n.startswith(head))
 
     def current_path(self, qualified: str) -> str | None:
         v = self.versions(qualified)
@@ -83,13 +82,13 @@ class TableStore:
         path = self.current_path(qualified)
         if path is None:
             raise FileNotFoundError(f"table {qualified} has no committed version under {self.root}")
-        return self.spark.read.parquet(path)
+        parts = self._parts(qualified, self.versions(qualified)[-1])
+        return self.spark.read.parquet(path, *[f"{self.table_dir(qualified)}/{n}" for n in parts])
 
     def write(self, df: DataFrame, qualified: str, partition_by: Sequence[str] = ()) -> str:
-        """SNK-1: full refresh as a new version (atomic on ``_SUCCESS``)."""
-        allv = self._all_versions(qualified)
-        nxt = (allv[-1] + 1) if allv else 1
-        path = f"{self.table_dir(qualified)}/v{nxt:08d}"
+        """SNK-1: full refresh as a new version (visible on ``_SUCCESS``)."""
+        known = [int(n[1:9]) for n in self._folders(qualified) if VERSION.fullmatch(n)]
+        path = f"{self.table_dir(qualified)}/v{max(known, default=0) + 1:08d}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -101,62 +100,47 @@ class TableStore:
         return self.write(df, qualified, partition_by=[day_col])
 
     def append(self, df: DataFrame, qualified: str) -> str:
-        """SNK-7: append rows to the current version (first append creates it)."""
-        path = self.current_path(qualified)
-        if path is None:
+        """SNK-7: rows added to the current version as a part of their own,
+        all visible at once (the first append creates the table)."""
+        versions = self.versions(qualified)
+        if not versions:
             return self.write(df, qualified)
-        df.write.mode("append").parquet(path)
-        return path
-
-    def overwrite_partitions(self, df: DataFrame, qualified: str, partition_col: str) -> str:
-        """Replace only the partitions present in ``df`` (dynamic partition
-        overwrite into the current version; other partitions are untouched).
-        ``df`` must not read the table itself — stage it first."""
-        path = self.current_path(qualified)
-        if path is None:
-            return self.write(df, qualified, partition_by=[partition_col])
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
+        head = f"v{versions[-1]:08d}.a"
+        used = [int(n[len(head):]) for n in self._folders(qualified) if n.startswith(head)]
+        path = f"{self.table_dir(qualified)}/{head}{max(used, default=0) + 1:08d}"
+        df.write.mode("errorifexists").parquet(path)
         return path
 
-    def drop_partitions(self, qualified: str, partition_col: str, values: Iterable) -> None:
-        """Remove partitions of the current version that became empty."""
-        path = self.current_path(qualified)
-        if path is None:
-            return
-        for v in values:
-            fs, p = self._fs(f"{path}/{partition_col}={v}")
-            if fs.exists(p):
-                fs.delete(p, True)
-
-    def rewrite_partitions(self, qualified: str, partition_col: str, values: Sequence,
-                           change: Callable[[DataFrame], DataFrame],
-                           cluster_by: Sequence[str] = ()) -> None:
-        """Rewrite only the partitions ``values`` of a partitioned table:
-        ``change`` maps their current rows to the new rows (which must stay
-        inside ``values``).  The result is staged in the work folder first (a
-        job never overwrites what it reads), then swapped in by dynamic
-        partition overwrite; partitions left without rows are removed.
-        ``values`` is a bounded list (the partitions one batch touches).
-        The new rows are range-partitioned by ``(partition_col, *cluster_by)``
-        before the write, so each task writes one or two partitions (no
-        tasks x partitions small files) and a hot partition is split by the
-        ``cluster_by`` key rather than landing in one task."""
-        values = list(values)
-        if not values:
-            return
-        current = self.read(qualified).filter(F.col(partition_col).isin(values))
-        staged_path = work_path(self.spark, "tmp", f"rewrite-{uuid.uuid4().hex}")
-        (change(current).repartitionByRange(partition_col, *cluster_by)
-         .write.partitionBy(partition_col).parquet(staged_path))
-        staged = self.spark.read.parquet(staged_path)
-        kept = {str(r[0]) for r in staged.select(partition_col).distinct().collect()}
-        self.overwrite_partitions(staged, qualified, partition_col)
-        self.drop_partitions(qualified, partition_col, [v for v in values if str(v) not in kept])
-        self.delete_path(staged_path)  # swapped in: the staged copy is no longer read
+    # -- batches of a stream --------------------------------------------------
+    def write_batch(self, df: DataFrame, qualified: str, tag: str) -> str:
+        """The rows of one batch as a table of its own: writing the same tag
+        again (a replay) publishes a new version that replaces the earlier attempt."""
+        return self.write(df, f"{qualified}/{tag}")
+
+    def batches(self, qualified: str) -> list[str]:
+        """Tags with a committed version."""
+        return sorted(n for n in self._folders(qualified)
+                      if not VERSION.match(n) and self.exists(f"{qualified}/{n}"))
+
+    def read_batches(self, qualified: str, skip: Iterable[str] = ()) -> DataFrame | None:
+        """The current rows of all batches but ``skip``; None without any."""
+        tags = [t for t in self.batches(qualified) if t not in set(skip)]
+        if not tags:
+            return None
+        return self.spark.read.parquet(*[self.current_path(f"{qualified}/{t}") for t in tags])
+
+    # -- removal ------------------------------------------------------------------
+    def vacuum(self, qualified: str, keep: int = 2) -> None:
+        """Remove all but the ``keep`` latest committed versions, their parts,
+        and older attempts that never committed."""
+        kept = self.versions(qualified)[-keep:]
+        for name in self._folders(qualified):
+            m = VERSION.match(name)
+            if m and kept and int(name[1:9]) < kept[0]:
+                self.delete_path(f"{self.table_dir(qualified)}/{name}")
 
     def delete_path(self, path: str) -> None:
-        """Remove a scratch folder this library wrote (never a table version)."""
+        """Remove a folder this library wrote (scratch data or an old version)."""
         fs, p = self._fs(path)
         if fs.exists(p):
             fs.delete(p, True)
@@ -166,15 +150,9 @@ class TableStore:
 
     def refresh(self, df: DataFrame, qualified: str) -> str:
         """SNK-1 + SNK-2: reload a table; its dependents are rewritten empty
-        with their current schema (the reload's TRUNCATE ... CASCADE)."""
-        path = self.write(df, qualified)
+        with their current schema (the reload's TRUNCATE ... CASCADE) before the
+        new rows are published, so no reader joins them to rows of the old load."""
         for dep in self.cascade.get(qualified, ()):
             if self.exists(dep):
                 self.empty(dep, self.read(dep).schema)
-        return path
-
-    def layers(self) -> Iterable[str]:
-        if not self._exists(self.root):
-            return []
-        fs, p = self._fs(self.root)
-        return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+        return self.write(df, qualified)

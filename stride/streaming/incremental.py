@@ -1,92 +1,106 @@
 """Incremental variants on Structured Streaming (STR-1, STR-2).
 
-STR-1  Raw activity documents land as JSON-lines files; a file-source
-       stream flattens each micro-batch (PRJ-9/10) and upserts it into the
-       staging table by ``source_activity_id`` (MRG-1) in ``foreachBatch``;
-       the table is partitioned by start day and a batch rewrites only the
-       days it touches.
-       Re-delivered documents replace their row, so the table equals the
-       batch flatten of all documents, whatever the batch boundaries.
-
-STR-2  Idempotent delivery: each micro-batch of pending activities drops
-       the ids already delivered (anti join on the delivered-id table),
-       renders the rest, writes them to the outbox partition of the batch's
-       tag, then records the ids in the same tag's partition.  A replayed
-       batch (same tag, after a failure between the writes) replaces only
-       its own partitions, so every activity is emitted exactly once.
-
-Both streams keep their progress in a checkpoint folder under the shared
-work folder, so a restarted driver or lost executors resume from the last
-committed batch.
+STR-1  Raw activity documents land as JSON-lines files; a file-source stream
+       flattens each micro-batch (PRJ-9/10) once, into a table of its own.  A
+       document may be delivered again, changed, and on another day: every row
+       carries its delivery (file time, file name, a digest), and the staging
+       view keeps the latest delivery of each key.  That view does not depend on
+       the batch boundaries, and a replayed batch replaces only its own table,
+       so a failure between any two writes loses and repeats nothing.
+       ``compact`` folds finished batches into one table (day partitions).
+
+STR-2  Idempotent delivery: each micro-batch of pending activities drops the
+       ids delivered by other batches (anti join), renders the rest into the
+       batch's own outbox table, then records their ids in the batch's own id
+       table.  A replayed batch (same tag, after a failure between the writes)
+       publishes new versions of its own tables only, so every activity is
+       emitted exactly once.
+
+Both streams keep their progress in a checkpoint folder under the shared work
+folder, so a restarted driver or lost executors resume from the last committed
+batch.
 """
 from __future__ import annotations
 
 import hashlib
-import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import merge as M
 from ..operators import notify as N
 from ..operators import staging as ST
-from ..session import work_path
 from ..sources.store import TableStore
 
 STAGING = "staging.activities"
 DELIVERED = "audit.delivered_ids"
 OUTBOX = "audit.outbox"
+KEY = "source_activity_id"
+#: The order of deliveries: a later file wins, then the file name, then the digest of the document.
+DELIVERY = ("delivered_at", "delivered_file", "delivered_digest")
 
 
 def raw_document_stream(spark: SparkSession, landing: str, max_files: int = 64) -> DataFrame:
-    """File-source stream of raw documents (``activity_id, athlete_id, payload, source``)."""
+    """File-source stream of raw documents (``activity_id, athlete_id, payload, source``) with their delivery."""
     return (spark.readStream.schema(S.RAW_ACTIVITIES_SCHEMA)
-            .option("maxFilesPerTrigger", max_files).json(landing))
-
-
-def merge_flat_batch(spark: SparkSession, flat: DataFrame, store: TableStore,
-                     key: str = "source_activity_id", day_col: str = "start_day") -> None:
-    """Upsert one flattened micro-batch into ``staging.activities``,
-    partitioned by start day, rewriting ONLY the days it touches.
-
-    Affected days = days of the batch rows plus the days where the batch's
-    keys live today (a re-delivered document may move to another day); that
-    lookup reads two columns, pruned to the row groups overlapping the
-    batch's key range.  The
-    day list is a bounded summary (distinct days of one batch), so it is
-    read on the driver and becomes a static partition filter; the merged
-    days are staged in the work folder and then swapped in with a dynamic
-    partition overwrite.
-    """
-    flat = flat.withColumn(day_col, F.to_date(F.col("start_dt")))
-    if not store.exists(STAGING):
-        # range-partitioned by (day, key): each task writes one or two days
-        store.write(flat.repartitionByRange(day_col, key), STAGING, partition_by=[day_col])
-        return
-    table = store.read(STAGING)
-    keys = flat.select(key).distinct()
-    # the batch's key range becomes a pushed filter: Parquet row groups whose
-    # key range misses it are skipped (ids mostly grow with time), and the
-    # semi join keeps the lookup exact
-    lo, hi = flat.agg(F.min(key), F.max(key)).first()
-    moved = (table.select(key, day_col).filter(F.col(key).between(lo, hi))
-             .join(keys, key, "left_semi").select(day_col))
-    days = [r[0] for r in flat.select(day_col).union(moved).distinct().collect()]
-    store.rewrite_partitions(STAGING, day_col, days,
-                             lambda current: M.upsert(current, flat.select(*table.columns), [key]),
-                             cluster_by=[key])
+            .option("maxFilesPerTrigger", max_files).json(landing)
+            .select("*", F.col("_metadata.file_modification_time").alias("delivered_at"),
+                    F.col("_metadata.file_name").alias("delivered_file"),
+                    F.xxhash64("payload").alias("delivered_digest")))
+
+
+def latest(rows: DataFrame, key: str = KEY) -> DataFrame:
+    """The latest delivery of each key (a partial aggregate on the key)."""
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(*DELIVERY)).alias("_r"))
+    return last.select(*[F.col(key) if c == key else F.col(f"_r.{c}").alias(c) for c in rows.columns])
+
+
+def current_rows(store: TableStore) -> DataFrame | None:
+    """All delivered rows: the compacted table and every batch (rows in both are equal)."""
+    rows = store.read_batches(STAGING)
+    if store.exists(STAGING):
+        folded = store.read(STAGING).drop("start_day")
+        rows = folded if rows is None else folded.unionByName(rows)
+    return rows
+
+
+def staging_activities(store: TableStore) -> DataFrame:
+    """The staging view of STR-1: one row for each activity, as last delivered."""
+    rows = current_rows(store)
+    if rows is None:
+        raise FileNotFoundError(f"no batch of {STAGING} under {store.root}")
+    return latest(rows).drop(*DELIVERY)
+
+
+def compact(store: TableStore) -> list[str]:
+    """Fold all batches into a new version of the compacted table.  Readers may
+    see the batches beside it, to the same result; ``drop_batches`` removes them
+    once nobody reads them any more."""
+    tags = store.batches(STAGING)
+    rows = latest(current_rows(store)).withColumn("start_day", F.to_date("start_dt"))
+    store.write(rows.repartitionByRange("start_day", KEY), STAGING, partition_by=["start_day"])
+    return tags
+
+
+def drop_batches(store: TableStore, tags: list[str]) -> None:
+    for tag in tags:
+        store.delete_path(f"{store.table_dir(STAGING)}/{tag}")
+
+
+def write_flat_batch(batch: DataFrame, store: TableStore, tag: str) -> None:
+    """One micro-batch, flattened and written once (its documents in every delivered version)."""
+    store.write_batch(ST.flatten_payloads(batch, keep=DELIVERY), STAGING, tag)
 
 
 def incremental_flatten(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
-                        available_now: bool = True):
-    """STR-1: flatten arriving documents into ``staging.activities``."""
+                        available_now: bool = True, max_files: int = 64):
+    """STR-1: flatten arriving documents into batches of ``staging.activities``."""
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_flat_batch(spark, ST.flatten_payloads(batch.dropDuplicates(["activity_id"])), store)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_flat_batch(batch, store, batch_tag(checkpoint, batch_id))
 
-    q = (raw_document_stream(spark, landing).writeStream
-         .foreachBatch(merge_batch)
+    q = (raw_document_stream(spark, landing, max_files).writeStream
+         .foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
@@ -96,29 +110,18 @@ def deliver_batch(batch: DataFrame, tag: str, employees: DataFrame, store: Table
                   channel: str = "#sport", error: str = "no webhook configured") -> None:
     """One STR-2 micro-batch, identified by ``tag`` (stream + batch id).
 
-    Ids delivered by OTHER batches are dropped (anti join on the delivered
-    ids, one column read); the rest are rendered.  Outbox and delivered ids
-    are partitioned by ``batch_tag``, and a batch replaces only its own
-    partition (dynamic partition overwrite) — first the outbox, then the
-    ids.  Replaying a tag after a failure at any point leaves each activity
-    in the outbox exactly once, and no batch rewrites earlier batches' rows.
-    """
+    Ids delivered by OTHER batches are dropped (anti join; one column is read,
+    and only row groups that overlap the batch's key range, as ids mostly grow
+    with time); the rest are rendered.  First the outbox, then the ids."""
     todo = batch
-    if store.exists(DELIVERED):
-        others = store.read(DELIVERED).filter(F.col("batch_tag") != F.lit(tag))
-        todo = todo.join(others.select("id_activity"), "id_activity", "left_anti")
+    others = store.read_batches(DELIVERED, skip=[tag])
+    if others is not None:
+        low, high = batch.agg(F.min("id_activity"), F.max("id_activity")).first()
+        if low is not None:
+            todo = todo.join(others.filter(F.col("id_activity").between(low, high)), "id_activity", "left_anti")
     msgs = N.render_messages(todo, employees)
-    records = N.outbox_records(msgs, channel, error).withColumn("batch_tag", F.lit(tag))
-    # the outbox partition is written once, counted while it is written
-    obs = Observation()
-    store.overwrite_partitions(records.observe(obs, F.count(F.lit(1)).alias("n")), OUTBOX, "batch_tag")
-    if int(obs.get["n"]) == 0:
-        # nothing left to send: a stale partition of an earlier attempt goes
-        store.drop_partitions(OUTBOX, "batch_tag", [tag])
-        store.drop_partitions(DELIVERED, "batch_tag", [tag])
-        return
-    ids = store.read(OUTBOX).filter(F.col("batch_tag") == F.lit(tag)).select("id_activity", "batch_tag")
-    store.overwrite_partitions(ids, DELIVERED, "batch_tag")
+    store.write_batch(N.outbox_records(msgs, channel, error), OUTBOX, tag)
+    store.write_batch(store.read(f"{OUTBOX}/{tag}").select("id_activity"), DELIVERED, tag)
 
 
 def batch_tag(checkpoint: str, batch_id: int) -> str:
@@ -143,6 +146,6 @@ def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: D
             .trigger(availableNow=True).start())
 
 
-def write_landing(raw_documents: DataFrame, landing: str, files: int = 8) -> None:
-    """Land raw documents as JSON-lines files (the stream's input)."""
-    raw_documents.repartition(files, "activity_id").write.mode("append").json(landing)
+def write_landing(raw_documents: DataFrame, landing: str) -> None:
+    """Land raw documents as JSON-lines files (the stream's input), one for each input partition."""
+    raw_documents.write.mode("append").json(landing)

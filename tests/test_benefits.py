@@ -18,11 +18,11 @@ def employees(spark):
             (3, "Ventes", Decimal("40000.00"), "Transports en commun", None)]
     df = spark.createDataFrame(rows, "id_employee long, bu string, salaire_brut decimal(12,2), "
                                      "moyen_deplacement string, distance_resolved_m int")
-    return ST.apply_geo(df, BenefitParams(as_of=AS_OF))
+    return ST.apply_geo(df, BenefitParams(pii_salt="s", as_of=AS_OF))
 
 
 def test_prime_golden(spark, employees):
-    p = {r.id_employee: r for r in B.compute_prime(employees, BenefitParams(as_of=AS_OF)).collect()}
+    p = {r.id_employee: r for r in B.compute_prime(employees, BenefitParams(pii_salt="s", as_of=AS_OF)).collect()}
     assert [k for k, r in p.items() if r.is_eligible] == [1]
     assert p[1].prime_amount == Decimal("1500.00")
     assert p[1].reason == "OK — transport actif + déclaration cohérente"
@@ -32,7 +32,7 @@ def test_prime_golden(spark, employees):
 
 def test_prime_new_rate(spark, employees):
     p = {r.id_employee: r for r in
-         B.compute_prime(employees, BenefitParams(prime_rate=Decimal("0.07"), as_of=AS_OF)).collect()}
+         B.compute_prime(employees, BenefitParams(pii_salt="s", prime_rate=Decimal("0.07"), as_of=AS_OF)).collect()}
     assert p[1].prime_amount == Decimal("2100.00")
 
 
@@ -40,7 +40,7 @@ def test_prime_new_rate(spark, employees):
 def test_wellbeing_threshold_boundary(spark, employees, threshold, eligible):
     acts = spark.createDataFrame([(1, AS_OF - dt.timedelta(days=d + 1)) for d in range(15)],
                                  "id_employee long, start_dt timestamp_ntz")
-    w = B.compute_wellbeing(employees, acts, BenefitParams(wellbeing_threshold=threshold, as_of=AS_OF))
+    w = B.compute_wellbeing(employees, acts, BenefitParams(pii_salt="s", wellbeing_threshold=threshold, as_of=AS_OF))
     rows = {r.id_employee: r for r in w.collect()}
     assert sum(r.is_eligible for r in rows.values()) == eligible
     assert rows[1].activity_count == 15 and rows[3].activity_count == 0
@@ -52,14 +52,14 @@ def test_wellbeing_threshold_boundary(spark, employees, threshold, eligible):
 def test_window_edge_excludes_old(spark, employees):
     acts = spark.createDataFrame([(1, AS_OF - dt.timedelta(days=365)), (1, AS_OF - dt.timedelta(days=366))],
                                  "id_employee long, start_dt timestamp_ntz")
-    rows = {r.id_employee: r for r in B.compute_wellbeing(employees, acts, BenefitParams(as_of=AS_OF)).collect()}
+    rows = {r.id_employee: r for r in B.compute_wellbeing(employees, acts, BenefitParams(pii_salt="s", as_of=AS_OF)).collect()}
     assert rows[1].activity_count == 1
 
 
 def test_params_bounds():
     with pytest.raises(ValueError):
-        BenefitParams(prime_rate=Decimal("1.5"))
+        BenefitParams(pii_salt="s", prime_rate=Decimal("1.5"))
     with pytest.raises(ValueError):
-        BenefitParams(wellbeing_threshold=0)
+        BenefitParams(pii_salt="s", wellbeing_threshold=0)
     with pytest.raises(ValueError):
-        BenefitParams(walking_max_km=0)
+        BenefitParams(pii_salt="s", walking_max_km=0)

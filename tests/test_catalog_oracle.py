@@ -9,7 +9,7 @@ from stride.plans import catalog
 from tests.conftest import SF0001
 from tools.oracle_check import TABLES, canon
 
-ROWS_ONLY = {"srt_06_random_row"}  # random by design: no oracle
+ROWS_ONLY: set[str] = set()
 NAMES = sorted(set(catalog.QUERIES) - ROWS_ONLY)
 
 
@@ -28,11 +28,6 @@ def test_every_query_has_oracle():
     assert missing == ROWS_ONLY, missing
 
 
-def test_random_row(spark):
-    rows = E.queries()["srt_06_random_row"](spark, SF0001).collect()
-    assert len(rows) == 1 and rows[0].id_salarie is not None
-
-
 def test_entry_schema(spark):
     df = E.entry(spark)
     assert df.columns == ["bu", "nb_employees", "nb_eligible_prime", "nb_eligible_wellbeing",

@@ -95,7 +95,7 @@ def test_geo_fallback(spark):
     from stride.params import BenefitParams
     df = spark.createDataFrame([(1, "Marche/running", None, 43.5667, 3.9), (2, "Marche/running", None, 48.8566, 2.3522)],
                                "id long, moyen_deplacement string, d int, la double, lo double")
-    p = BenefitParams()
+    p = BenefitParams(pii_salt="s")
     plain = {r.id: (r.distance_domicile_m, r.is_declaration_suspect) for r in ST.apply_geo(df, p, "d").collect()}
     assert plain == {1: (None, True), 2: (None, True)}
     fb = C.haversine_m("la", "lo", 43.5667, 3.9)

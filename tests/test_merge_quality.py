@@ -104,3 +104,26 @@ def test_by_ids_list_and_frame(spark):
     assert sorted(r.k for r in V.by_ids(df, "k", [1, 3, 99]).collect()) == [1, 3]
     ids = spark.createDataFrame([(2,), (4,), (4,)], "x long")
     assert sorted(r.k for r in V.by_ids(df, "k", ids).collect()) == [2, 4]
+
+
+def test_upsert_refuses_a_repeated_source_key(spark):
+    tgt = spark.createDataFrame([(1, "a")], "k long, v string")
+    src = spark.createDataFrame([(1, "x"), (1, "y")], "k long, v string")
+    with pytest.raises(Exception, match="repeats a key"):
+        M.upsert(tgt, src, ["k"]).collect()
+
+
+def test_keys_in_one_pass(spark):
+    child = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3), (9, None)], "a long, b long")
+    parent = spark.createDataFrame([(1,), (1,), (2,)], "k long")
+    rep = {(r.rule, r.column_name): (r.element_count, r.unexpected_count) for r in Q.evaluate(
+        child, [*Q.primary_key("a", "b"), Q.foreign_key("a", parent, "k")], "s").collect()}
+    assert rep == {("not_null", "a"): (5, 1), ("not_null", "b"): (5, 1), ("unique", "a,b"): (3, 2), ("foreign_key", "a"): (4, 1)}
+    plan = Q.evaluate(child, Q.primary_key("a", "b"), "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1  # the table is read once
+
+
+def test_cache_lookup_marks_hits(spark):
+    req = spark.createDataFrame([(1, "x"), (2, "y")], "id long, k string")
+    cache = spark.createDataFrame([("x", 5)], "k string, d int")
+    assert rows(M.cache_lookup(req, cache, ["k"]).fillna(-1), "id", "d", "cache_hit") == [(1, 5, True), (2, -1, False)]

@@ -12,8 +12,8 @@ from tests.conftest import SF0001
 
 def test_monthly_run_and_logs(spark):
     store = TableStore(spark, tempfile.mkdtemp(prefix="stride-store-"))
-    params = BenefitParams(as_of=dt.datetime(2024, 1, 31), wellbeing_threshold=3, run_id="t-1")
-    res = monthly_run.run(spark, SF0001, params, store, fail_on_quality=False)
+    params = BenefitParams(pii_salt="s", as_of=dt.datetime(2024, 1, 31), wellbeing_threshold=3, run_id="t-1")
+    res = monthly_run.run(spark, SF0001, params, store)
     n = res.counts["employees"]
     assert store.read("marts.eligibility_prime").count() == n
     assert store.read("marts.eligibility_wellbeing").count() == n
@@ -25,22 +25,50 @@ def test_monthly_run_and_logs(spark):
     assert outbox.count() == 50 and set(outbox.columns) == {"payload", "error"}
     log = store.read("audit.run_log")
     steps = {r.step_name: r.status for r in log.collect()}
-    assert steps["compute_advantages"] == "OK" and steps["quality"] in ("OK", "FAIL")
-    # a second run: the reload empties the marts (cascade), so the change log shows INSERTs
-    res2 = monthly_run.run(spark, SF0001, params.with_(run_id="t-2"), store, fail_on_quality=False)
+    assert steps["compute_advantages"] == "OK" and steps["quality"] == "OK"
+    cache = store.read("staging.distance_cache")
+    active = store.read("staging.employees").filter(F.col("distance_domicile_m").isNotNull()).count()
+    assert 0 < cache.count() <= active and cache.dropDuplicates(["address_hash", "mode"]).count() == cache.count()
+    # every run logs an insert for each row of both marts (the reload empties them)
+    assert store.read("audit.eligibility_changes").count() == 2 * n
+    res2 = monthly_run.run(spark, SF0001, params.with_(run_id="t-2"), store)
     ch = store.read("audit.eligibility_changes")
-    assert ch.filter(F.col("operation") == "INSERT").count() == 2 * n
+    assert ch.filter(F.col("operation") == "INSERT").count() == 4 * n
     assert store.read("audit.run_log").select("run_id").distinct().count() == 2
-    assert len(store.versions("marts.eligibility_prime")) >= 3
-    # the activity ids continue the sequence across the reload
+    assert len(store.versions("marts.eligibility_prime")) == 3  # older versions are removed
     ids = store.read("staging.activities").agg(F.min("id_activity"), F.max("id_activity")).first()
-    assert (ids[0], ids[1]) == (res.counts["activities"] + 1, 2 * res.counts["activities"])
+    assert (ids[0], ids[1]) == (1, res2.counts["activities"])
 
 
 def test_command_line(spark, capsys):
     from stride.__main__ import main
-    out = main(["--sf-dir", SF0001, "--threshold", "3", "--as-of", "2024-01-31", "--keep-going",
+    out = main(["--sf-dir", SF0001, "--threshold", "3", "--as-of", "2024-01-31", "--salt", "s",
                 "--post-limit", "10"])
     assert out["employees"] == out["marts.eligibility_prime"] == out["marts.eligibility_wellbeing"]
     assert out["posted"] == 10 and out["activities"] == out["raw_activities"]
     assert '"run_id"' in capsys.readouterr().out
+
+
+def test_checks_see_a_lost_row(spark):
+    """Each named check fails on written tables that lack a row."""
+    import pytest
+
+    from stride.operators import quality as Q
+    params = BenefitParams(pii_salt="s", as_of=dt.datetime(2024, 1, 31), wellbeing_threshold=3, run_id="t-3")
+    store = TableStore(spark, tempfile.mkdtemp(prefix="stride-store-"))
+    monthly_run.run(spark, SF0001, params, store)
+    for name in Q.CHECKS:
+        Q.run_check(name, store.read, params.as_of)
+
+    def without_one(table):
+        return lambda q: store.read(q).filter(F.col(store.read(q).columns[0]) != store.read(q).first()[0]) if q == table else store.read(q)
+
+    for table, name in (("marts.eligibility_prime", "advantages_computed"), ("marts.eligibility_wellbeing", "advantages_computed"),
+                        ("staging.activities", "activities_generated")):
+        with pytest.raises(Q.QualityError, match=name):
+            Q.run_check(name, without_one(table), params.as_of)
+    for table, name in (("staging.employees", "employees_loaded"), ("staging.sports_practice", "sports_practice_loaded")):
+        with pytest.raises(Q.QualityError, match=name):
+            Q.run_check(name, lambda q: store.read(q).limit(0), params.as_of)
+    with pytest.raises(KeyError):
+        Q.run_check("no_such_check", store.read, params.as_of)

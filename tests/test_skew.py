@@ -27,7 +27,7 @@ def test_hot_employee(spark):
     assert "partial_count" in plan
     got = {r.id_employee: r.activity_count for r in counts.collect()}
     assert got[7] == n // 3 and sum(got.values()) == n
-    w = B.compute_wellbeing(emps, acts, BenefitParams(as_of=AS_OF, wellbeing_threshold=60))
+    w = B.compute_wellbeing(emps, acts, BenefitParams(pii_salt="s", as_of=AS_OF, wellbeing_threshold=60))
     assert w.filter("id_employee = 7").first().is_eligible
     msgs = N.render_messages(acts, emps)
     assert msgs.count() == n

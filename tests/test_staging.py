@@ -88,7 +88,7 @@ def test_stage_employees_types(spark):
     from stride.sources import bindings as BD
     from tests.conftest import SF0001
     hr = BD.hr_file(BD.table(spark, SF0001, "customer"))
-    st = ST.stage_employees(hr, BenefitParams())
+    st = ST.stage_employees(hr, BenefitParams(pii_salt="s"))
     types = dict(st.dtypes)
     assert types["id_employee"] == "bigint" and types["salaire_brut"] == "decimal(12,2)"
     assert types["date_naissance"] == "date" and types["jours_cp"] == "int"
@@ -105,14 +105,28 @@ def test_flatten_round_trip_equals_staging_binding(spark):
     assert a.exceptAll(b.select(*a.columns)).count() == 0
 
 
-def test_spread_only_upsizes_small_unshuffled_inputs(spark):
-    sc = spark.sparkContext
-    small = spark.range(0, 100, numPartitions=1)
-    assert ST.spread(small, 4).rdd.getNumPartitions() == 4
-    big = spark.range(0, 100, numPartitions=6)
-    assert ST.spread(big, 4) is big
-    shuffled = spark.range(0, 100, numPartitions=2).groupBy((F.col("id") % 3).alias("g")).count()
-    sc.setJobGroup("spread-check", "spread-check")
-    assert ST.spread(shuffled, 4) is shuffled  # decided from the plan, no job run
-    assert sc.statusTracker().getJobIdsForGroup("spread-check") == []
-    sc.setJobGroup("", "")
+def test_flatten_rejects_malformed_and_missing(spark):
+    doc = {"id": 1, "athlete": {"id": 2}, "start_date": "2025-01-01T00:00:00Z", "elapsed_time": 10}
+    rows = {1: json.dumps(doc), 2: "this is not json", 3: json.dumps({**doc, "elapsed_time": None}),
+            4: json.dumps({k: v for k, v in doc.items() if k != "start_date"})}
+    raw = spark.createDataFrame([(k, 2, v, "x") for k, v in rows.items()], S.RAW_ACTIVITIES_SCHEMA)
+    assert ST.flatten_payloads(raw.filter("activity_id = 1")).count() == 1
+    for k in (2, 3, 4):
+        with pytest.raises(Exception, match="missing payload field"):
+            ST.flatten_payloads(raw.filter(F.col("activity_id") == k)).collect()
+    assert {r.activity_id: list(r.bad_fields) for r in ST.rejected_documents(raw).collect()} == {
+        2: ["start_date", "elapsed_time"], 3: ["elapsed_time"], 4: ["start_date"]}
+    assert ST.flatten_payloads(raw, strict=False).count() == 4
+
+
+def test_csv_values_that_do_not_parse_raise(spark, tmp_path):
+    from stride.sources import readers as RD
+    header = ",".join(S.SPORT_COLUMN_MAP)
+    for name, id_, ok in (("good", "12", True), ("bad", "abc", False)):
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n{id_},Yoga\n,Tennis\n", encoding="utf-8")
+        df = RD.scan_sport_file(spark, str(tmp_path / f"{name}.csv"))
+        if ok:
+            assert sorted(str((r.id_salarie, r.sport_pratique)) for r in df.collect()) == ["(12, 'Yoga')", "(None, 'Tennis')"]
+        else:
+            with pytest.raises(Exception, match="invalid bigint"):
+                df.collect()

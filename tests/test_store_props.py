@@ -31,6 +31,21 @@ def test_refresh_cascades_to_dependents(spark):
     assert store.read("marts.m").count() == 0 and store.read("marts.m").columns == ["id"]
 
 
+def test_appends_are_whole_and_old_versions_go(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="store-"))
+    store.append(spark.range(2), "audit.t")
+    store.append(spark.range(3), "audit.t")
+    bad = spark.range(4).withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("id")))
+    with pytest.raises(Exception):
+        store.append(bad, "audit.t")
+    store.append(spark.range(1), "audit.t")
+    assert store.read("audit.t").count() == 6
+    for _ in range(4):
+        store.write(spark.range(5), "audit.t")
+    store.vacuum("audit.t", keep=2)
+    assert len(store.versions("audit.t")) == 2 and store.read("audit.t").count() == 5
+
+
 def test_rounded_ratio_matches_decimal_model(spark):
     rng = random.Random(7)
     rows = [(rng.randrange(0, 10**12), rng.randrange(1, 10**6)) for _ in range(3000)]

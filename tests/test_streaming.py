@@ -1,63 +1,113 @@
-"""STR-1 / STR-2 invariants: batch equality, replay idempotence."""
+"""STR-1 / STR-2 invariants: batch equality, replay at any point, exactly once."""
+import datetime as dt
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from stride.operators import staging as ST
 from stride.plans.inputs import Inputs
 from stride.sources.store import TableStore
 from stride.streaming import incremental as STR
 from tests.conftest import SF0001
 
+FLAT = ("source_activity_id long, id_employee long, start_dt timestamp_ntz, end_dt timestamp_ntz, "
+        "sport_type string, distance_m int, moving_time_s int, comment string, posted_to_slack boolean, "
+        "delivered_at timestamp, delivered_file string, delivered_digest long")
+
 
 def test_incremental_flatten_equals_batch(spark):
     I = Inputs(spark, SF0001)
     root = tempfile.mkdtemp(prefix="str1-")
     store = TableStore(spark, f"{root}/tables")
     docs = I.raw_documents
-    STR.write_landing(docs, f"{root}/landing", files=3)
+    old = I.event_fields.filter(F.col("activity_id") % 3 == 0).withColumns(
+        {"start": F.col("start") - F.expr("INTERVAL 1 DAY"), "comment": F.lit("old")})
+    STR.write_landing(ST.build_payloads(old), f"{root}/landing")
+    STR.write_landing(docs.repartition(3), f"{root}/landing")
     # re-delivered documents (same ids) must not duplicate rows
-    STR.write_landing(docs.filter(F.col("activity_id") % 3 == 0), f"{root}/landing", files=2)
-    q = STR.incremental_flatten(spark, f"{root}/landing", store, f"{root}/ckpt")
-    q.awaitTermination()
-    got = store.read(STR.STAGING).drop("start_day")
+    STR.write_landing(docs.filter(F.col("activity_id") % 3 == 1), f"{root}/landing")
+    STR.incremental_flatten(spark, f"{root}/landing", store, f"{root}/ckpt", max_files=1).awaitTermination()
+    assert len(store.batches(STR.STAGING)) == 5
     want = I.event_activities  # the direct projection: stream == batch == binding
-    assert got.count() == want.count()
-    assert got.exceptAll(want.select(*got.columns)).count() == 0
 
+    def same():
+        got = STR.staging_activities(store)
+        assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+
+    same()
+    tags = STR.compact(store)
+    same()  # beside its batches
+    STR.drop_batches(store, tags)
+    same()  # alone
+
+
+def rows(spark, *given):
+    """(key, day, comment, minute of delivery)"""
+    t = lambda d: dt.datetime(2024, 1, d, 8)
+    return spark.createDataFrame([(k, 1, t(d), t(d), "Yoga", None, 1, c, False, dt.datetime(2024, 2, 1, 0, m), "f", 0)
+                                  for k, d, c, m in given], FLAT)
+
+
+def current(store):
+    return sorted((r.source_activity_id, r.comment, r.start_dt.day) for r in STR.staging_activities(store).collect())
+
+
+def test_versions_in_one_batch_and_replays_at_any_point(spark, monkeypatch):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="str1b-"))
+    store.write_batch(rows(spark, (1, 1, "a", 0), (2, 2, "b", 0)), STR.STAGING, "s-0")
+    second = rows(spark, (1, 3, "a2", 2), (1, 2, "a1", 1), (3, 3, "c", 1))  # key 1 twice, re-dated
+    want = [(1, "a2", 3), (2, "b", 2), (3, "c", 3)]
 
-def test_delivery_replay_is_exactly_once(spark):
+    class Stop(RuntimeError):
+        pass
+
+    # a write that fails half-way is not there, and its replay finds each key once
+    broken = second.withColumn("comment", F.when(F.col("source_activity_id") == 3, F.raise_error(F.lit("x"))).otherwise(F.col("comment")))
+    with pytest.raises(Exception):
+        store.write_batch(broken, STR.STAGING, "s-1")
+    assert current(store) == [(1, "a", 1), (2, "b", 2)]
+    for _ in range(3):  # replayed after success as well
+        store.write_batch(second, STR.STAGING, "s-1")
+        assert current(store) == want
+    # compaction interrupted before, during and after its commit
+    monkeypatch.setattr(store, "write", lambda *a, **k: (_ for _ in ()).throw(Stop()))
+    with pytest.raises(Stop):
+        STR.compact(store)
+    monkeypatch.undo()
+    assert current(store) == want
+    tags = STR.compact(store)
+    assert current(store) == want
+    STR.drop_batches(store, tags[:1])
+    assert current(store) == want
+    store.write_batch(second, STR.STAGING, "s-1")  # a replay after compaction
+    assert current(store) == want
+
+
+def test_delivery_replay_is_exactly_once(spark, monkeypatch):
     I = Inputs(spark, SF0001)
     store = TableStore(spark, tempfile.mkdtemp(prefix="str2-"))
     acts = I.event_activities.withColumnRenamed("source_activity_id", "id_activity")
     first, second = acts.filter(F.col("id_activity") % 2 == 0), acts.filter(F.col("id_activity") % 2 == 1)
-    STR.deliver_batch(first, "s-0", I.employees, store)
+    # the first attempt dies between the outbox and the ids
+    whole = store.write_batch
+
+    def outbox_only(df, table, tag):
+        if table == STR.DELIVERED:
+            raise RuntimeError("stopped")
+        return whole(df, table, tag)
+
+    monkeypatch.setattr(store, "write_batch", outbox_only)
+    with pytest.raises(RuntimeError):
+        STR.deliver_batch(first, "s-0", I.employees, store)
+    monkeypatch.undo()
     STR.deliver_batch(first, "s-0", I.employees, store)      # replay of the same batch
+    STR.deliver_batch(first, "s-0", I.employees, store)      # and once more
     STR.deliver_batch(acts, "s-1", I.employees, store)       # overlaps what was delivered
     STR.deliver_batch(acts, "other-0", I.employees, store)   # a fresh stream over everything
-    out = store.read(STR.OUTBOX)
+    out = store.read_batches(STR.OUTBOX)
     n = acts.count()
     assert out.count() == n
     assert out.select("id_activity").distinct().count() == n
-    assert out.filter(F.col("batch_tag") == "other-0").count() == 0
+    assert store.read(f"{STR.OUTBOX}/other-0").count() == 0
     assert second.join(out, "id_activity", "left_anti").count() == 0
-
-
-def test_batch_rewrites_only_touched_days(spark):
-    import datetime as dt
-    import os
-    root = tempfile.mkdtemp(prefix="str1b-")
-    store = TableStore(spark, f"{root}/tables")
-    schema = ("source_activity_id long, id_employee long, start_dt timestamp_ntz, end_dt timestamp_ntz, "
-              "sport_type string, distance_m int, moving_time_s int, comment string, posted_to_slack boolean")
-    d1, d2, d3 = (dt.datetime(2024, 1, d, 8) for d in (1, 2, 3))
-    row = lambda k, t, c: (k, 1, t, t, "Yoga", None, 1, c, False)
-    STR.merge_flat_batch(spark, spark.createDataFrame([row(1, d1, "a"), row(2, d2, "b")], schema), store)
-    path = store.current_path(STR.STAGING)
-    day2 = os.path.join(path, "start_day=2024-01-02")
-    before = sorted(os.listdir(day2))
-    # key 1 is re-delivered on another day; key 3 is new
-    STR.merge_flat_batch(spark, spark.createDataFrame([row(1, d3, "a2"), row(3, d3, "c")], schema), store)
-    got = sorted((r.source_activity_id, r.comment, str(r.start_day))
-                 for r in store.read(STR.STAGING).collect())
-    assert got == [(1, "a2", "2024-01-03"), (2, "b", "2024-01-02"), (3, "c", "2024-01-03")]
-    assert sorted(os.listdir(day2)) == before  # untouched day not rewritten
