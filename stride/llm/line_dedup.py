@@ -74,7 +74,7 @@ def probed_keys(line: Column, length: Column, t: int) -> Column:
             for move in range(max(-i, shorter - (t - i)), min(i, shorter + (t - i)) + 1):
                 at = start + move
                 keys.append(F.when((at >= 0) & (at + size <= length), segment_key(line, i, other, at, size)))
-    return F.array_compact(F.array(*keys))
+    return F.array(*keys)  # null: no such place in the line
 
 
 def letter_counts(line: Column, p: LineParams) -> Column:
@@ -95,8 +95,10 @@ def letters_differ(x: Column, y: Column, p: LineParams) -> Column:
     return total
 
 
-def banded_distance(short: Column, long: Column, t: int) -> Column:
-    """Edit distance of two lines whose lengths differ by at most ``t``; exact up to ``t``, larger beyond.
+def banded_distance(p: Column, q: Column, t: int) -> Column:
+    """Edit distance of two lines given as arrays of characters, the shorter one
+    first, lengths apart by at most ``t``; exact up to ``t``, larger beyond.  ``p`` and ``q``
+    should be columns of a table, as ``p`` is looked up at every step.
 
     Bit ``k`` of a vector at character ``j`` of the longer line stands for row ``j - t + k`` of the shorter."""
     width = 2 * t + 1
@@ -107,24 +109,21 @@ def banded_distance(short: Column, long: Column, t: int) -> Column:
         j = s["j"] + 1
         same = long_of(0)
         for k in range(width):
-            same = same.bitwiseOR(F.when(F.get(s["p"], j - t + k - 1) == c, long_of(1 << k)).otherwise(long_of(0)))
+            same = same.bitwiseOR(F.when(F.get(p, j - t + k - 1) == c, long_of(1 << k)).otherwise(long_of(0)))
         vp, vn = s["vp"], s["vn"]
         d0 = (same.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(same).bitwiseOR(vn).bitwiseAND(mask)
         hp = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))).bitwiseAND(mask)
         hn = d0.bitwiseAND(vp)
         down = F.shiftrightunsigned(d0, 1)
-        at = s["m"] - j + t  # the row of the last character, once the longer line runs past it
+        at = F.size(p) - j + t  # the row of the last character, once the longer line runs past it
         bit = lambda v: bits("shiftright", v, at).bitwiseAND(F.lit(1)).cast("int")
-        add = F.when(j <= s["m"], 1 - F.shiftright(d0, t).bitwiseAND(F.lit(1)).cast("int")).otherwise(bit(hp) - bit(hn))
+        add = F.when(j <= F.size(p), 1 - F.shiftright(d0, t).bitwiseAND(F.lit(1)).cast("int")).otherwise(bit(hp) - bit(hn))
         return F.struct(hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(mask).alias("vp"),
-                        down.bitwiseAND(hp).alias("vn"), (s["d"] + add).alias("d"), j.alias("j"),
-                        s["p"].alias("p"), s["m"].alias("m"))
+                        down.bitwiseAND(hp).alias("vn"), (s["d"] + add).alias("d"), j.alias("j"))
 
-    # the characters of the shorter line travel in the state, so that they are split off once
     first = F.struct(long_of(((1 << width) - 1) & ~((1 << t) - 1)).alias("vp"), long_of(0).alias("vn"),
-                     F.lit(0).alias("d"), F.lit(0).alias("j"), F.split(short, "").alias("p"), F.length(short).alias("m"))
-    walked = F.aggregate(F.split(long, ""), first, step, lambda s: s["d"])
-    return F.when(F.length(long) == 0, F.length(short)).otherwise(walked)
+                     F.lit(0).alias("d"), F.lit(0).alias("j"))
+    return F.aggregate(q, first, step, lambda s: s["d"])
 
 
 def line_rows(docs: DataFrame, p: LineParams) -> DataFrame:
@@ -134,26 +133,26 @@ def line_rows(docs: DataFrame, p: LineParams) -> DataFrame:
 
 
 def near_lines(lines: DataFrame, p: LineParams) -> DataFrame:
-    """(h, h2) of the lines that are within the threshold of an earlier line; ``lines``: distinct ones."""
+    """(h, h2) of the lines that are within the threshold of an earlier line; ``lines``: distinct
+    ones with their hashes, length and letter counts."""
     t = p.threshold
-    length = F.length("line")
-    base = lines.select("h", "line", length.alias("n"), letter_counts(F.col("line"), p).alias("c"))
-    index = base.select(F.explode(listed_keys(F.col("line"), F.col("n"), t)).alias("key"), "h", "c")
-    probe = base.select(F.explode(probed_keys(F.col("line"), F.col("n"), t)).alias("key"), "h", "c")
+    index = lines.select(F.explode(listed_keys(F.col("line"), F.col("len"), t)).alias("key"), "h", "c")
+    probe = lines.select(F.explode(probed_keys(F.col("line"), F.col("len"), t)).alias("key"), "h", "c").where("key is not null")
     pairs = stored(index.alias("x").join(probe.alias("y"), "key")
                    .where((F.col("x.h") != F.col("y.h")) & (letters_differ(F.col("x.c"), F.col("y.c"), p) <= 2 * t))
                    .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct(), "line-pairs")
     named = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "line-named")
     # few handles are sent to the lines; more than the bound meet them in a shuffle
     few = F.broadcast(named) if named.count() <= p.broadcast_rows else named
-    text = stored(lines.join(few, "h", "left_semi"), "line-text")
-    side = lambda c: text.select(F.col("h").alias(c), F.struct("doc", "pos", "line", "h", "h2").alias(f"t{c}"))
+    text = stored(lines.join(few, "h", "left_semi").withColumn("chars", F.split("line", "")), "line-text")
+    side = lambda c: text.select(F.col("h").alias(c), F.struct("doc", "pos", "line", "h", "h2", "chars").alias(f"t{c}"))
     order = lambda c: F.struct(F.col(f"{c}.doc"), F.col(f"{c}.pos"), F.col(f"{c}.line"))
     met = pairs.join(side("a"), "a").join(side("b"), "b")
-    short, long = [F.when((F.length("ta.line") <= F.length("tb.line")) == yes, F.col("ta.line")).otherwise(F.col("tb.line"))
-                   for yes in (True, False)]
-    met = met.select("ta", "tb", short.alias("short"), long.alias("long")).where(F.length("long") - F.length("short") <= t)
-    near = met.where(banded_distance(F.col("short"), F.col("long"), t) <= t)
+    first = F.size("ta.chars") <= F.size("tb.chars")
+    met = met.select(F.when(first, F.col("ta")).otherwise(F.col("tb")).alias("ta"),
+                     F.when(first, F.col("tb")).otherwise(F.col("ta")).alias("tb"))
+    near = met.where((F.size("tb.chars") - F.size("ta.chars") <= t)
+                     & (banded_distance(F.col("ta.chars"), F.col("tb.chars"), t) <= t))
     later = F.when(order("ta") < order("tb"), F.col("tb")).otherwise(F.col("ta"))
     return near.select(later.alias("l")).select("l.h", "l.h2").distinct()
 
@@ -164,7 +163,8 @@ def dropped_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     lines = line_rows(docs, p)
     distinct = stored(lines.groupBy("line").agg(F.min(place).alias("doc"), F.min("pos").alias("pos"), F.count("*").alias("n"))
                       .select("line", "doc", "pos", "n", F.xxhash64("line").alias("h"),
-                              F.xxhash64(F.lit("second"), "line").alias("h2")), "line-distinct", "zstd")
+                              F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("len"),
+                              letter_counts(F.col("line"), p).alias("c")), "line-distinct", "zstd")
     near = stored(near_lines(distinct, p), "line-near").withColumn("near", F.lit(True))
     gone = stored(distinct.select("h", "h2", "doc", "n").join(near, ["h", "h2"], "left")
                   .where("n > 1 or near").select("h", "h2", "doc", "near"), "line-gone")
