@@ -49,7 +49,7 @@ def test_distance_segments_and_filter(spark):
         p = LineParams(threshold=t)
         a, b = F.col("a"), F.col("b")
         df = spark.createDataFrame(pairs(t), "a string, b string, d int").select(
-            "a", "b", "d", banded_distance(a, b, t).alias("got"),
+            "a", "b", "d", banded_distance(F.split(a, ""), F.split(b, ""), t).alias("got"),
             F.size(F.array_intersect(listed_keys(a, F.length(a), t), probed_keys(b, F.length(b), t))).alias("hits"),
             letters_differ(letter_counts(a, p), letter_counts(b, p), p).alias("letters"))
         for r in df.collect():
