@@ -15,7 +15,9 @@ lines within ``threshold`` edits the first (by document, then first place, then
 3. *Content filter.*  An edit changes the counts of at most two letters, so
    pairs whose counts of eight letters differ by more than twice the threshold
    never leave the join: edited versions of one line that share a segment but
-   differ in other words do not become rows.
+   differ in other words do not become rows.  Of the pairs that do, those where
+   more than ``threshold`` of eight times as many, smaller segments are not found
+   in place go next.
 4. *Verification* by banded bit-parallel edit distance (Myers' vectors over the
    ``2 * threshold + 1`` diagonals that a distance within the threshold can
    touch), folded over the characters with ``aggregate``.
@@ -95,6 +97,20 @@ def letters_differ(x: Column, y: Column, p: LineParams) -> Column:
     return total
 
 
+def pieces_found(x: Column, length: Column, y: Column, pieces: int, t: int) -> Column:
+    """How many of the ``pieces`` even segments of line ``x`` stand in ``y``, moved by at most ``t``.
+    An edit spoils one piece at most."""
+    found = F.lit(0)
+    for i in range(pieces):
+        start, size = segment(length, i, pieces)
+        part = x.substr(start + 1, size)
+        here = F.lit(False)
+        for move in range(-t, t + 1):
+            here = here | (y.substr(F.greatest(start + 1 + move, F.lit(1)), size) == part)
+        found = found + here.cast("int")
+    return found
+
+
 def banded_distance(p: Column, q: Column, t: int) -> Column:
     """Edit distance of two lines given as arrays of characters, the shorter one
     first, lengths apart by at most ``t``; exact up to ``t``, larger beyond.  ``p`` and ``q``
@@ -151,7 +167,9 @@ def near_lines(lines: DataFrame, p: LineParams) -> DataFrame:
     first = F.size("ta.chars") <= F.size("tb.chars")
     met = met.select(F.when(first, F.col("ta")).otherwise(F.col("tb")).alias("ta"),
                      F.when(first, F.col("tb")).otherwise(F.col("ta")).alias("tb"))
+    pieces = 8 * (t + 1)
     near = met.where((F.size("tb.chars") - F.size("ta.chars") <= t)
+                     & (pieces_found(F.col("ta.line"), F.size("ta.chars"), F.col("tb.line"), pieces, t) >= pieces - t)
                      & (banded_distance(F.col("ta.chars"), F.col("tb.chars"), t) <= t))
     later = F.when(order("ta") < order("tb"), F.col("tb")).otherwise(F.col("ta"))
     return near.select(later.alias("l")).select("l.h", "l.h2").distinct()
