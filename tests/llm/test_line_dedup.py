@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF0001
 from stride.llm import line_dedup
 from stride.llm.line_dedup import (LineParams, banded_distance, dropped_lines, letter_counts, letters_differ, line_dedup_stage,
-                                   listed_keys, op4_line_dedup, probed_keys)
+                                   listed_keys, op4_line_dedup, pieces_found, probed_keys)
 
 
 def distance(a, b):
@@ -51,11 +51,12 @@ def test_distance_segments_and_filter(spark):
         df = spark.createDataFrame(pairs(t), "a string, b string, d int").select(
             "a", "b", "d", banded_distance(F.split(a, ""), F.split(b, ""), t).alias("got"),
             F.size(F.array_intersect(listed_keys(a, F.length(a), t), probed_keys(b, F.length(b), t))).alias("hits"),
+            pieces_found(a, F.length(a), b, 8, t).alias("pieces"),
             letters_differ(letter_counts(a, p), letter_counts(b, p), p).alias("letters"))
         for r in df.collect():
             assert min(r.got, t + 1) == min(r.d, t + 1), r
             if r.d <= t:
-                assert r.hits > 0 and r.letters <= 2 * t, r
+                assert r.hits > 0 and r.letters <= 2 * t and r.pieces >= 8 - t, r
 
 
 LINE = "This is a line of more than forty characters, no doubt."
