@@ -34,8 +34,8 @@ def test_entry_schema(spark):
                           "total_prime_cost_eur", "total_wellbeing_days"]
     got = {r.bu: (r.nb_employees, r.nb_eligible_prime, r.nb_eligible_wellbeing,
                   str(r.total_prime_cost_eur), r.total_wellbeing_days) for r in df.collect()}
-    assert got["AUTOMOBILE"] == (23, 2, 3, "4923.09", 15)
-    assert got["FURNITURE"] == (40, 10, 9, "25736.79", 45)
+    assert got["AUTOMOBILE"] == (23, 2, 3, "5923.09", 15)  # 2 x 5 % of the 10,000 every salary starts from
+    assert got["FURNITURE"] == (40, 10, 9, "30736.79", 45)
 
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
