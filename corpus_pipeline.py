@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from stride.llm.bpe import bpe_stage
 from stride.llm.common import read_table, stored
 from stride.llm.decontaminate import decontaminate_stage
-from stride.llm.line_dedup import line_dedup_stage
+from stride.llm.line_dedup import all_lines_stage
 from stride.llm.near_dedup import near_dedup_stage
 from stride.llm.toxicity import toxicity_stage
 
 STAGES = [
     ("toxicity", toxicity_stage),
-    ("line_dedup", line_dedup_stage),
+    ("line_dedup", all_lines_stage),
     ("near_dedup", near_dedup_stage),
     ("decontamination", decontaminate_stage),
     ("bpe", bpe_stage),

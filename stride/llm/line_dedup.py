@@ -1,7 +1,10 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-Lines of at least ``min_chars`` code points are compared; of equal lines and of
-lines within ``threshold`` edits the first (by document, then first place, then the line itself) stays.
+Lines of at least ``equal_chars`` code points are compared for equality, those of
+at least ``min_chars`` also for edits; of equal lines and of lines within ``threshold``
+edits the first (by document, then first place, then the line itself) stays.  The query
+compares lines of 40 code points, as its SQL says; the pipeline (``ALL_LINES``) has no
+floor for equal lines, so that short notices go and a copy goes whole.
 
 1. Equal lines meet in one grouping with map-side combine: a line that a third
    of all documents share is one row per task.
@@ -25,8 +28,8 @@ lines within ``threshold`` edits the first (by document, then first place, then
 A line within ``threshold`` edits of an earlier line goes, whether or not that
 one stays itself.  Lines within a document are told apart by their place.
 
-Edge cases: null and empty texts have no line to drop; blank and short lines
-always stay; rows that repeat a document whole are one document, and rows that
+Edge cases: null and empty texts have no line to drop; lines under ``equal_chars``
+always stay, as do blank ones under ``min_chars``; rows that repeat a document whole are one document, and rows that
 repeat only its doc_id count as one place for "first"; null doc_ids come last;
 an empty table gives an empty result; other columns are carried, never read.
 """
@@ -43,11 +46,16 @@ from stride.llm.common import read_table, stored
 @dataclass(frozen=True)
 class LineParams:
     threshold: int = 1
-    min_chars: int = 40
+    min_chars: int = 40                # of lines compared for edits
+    equal_chars: int = 40              # of lines compared for equality, at most min_chars
     letters: str = "etanirso"          # of the content filter
     broadcast_rows: int = 1_000_000    # line handles sent to all tasks at most; more are joined by a shuffle
 
 
+#: The pipeline's choice: every line that is not blank meets its equals.
+ALL_LINES = LineParams(equal_chars=1)
+
+
 def bits(name: str, *args) -> Column:
     return F.call_function(name, *[a if isinstance(a, Column) else F.lit(a) for a in args])
 
@@ -145,7 +153,7 @@ def banded_distance(p: Column, q: Column, t: int) -> Column:
 def line_rows(docs: DataFrame, p: LineParams) -> DataFrame:
     """(doc_id, rid, pos, line): the compared lines; ``rid`` tells rows of one doc_id with different texts apart."""
     return (docs.select("doc_id", F.xxhash64("text").alias("rid"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .where(F.length("line") >= p.min_chars))
+            .where((F.length("line") >= p.min_chars) | ((F.length("line") >= p.equal_chars) & F.col("line").rlike(r"\S"))))
 
 
 def near_lines(lines: DataFrame, p: LineParams) -> DataFrame:
@@ -182,8 +190,9 @@ def dropped_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     distinct = stored(lines.groupBy("line").agg(F.min(place).alias("doc"), F.min("pos").alias("pos"), F.count("*").alias("n"))
                       .select("line", "doc", "pos", "n", F.xxhash64("line").alias("h"),
                               F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("len"),
-                              letter_counts(F.col("line"), p).alias("c")), "line-distinct", "zstd")
-    near = stored(near_lines(distinct, p), "line-near").withColumn("near", F.lit(True))
+                              F.when(F.length("line") >= p.min_chars, letter_counts(F.col("line"), p)).alias("c")),
+                      "line-distinct", "zstd")
+    near = stored(near_lines(distinct.where(F.col("len") >= p.min_chars), p), "line-near").withColumn("near", F.lit(True))
     gone = stored(distinct.select("h", "h2", "doc", "n").join(near, ["h", "h2"], "left")
                   .where("n > 1 or near").select("h", "h2", "doc", "near"), "line-gone")
     there = lines.select("doc_id", "rid", "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), "line").alias("h2"))
@@ -211,15 +220,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join("__dropped", ",").alias("dropped"))
 
 
-def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, p: LineParams = LineParams()) -> DataFrame:
     """Texts without the lines that go (n_chars follows).  A document that loses
     all it had, a copy of earlier ones, goes; one that had no text stays."""
     rows = _with_dropped(docs.withColumnsRenamed({c: f"c_{c}" for c in docs.columns if c not in ("doc_id", "text")}),
-                         LineParams(), F.col("*"))
+                         p, F.col("*"))
     lines = F.split("text", "\n")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped")), lambda i: F.get(lines, i))
     text = F.when(F.size("__dropped") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
-    rows = rows.withColumn("__text", text).where((F.size("__dropped") == 0) | (F.trim("__text") != ""))
+    rows = rows.withColumn("__text", text).where((F.size("__dropped") == 0) | F.col("__text").rlike(r"\S"))
     new = {"doc_id": F.col("doc_id"), "text": F.col("__text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.size("__dropped") == 0, F.col("c_n_chars")).otherwise(
@@ -227,6 +236,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.select(*[(new[c] if c in new else F.col(f"c_{c}")).alias(c) for c in docs.columns])
 
 
+def all_lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pipeline's line dedup: ``line_dedup_stage`` over lines of any length."""
+    return line_dedup_stage(spark, docs, sf_dir, ALL_LINES)
+
+
 #: One edit apart: the common prefix and suffix cover all but one character of the longer line;
 #: of 40 or more characters, the first or the last 16 are then equal.
 ORACLE_SQL = """

@@ -1,5 +1,6 @@
 import random
 
+import corpus_pipeline
 import duckdb
 from pyspark.sql import functions as F
 
@@ -86,3 +87,13 @@ def test_query_equals_its_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF0001}/documents.parquet')")
     want = sorted(con.execute(line_dedup.ORACLE_SQL).fetchall())
     assert sorted(tuple(r) for r in op4_line_dedup(spark, SF0001).collect()) == want
+
+
+def test_pipeline_drops_short_lines_and_whole_copies(spark, docs):
+    """Equal lines of any length go in the pipeline, so an exact copy leaves no stub; blank lines stay, edits need 40 characters."""
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"]
+    text = f"Title\n\n\n{LINE}\nAll rights reserved."
+    rows = [(1, text), (2, text), (3, f"Other title\n\nAll rights reserved.\n{NEAR}"), (4, "Titles\n \n\t\nTitle"), (5, "\n \n")]
+    got = sorted((r.doc_id, r.text, r.n_chars) for r in stage(spark, docs(rows), "").collect())
+    want = [(1, text), (3, "Other title\n"), (4, "Titles\n \n\t"), (5, "\n \n")]
+    assert got == [(i, t, len(t)) for i, t in want]
