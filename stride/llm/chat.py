@@ -8,7 +8,7 @@ chooses, for every turn of a conversation, the cheapest of
 * keeping its role (cost 0);
 * ``merge``: joining it to the turn before, which has the same role;
 * ``relabel``: giving it another role;
-* ``insert``: an empty turn of one role before it, or at the end.
+* ``insert``: the shortest chain of empty turns (two at most) that leads to it, or to the end.
 
 Of ways with equal cost, the smaller state number is taken at the end of each
 stretch, then backwards inside it: results depend on the parameters, not on the plan.
@@ -24,7 +24,7 @@ A stretch is found without ordering a whole conversation in one task: rows are
 ranged by (conversation, turn, role, text) and numbered within their range, and
 the ranges' sizes (as many rows as partitions) give each row its place.
 
-Rendering is one row for each input turn, in order: the inserted empty turn, the
+Rendering is one row for each input turn, in order: the inserted empty turns, the
 turn's own opening (unless merged), its text, and its closing (unless the next one
 merges into it).  Concatenated by ``place`` they are the whole rendering, which
 itself never stands in one row.
@@ -61,9 +61,29 @@ class ChatParams:
     closing: str = "<|im_end|>\n"
 
 
+def chains(state: int) -> dict[int, tuple[int, ...]]:
+    """For each state that can follow ``state``, the shortest way of states between them; of equals the smallest."""
+    found, level = {}, [((), state)]
+    while level:
+        reached: dict[int, tuple[int, ...]] = {}
+        for between, at in sorted(level):
+            for after in LEGAL[at]:
+                if after not in found:
+                    reached.setdefault(after, between)
+        found |= reached
+        level = [(between + (after,), after) for after, between in reached.items()]
+    return found
+
+
+#: What may be inserted: nothing (number 0), or a chain of states.
+CHAINS = sorted({c for s in range(5) for c in chains(s).values()}, key=lambda c: (len(c), c))
+CHAIN_ROLES = [[ROLES[s] for s in c] for c in CHAINS]
+
+
 def moves(p: ChatParams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """cost[role, before, after] of taking one turn, the inserted role (0: none), whether it merges; and the
-    same for ending: end_cost[state], end_insert[state]."""
+    """cost[role, before, after] of taking one turn, the number of the inserted chain (0: none), whether it merges;
+    and the same for ending: end_cost[state], end_insert[state]."""
+    ways = [chains(state) for state in range(5)]
     cost = np.full((6, 5, 5), np.inf)   # role 5: unknown
     insert = np.zeros((6, 5, 5), np.int64)
     merge = np.zeros((6, 5, 5), bool)
@@ -74,19 +94,18 @@ def moves(p: ChatParams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
                 choices = []
                 if after == before:
                     choices.append((change + p.merge, 0, 0, True))
-                if after in LEGAL[before]:
-                    choices.append((change, 1, 0, False))
-                for between in LEGAL[before]:
-                    if after in LEGAL[between]:
-                        choices.append((change + p.insert, 2 + between, between, False))
+                if after in ways[before]:
+                    add = ways[before][after]
+                    choices.append((change + p.insert * len(add), 1, CHAINS.index(add), False))
                 if choices:
                     cost[role, before, after], _, insert[role, before, after], merge[role, before, after] = min(choices)
     end_cost, end_insert = np.full(5, np.inf), np.zeros(5, np.int64)
     for state in range(5):
         if state == ASSISTANT:
             end_cost[state] = 0.0
-        elif ASSISTANT in LEGAL[state]:
-            end_cost[state], end_insert[state] = p.insert, ASSISTANT
+        else:
+            add = (*ways[state][ASSISTANT], ASSISTANT)
+            end_cost[state], end_insert[state] = p.insert * len(add), CHAINS.index(add)
     return cost, insert, merge, end_cost, end_insert
 
 
@@ -197,12 +216,12 @@ def solve(turns: DataFrame, p: ChatParams) -> DataFrame:
 
 def repair(turns: DataFrame, p: ChatParams = ChatParams()) -> DataFrame:
     """One row for each turn of ``turns`` (conv_id, turn, role, text): place, role before and after repair, the
-    action, the role inserted before it or after the last turn, its cost, and the rendered piece."""
+    action, the roles inserted before it or after the last turn (joined by commas), its cost, and the rendered piece."""
     cost, insert, merge, end_cost, end_insert = moves(p)
     solved = solve(turns, p)
     table = F.create_map(*[x for r in range(1, 6) for b in range(5) for a in range(1, 5) if np.isfinite(cost[r, b, a])
                            for x in (F.lit((r * 5 + b) * 5 + a),
-                                     F.struct(F.lit(float(cost[r, b, a])).alias("cost"), F.lit(ROLES[insert[r, b, a]]).alias("add"),
+                                     F.struct(F.lit(float(cost[r, b, a])).alias("cost"), F.lit(int(insert[r, b, a])).alias("add"),
                                               F.lit(bool(merge[r, b, a])).alias("merged")))])
     rows = solved.withColumn("m", F.element_at(table, (F.col("role_no") * 5 + F.col("before")) * 5 + F.col("state")))
     # a turn closes unless the next one merges into it: the next place's row says so
@@ -210,17 +229,18 @@ def repair(turns: DataFrame, p: ChatParams = ChatParams()) -> DataFrame:
     rows = rows.join(nxt, ["conv_id", "place"], "left")
     name = F.element_at(F.array(*[F.lit(r) for r in ROLES[1:]]), F.col("state"))
     opening = lambda r: F.concat(F.lit(p.opening.split("{role}")[0]), r, F.lit(p.opening.split("{role}")[1]))
-    empty = lambda r: F.when(r == "", F.lit("")).otherwise(F.concat(opening(r), F.lit(p.closing)))
+    turns_of = lambda roles: "".join(p.opening.replace("{role}", r) + p.closing for r in roles)
+    listed = lambda n, of: F.element_at(F.array(*[F.lit(of(c)) for c in CHAIN_ROLES]), n + 1)
     last = F.col("joined").isNull()
-    at_end = F.when(last, F.element_at(F.array(*[F.lit(ROLES[e]) for e in end_insert]), F.col("state") + 1)).otherwise("")
+    at_end = F.when(last, F.element_at(F.array(*[F.lit(int(e)) for e in end_insert]), F.col("state") + 1)).otherwise(0)
     end = F.when(last, F.element_at(F.array(*[F.lit(float(c) if np.isfinite(c) else 0.0) for c in end_cost]), F.col("state") + 1)).otherwise(0.0)
-    piece = F.concat(F.when(F.col("m.merged"), F.lit("\n")).otherwise(F.concat(empty(F.col("m.add")), opening(name))), "text",
-                     F.when(F.coalesce("joined", F.lit(False)), F.lit("")).otherwise(F.lit(p.closing)), empty(at_end))
+    piece = F.concat(F.when(F.col("m.merged"), F.lit("\n")).otherwise(F.concat(listed(F.col("m.add"), turns_of), opening(name))), "text",
+                     F.when(F.coalesce("joined", F.lit(False)), F.lit("")).otherwise(F.lit(p.closing)), listed(at_end, turns_of))
     relabelled = F.col("role_no") != F.col("state")
     action = F.when(F.col("m.merged") & relabelled, "merge+relabel").when(F.col("m.merged"), "merge") \
         .when(relabelled, "relabel").otherwise("keep")
     return rows.select("conv_id", "place", name.alias("role"), action.alias("action"),
-                       F.col("m.add").alias("inserted_before"), at_end.alias("inserted_after"),
+                       listed(F.col("m.add"), ",".join).alias("inserted_before"), listed(at_end, ",".join).alias("inserted_after"),
                        (F.col("m.cost") + end).alias("cost"), piece.alias("rendered"))
 
 

@@ -1,3 +1,4 @@
+import heapq
 import random
 import re
 
@@ -77,3 +78,38 @@ def test_query(spark):
     for c, rows in whole(out).items():
         assert legal("".join(r.rendered for r in rows))
         assert abs(sum(r.cost for r in rows) - cheapest(roles[c], ChatParams())) < 1e-9
+
+
+def searched(roles, p):
+    """Least cost by Dijkstra's search over (turns taken, state), one empty turn at a time; does not use moves()."""
+    heap, done = [(0.0, 0, START)], set()
+    while heap:
+        cost, i, state = heapq.heappop(heap)
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        if i == len(roles) and state == ASSISTANT:
+            return cost
+        for after in LEGAL[state]:
+            heapq.heappush(heap, (cost + p.insert, i, after))
+        if i < len(roles):
+            for after in {*LEGAL[state], state} - {START}:
+                change = 0.0 if roles[i] == ROLES[after] else p.relabel
+                if after in LEGAL[state]:
+                    heapq.heappush(heap, (cost + change, i + 1, after))
+                if after == state:
+                    heapq.heappush(heap, (cost + change + p.merge, i + 1, after))
+
+
+def test_repair_is_of_minimum_cost(spark):
+    rnd, names = random.Random(8), ["system", "user", "assistant", "tool", None]
+    cases = [["system"], ["system", "system"], ["tool", "tool", "assistant"], ["tool"], ["system", "tool", "tool"]]
+    cases += [[rnd.choice(names) for _ in range(rnd.randint(1, 12))] for _ in range(100)]
+    assert [searched(c, ChatParams()) for c in cases[:3]] == [4.0, 5.0, 4.0]
+    df = spark.createDataFrame([(c, i, r, "") for c, roles in enumerate(cases) for i, r in enumerate(roles)],
+                               "conv_id long, turn long, role string, text string")
+    out = whole(repair(df, ChatParams(stretch=4)).collect())
+    for c, roles in enumerate(cases):
+        assert abs(sum(r.cost for r in out[c]) - searched(roles, ChatParams())) < 1e-9, roles
+        assert legal("".join(r.rendered for r in out[c]))
+    assert [r.inserted_after for r in out[0]] == ["user,assistant"] and out[2][0].inserted_before == "user,assistant"
