@@ -70,9 +70,12 @@ def wellbeing_columns(params: BenefitParams) -> dict:
     }
 
 
-def compute_wellbeing(employees: DataFrame, activities: DataFrame, params: BenefitParams) -> DataFrame:
-    """Mart ``eligibility_wellbeing``: one row per employee."""
-    counts = activity_counts(activities, params.as_of, params.window_days)
+def compute_wellbeing(employees: DataFrame, activities: DataFrame, params: BenefitParams,
+                      counts: DataFrame | None = None) -> DataFrame:
+    """Mart ``eligibility_wellbeing``: one row per employee.  ``counts``: the window's
+    counts where they are kept (``windows.advance``); else ``activities`` are counted."""
+    if counts is None:
+        counts = activity_counts(activities, params.as_of, params.window_days)
     joined = with_activity_count(employees.select("id_employee"), counts)
     cols = wellbeing_columns(params)
     return joined.select(

@@ -2,6 +2,8 @@
 (JON-2, PRJ-20..23, PRJ-28, MRG-4, SNK-5)."""
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,11 +31,20 @@ def render_messages(activities: DataFrame, employees: DataFrame) -> DataFrame:
     return rows.select("id_activity", "id_employee", "start_dt", text.alias("text"))
 
 
+def posted_rows(messages: DataFrame, run_id: str, posted_at: dt.datetime) -> DataFrame:
+    """The delivery state that a run adds: one row for each message it posted."""
+    return messages.select("id_activity", F.lit(run_id).alias("run_id"),
+                           F.lit(posted_at).cast("timestamp_ntz").alias("posted_at"))
+
+
 def mark_posted(activities: DataFrame, delivered: DataFrame, key: str = "id_activity") -> DataFrame:
-    """MRG-4 + PRJ-28: set ``posted_to_slack`` for the keys in ``delivered``.
+    """MRG-4 + PRJ-28: the activities with ``posted_to_slack`` set for the keys in ``delivered``.
 
-    The key set is a DataFrame (left join with a marker), never a driver-side
-    list, so it can be as large as the activity table.
+    Merge on read: ``delivered`` is the append-only table of posted ids
+    (``posted_rows``), joined whenever activities are read, so a run writes as many
+    rows as it posts and not the activity table.  The next refresh of the activities
+    empties it, or writes this view to fold it in.  The key set is a DataFrame
+    (left join with a marker), so it can be as large as the activity table.
     """
     hits = delivered.select(key).distinct().withColumn("_hit", F.lit(True))
     return (activities.join(hits, key, "left")

@@ -25,6 +25,14 @@ class QualityError(RuntimeError):
     """A suite or gate failed."""
 
 
+class ConstraintError(QualityError):
+    """Rows that break a table's constraints; they were not published."""
+
+    def __init__(self, table: str, broken: Sequence[tuple]):
+        self.table, self.broken = table, list(broken)
+        super().__init__(f"{table}: " + ", ".join(f"{rule}({column}): {n} rows" for rule, column, n in broken))
+
+
 @dataclass(frozen=True)
 class Rule:
     """One expectation.  ``kind`` is one of the constructors below."""
@@ -114,6 +122,33 @@ def _element(r: Rule) -> Column:
     return F.count(F.col(r.column))
 
 
+# -- constraints on write (QLT-13..17) ---------------------------------------------
+
+KEY_KINDS = ("unique", "foreign_key", "primary_key")
+
+
+def row_measures(rules: Sequence[Rule]) -> list[Column]:
+    """Measures for ``DataFrame.observe``: the rows and, for each row rule, its violations."""
+    return [F.count(F.lit(1)).alias("n"), *[F.count_if(_violation(r)).alias(f"u{i}") for i, r in enumerate(rules)
+                                            if r.kind not in KEY_KINDS]]
+
+
+def broken_rows(observed: Mapping[str, int], rules: Sequence[Rule]) -> list[tuple]:
+    """(rule, column, rows) of the row rules that an observation counted violations of."""
+    return [(r.label, r.column, observed[f"u{i}"]) for i, r in enumerate(rules)
+            if r.kind not in KEY_KINDS and observed[f"u{i}"]]
+
+
+def enforced(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
+    """``df`` whose first row that breaks a row rule raises (for plain appends)."""
+    keep = F.lit(True)
+    for r in rules:
+        if r.kind not in KEY_KINDS:
+            bad = F.raise_error(F.lit(f"{table}: {r.label}({r.column})")).cast("boolean")
+            keep = F.when(_violation(r), bad).otherwise(keep)
+    return df.filter(keep) if rules else df
+
+
 def evaluate(df: DataFrame, rules: Sequence[Rule], suite: str) -> DataFrame:
     """Report rows for ``rules`` over ``df`` (lazy; nothing is collected)."""
     parts: list[DataFrame] = []
@@ -176,6 +211,55 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], suite: str) -> DataFrame:
                       "unexpected_count", (F.col("unexpected_count") == 0).alias("success"))
 
 
+# -- mergeable suite state (QLT-7) ------------------------------------------------------
+
+def suite_state(df: DataFrame, rules: Sequence[Rule], part: str) -> DataFrame:
+    """A row for each value of ``part`` (a day, a load): what the row rules counted there.
+    States of different parts merge by sums and maxima, so a rerun reads new parts only."""
+    aggs = []
+    for i, r in enumerate(rules):
+        if r.kind in KEY_KINDS:
+            continue
+        aggs.append(_element(r).alias(f"e{i}"))
+        aggs.append(F.max(r.column).alias(f"m{i}") if r.kind == "max_between" else F.count_if(_violation(r)).alias(f"u{i}"))
+    return df.groupBy(part).agg(*aggs)
+
+
+def key_state(df: DataFrame, key: str, part: str) -> DataFrame:
+    """(part, bucket, bits, n): which integer keys a part holds, as bitmaps, and its rows by bucket."""
+    return (df.filter(F.col(key).isNotNull()).groupBy(part, F.bitmap_bucket_number(key).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bits"), F.count(F.lit(1)).alias("n")))
+
+
+def report_from_state(state: DataFrame, rules: Sequence[Rule], suite: str) -> DataFrame:
+    """The report of the row rules from the states of all parts; equal to ``evaluate`` over their rows."""
+    kept = [(i, r) for i, r in enumerate(rules) if r.kind not in KEY_KINDS]
+    aggs = []
+    for i, r in kept:
+        aggs.append(F.coalesce(F.sum(f"e{i}"), F.lit(0)).cast("bigint").alias(f"e{i}"))
+        if r.kind == "max_between":
+            mx = F.max(f"m{i}")
+            aggs.append(F.when(mx.isNull() | mx.between(*map(_lit, r.args)), F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias(f"u{i}"))
+        else:
+            aggs.append(F.coalesce(F.sum(f"u{i}"), F.lit(0)).cast("bigint").alias(f"u{i}"))
+    entries = [F.struct(F.lit(suite).alias("suite"), F.lit(r.label).alias("rule"), F.lit(r.column).alias("column_name"),
+                        F.col(f"e{i}").alias("element_count"), F.col(f"u{i}").alias("unexpected_count")) for i, r in kept]
+    return state.agg(*aggs).select(F.inline(F.array(*entries))).withColumn("success", F.col("unexpected_count") == 0)
+
+
+def unique_from_state(state: DataFrame, key: str, suite: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """The unique rule of an integer key from bitmaps.  Only if some key repeats are ``rows()`` read,
+    to count the rows that share one."""
+    merged = state.groupBy("bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("keys"), F.sum("n").alias("n"))
+    total = merged.agg(F.coalesce(F.sum("keys"), F.lit(0)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    one = total.first()
+    if one["keys"] != one["n"]:
+        return evaluate(rows(), [unique(key)], suite)
+    return total.select(F.lit(suite).alias("suite"), F.lit("unique").alias("rule"), F.lit(key).alias("column_name"),
+                        F.col("n").cast("bigint").alias("element_count"), F.lit(0).cast("bigint").alias("unexpected_count"),
+                        F.lit(True).alias("success"))
+
+
 def run_suites(suites: Mapping[str, tuple[DataFrame, Sequence[Rule]]],
                report_path: str | None = None, extra_path: str | None = None,
                raise_on_failure: bool = True) -> DataFrame:
@@ -186,7 +270,8 @@ def run_suites(suites: Mapping[str, tuple[DataFrame, Sequence[Rule]]],
     for name, (df, rules) in suites.items():
         part = evaluate(df, rules, name)
         report = part if report is None else report.unionByName(part)
-    report = report.cache()  # one row per rule; reused by the writes and the check
+    # a row per rule: evaluated once, then used by the writes and the check
+    report = report.sparkSession.createDataFrame(report.collect(), report.schema)
     for path in (report_path, extra_path):
         if path:
             report.coalesce(1).write.mode("overwrite").json(path)

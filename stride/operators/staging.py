@@ -118,7 +118,7 @@ def rejected_documents(raw: DataFrame) -> DataFrame:
 
 
 def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True,
-                     scratch_dir: str | None = None, id_start: int = 1, keep: tuple = ()) -> DataFrame:
+                     scratch: str | None = None, id_start: int = 1, keep: tuple = ()) -> DataFrame:
     """PRJ-9/10: typed projection of the JSON activity documents.
 
     start_dt is the UTC instant of ``start_date`` (wall clock, NTZ);
@@ -145,9 +145,9 @@ def flatten_payloads(raw: DataFrame, with_id: bool = False, strict: bool = True,
     if with_id:
         # number narrow rows, already parsed and written: ranging them twice (a range
         # exchange samples its input) would parse every document twice
-        out = written(out, scratch_dir)
+        out = written(out, scratch)
         out = surrogate_key(out, ["start_dt", "source_activity_id"], "id_activity",
-                            start=id_start, scratch_dir=scratch_dir)
+                            start=id_start, scratch=scratch)
     return out
 
 
@@ -195,16 +195,39 @@ def stage_sports(sport_rows: DataFrame, employees: DataFrame) -> DataFrame:
 
 # -- SRT-1: surrogate key in a global order ------------------------------------
 
-def written(df: DataFrame, scratch_dir: str | None = None) -> DataFrame:
-    """``df`` written once as a scratch table in the shared work folder and read back."""
-    base = scratch_dir or work_path(df.sparkSession, "tmp")
-    path = f"{base.rstrip('/')}/written-{uuid.uuid4().hex}"
+def written(df: DataFrame, scratch: str | None = None) -> DataFrame:
+    """``df`` written once in the shared work folder and read back.  ``scratch`` names a
+    database of managed tables, which go when their owner drops it."""
+    spark = df.sparkSession
+    if scratch:
+        table = f"{scratch}.written_{uuid.uuid4().hex}"
+        df.write.saveAsTable(table)
+        return spark.table(table)
+    path = work_path(spark, "tmp", f"written-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def in_order(rows: DataFrame, name: str = "place") -> DataFrame:
+    """A globally sorted frame with each row's place: the sorted rows are written with
+    their partition and position, and per-partition counts give the offsets."""
+    mid = F.monotonically_increasing_id()
+    kept = written(rows.withColumns({"_pid": F.shiftright(mid, 33), "_rn": mid.bitwiseAND(F.lit((1 << 33) - 1)) + 1}))
+    return _numbered(kept, name, 1)
+
+
+def _numbered(kept: DataFrame, name: str, start: int) -> DataFrame:
+    """Dense numbers from written (partition, position) pairs."""
+    counts = kept.groupBy("_pid").agg(F.max("_rn").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_pid", before.alias("_off"))  # a row per partition
+    return (kept.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") + (start - 1)).cast("bigint"))
+            .drop("_pid", "_rn", "_off"))
 
 
 def surrogate_key(df: DataFrame, order_cols: list[str], name: str = "id",
-                  start: int = 1, scratch_dir: str | None = None) -> DataFrame:
+                  start: int = 1, scratch: str | None = None) -> DataFrame:
     """Dense 1-based row number in ``order_cols`` order, without a one-partition window.
 
     Range-partition by the order and sort inside each partition; the
@@ -222,19 +245,22 @@ def surrogate_key(df: DataFrame, order_cols: list[str], name: str = "id",
     mid = F.monotonically_increasing_id()
     numbered = (df.repartitionByRange(*order_cols)
                 .sortWithinPartitions(*order_cols)
-                .withColumn("_mid", mid)
-                .withColumns({"_pid": F.shiftright("_mid", 33),
-                              "_rn": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1})
-                .drop("_mid"))
-    numbered = written(numbered, scratch_dir)
-    counts = numbered.groupBy("_pid").agg(F.max("_rn").alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    )
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") + (start - 1)).cast("bigint"))
-            .drop("_pid", "_rn", "_off"))
+                .withColumns({"_pid": F.shiftright(mid, 33), "_rn": mid.bitwiseAND(F.lit((1 << 33) - 1)) + 1}))
+    return _numbered(written(numbered, scratch), name, start)
+
+
+def append_numbered(rows: DataFrame, order_cols: list[str], ranges: DataFrame | None, batch: str,
+                    name: str = "id", scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """SRT-1 for arriving rows: they are numbered after all numbers given before, and no
+    earlier row is touched.  ``ranges`` holds a row (batch, first_id, last_id) for each
+    batch so far; returns the numbered rows and the batch's own range row.  Batches that
+    arrive in order get the numbers that one numbering of all rows gives them."""
+    last = ranges.agg(F.max("last_id")).first()[0] if ranges is not None else None
+    start = (last or 0) + 1
+    numbered = written(surrogate_key(rows, order_cols, name, start, scratch), scratch)
+    own = numbered.agg(F.lit(batch).alias("batch"), F.lit(start).cast("bigint").alias("first_id"),
+                       F.coalesce(F.max(name), F.lit(start - 1)).cast("bigint").alias("last_id"))
+    return numbered, own
 
 
 def trailing_window(df: DataFrame, ts_col: str, as_of: dt.datetime, days: int) -> DataFrame:

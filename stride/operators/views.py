@@ -151,7 +151,7 @@ def wellbeing_detail(safe: DataFrame, wellbeing: DataFrame) -> DataFrame:
 
 
 def step_health(run_log: DataFrame) -> DataFrame:
-    """MON-3: renamed projection of the run log, latest first."""
+    """MON-3: renamed projection of the run log, latest first (rows of one time by run, step and message)."""
     return run_log.select(
         "run_id",
         F.col("step_name").alias("etape"),
@@ -161,7 +161,7 @@ def step_health(run_log: DataFrame) -> DataFrame:
         F.col("duration_ms").alias("duree_ms"),
         F.col("started_at").alias("demarre_a"),
         "message",
-    ).orderBy(F.desc("demarre_a"))
+    ).orderBy(F.desc("demarre_a"), "run_id", "etape", "message")
 
 
 def latest(df: DataFrame, ts_col: str, n: int, *tiebreak: str) -> DataFrame:

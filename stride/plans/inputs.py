@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import benefits as B
+from ..operators import notify as N
 from ..operators import staging as ST
 from ..params import BenefitParams
 from ..session import configure
@@ -77,9 +78,19 @@ class Inputs:
 
     @cached_property
     def event_activities(self) -> DataFrame:
-        """Staging activities of the event documents, as the staging table
-        holds them (equal to ``flattened_documents``; no JSON round trip)."""
-        return BD.event_staging(self.table("events"))
+        """Staging activities of the event documents: a staging table that holds the
+        flattened documents (built, parsed and written once in a query)."""
+        return ST.written(self.flattened_documents)
+
+    @cached_property
+    def posted(self) -> DataFrame:
+        """The append-only table of posted ids, as an earlier run left it."""
+        return ST.written(BD.posted_before(self.table("events")))
+
+    @cached_property
+    def delivered_activities(self) -> DataFrame:
+        """MRG-4 on read: the staged event activities with their delivery state."""
+        return N.mark_posted(self.event_activities.withColumnRenamed("source_activity_id", "id_activity"), self.posted)
 
     # -- sports, run log --------------------------------------------------------
     @cached_property

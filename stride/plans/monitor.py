@@ -4,7 +4,7 @@ A step measures its duration, carries rows in/out set by the caller (counts
 that the step's own actions produced, e.g. through ``Observation``), sets a
 status OK / WARN / FAIL and an error text, appends ONE run-log row, and
 re-raises any error.  The run log is a tiny append-only table; its row is
-built from a one-element list, which is the only driver-side data here.
+a row of literals, which is the only driver-side data here.
 """
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 
@@ -71,6 +72,7 @@ def step(spark: SparkSession, name: str, run_id: str, sink=None):
         row = run_log_row(ctx, started, (time.perf_counter() - t0) * 1000)
         ctx.row = row  # type: ignore[attr-defined]
         if sink is not None:
-            sink(spark.createDataFrame([row], S.RUN_LOG_SCHEMA_NTZ))
+            literals = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, S.RUN_LOG_SCHEMA_NTZ.fields)]
+            sink(spark.range(0, 1, 1, 1).select(*literals))
     if error is not None:
         raise error

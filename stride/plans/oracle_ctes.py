@@ -45,14 +45,14 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                               WHEN 1 THEN 'Vélo/Trottinette/Autres'
                               WHEN 2 THEN 'Transports en commun'
                               ELSE 'véhicule thermique/électrique' END AS moyen_deplacement,
-         CAST((c_custkey * 7919) % 40000 AS INTEGER) AS distance_resolved_m,
+         if(c_custkey % 50 = 13, NULL, CAST((c_custkey * 7919) % 40000 AS INTEGER)) AS distance_resolved_m,
          43.0 + (c_custkey % 1000) / 1000.0 AS home_lat,
          3.0 + ((c_custkey * 7) % 1000) / 1000.0 AS home_lon
   FROM customer"""),
-    # PRJ-19: the limit of each active mode in metres; a mode without a limit is never suspect
+    # PRJ-19: the limit of each active mode in metres; a mode without a limit is never suspect, an unresolved distance is
     "geo": (("emp",), """
   SELECT emp.*, if(l.limit_m IS NULL, NULL, distance_resolved_m) AS distance_domicile_m,
-         coalesce(distance_resolved_m > l.limit_m, FALSE) AS is_declaration_suspect
+         l.limit_m IS NOT NULL AND coalesce(distance_resolved_m > l.limit_m, TRUE) AS is_declaration_suspect
   FROM emp LEFT JOIN (VALUES ('Marche/running', 15000), ('Vélo/Trottinette/Autres', 25000)) l(label, limit_m)
     ON l.label = moyen_deplacement"""),
     # one row of facts per employee: verdict 1 (bonus), 2 (suspect) or 3 (not an active mode), recent activities
@@ -118,6 +118,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
          sport AS sport_type, CAST(distance AS INTEGER) AS distance_m,
          CAST(moving_time AS INTEGER) AS moving_time_s, comment, FALSE AS posted_to_slack
   FROM evd"""),
+    # the same with the delivery state of an earlier run (every 7th was posted)
+    "evstate": (("evact",), "SELECT * REPLACE (source_activity_id % 7 = 0 AS posted_to_slack) FROM evact"),
     # run log bound to events
     "runlog": ((), """
   SELECT 'run-' || strftime(ts, '%Y%m%d') AS run_id,

@@ -38,6 +38,11 @@ ACTIVE_MODE_ROUTING = {
     "Marche/running": "walking",
     "Vélo/Trottinette/Autres": "bicycling",
 }
+# Routing modes, step statuses and logged operations that the tables accept.
+ROUTING_MODES = ("walking", "bicycling", "driving", "transit")
+STEP_STATUSES = ("OK", "WARN", "FAIL")
+CHANGE_OPERATIONS = ("INSERT", "UPDATE", "DELETE")
+
 DEFAULT_WALKING_MAX_KM = 15.0
 DEFAULT_CYCLING_MAX_KM = 25.0
 

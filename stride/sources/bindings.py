@@ -10,10 +10,11 @@ Binding choices (all deterministic):
 * employees      <- customer: id ``c_custkey``, address ``c_name``, unit
   ``c_mktsegment``, salary ``10000 + abs(c_acctbal) * 10``, commute mode from
   ``c_nationkey % 4`` (label spelling varies with ``c_nationkey / 4``), resolved
-  commute distance ``(c_custkey * 7919) % 40000`` metres.
+  commute distance ``(c_custkey * 7919) % 40000`` metres, unresolved for every 50th.
 * activities     <- orders: id ``o_orderkey``, employee ``o_custkey``, start
   ``o_orderdate``, category ``o_orderpriority``.
 * raw documents  <- events: one JSON activity document per event.
+* posted ids     <- events: every 7th was posted by an earlier run.
 * sport file     <- distinct (user_id, declared label of event_type).
 * run log        <- events: one step row per event (step = event type).
 """
@@ -52,6 +53,8 @@ ACTIVITY_COMMENT_BY_STATUS = {"P": "Order still being filled"}
 EVENT_COMMENT_TEXT = "Every tenth key"
 DISTANCE_MULTIPLIER = 7919
 DISTANCE_MODULUS = 40000
+UNRESOLVED_EVERY, UNRESOLVED_AT = 50, 13
+POSTED_EVERY = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,8 +86,9 @@ def hr_file(customer: DataFrame) -> DataFrame:
         F.col("c_nationkey").cast("int").alias("jours_cp"),
         F.col("c_name").alias("adresse_domicile"),
         commute_label(F.col("c_nationkey")).alias("moyen_deplacement"),
-        # answers of the distance service and home coordinates for this address
-        F.pmod(key * DISTANCE_MULTIPLIER, F.lit(DISTANCE_MODULUS)).cast("int").alias("distance_resolved_m"),
+        # answers of the distance service (none for some addresses) and home coordinates for this address
+        F.when(F.pmod(key, F.lit(UNRESOLVED_EVERY)) != UNRESOLVED_AT,
+               F.pmod(key * DISTANCE_MULTIPLIER, F.lit(DISTANCE_MODULUS)).cast("int")).alias("distance_resolved_m"),
         (F.lit(43.0) + F.pmod(key, F.lit(1000)) / 1000.0).alias("home_lat"),
         (F.lit(3.0) + F.pmod(key * 7, F.lit(1000)) / 1000.0).alias("home_lon"),
     )
@@ -161,6 +165,12 @@ def event_staging(events: DataFrame) -> DataFrame:
     )
 
 
+def posted_before(events: DataFrame) -> DataFrame:
+    """Delivery state that an earlier run left: (id_activity, run_id, posted_at)."""
+    return events.filter(F.pmod("event_id", F.lit(POSTED_EVERY)) == 0).select(
+        F.col("event_id").alias("id_activity"), F.lit("run-0000").alias("run_id"), F.col("ts").alias("posted_at"))
+
+
 def sport_file(events: DataFrame) -> DataFrame:
     """Sport file rows: (id_salarie, sport_pratique), one per event (duplicates kept)."""
     declared = F.try_element_at(C.literal_map(EVENT_DECLARED_SPORT), F.col("event_type"))

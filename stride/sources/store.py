@@ -1,33 +1,34 @@
-"""Layered Parquet tables whose writes become visible whole (SNK-1, SNK-2,
-SNK-7, and the commit step of every MRG-*).
-
-A table lives at ``<root>/<layer>/<name>``.  A rewrite goes to the next version
-folder ``v<NNNNNNNN>``, an append to a part folder ``v<NNNNNNNN>.a<NNNNNNNN>`` of
-the current version, a batch of a stream to a table of its own below the
-name.  A folder counts only once Spark's committer has written ``_SUCCESS``
-there, and no committed folder is ever changed: a reader never sees half of a
-write, a job may read version N while writing N+1, and a write that failed
-half-way is simply not there when it is tried again.  The root defaults to
-``tables`` under the shared work folder (``spark.checkpoint.dir``), so the
-layout works on any Hadoop filesystem.
+"""Layered Parquet tables under names of Spark's catalog (SNK-1, SNK-2, SNK-7,
+and the write step of every MRG-*).
+
+A refresh is one plain Parquet write into a fresh folder; the table's name is a
+view over the folder that was published last (``CREATE OR REPLACE VIEW``), so the
+old rows stay readable while the new ones are written, a job may read the table it
+is about to replace, and rows that fail their constraints are never published.  An
+append is a plain Parquet append to the published folder (which the view's comment
+names).  A table has one writer at a time.
+
+The names live in the session's catalog: a metastore on a cluster, the in-memory
+catalog in tests.  The folders lie under ``root`` (default: ``tables`` in the shared
+work folder); earlier folders of a table are left to the storage's retention rules.
 """
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Mapping, Sequence
+import hashlib
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
+from ..operators import quality as Q
 from ..session import work_path
 
-VERSION = re.compile(r"v\d{8}(?:\.a\d{8})?")
-
 # Reloading a parent table empties these dependents (TRUNCATE ... CASCADE).
 DEFAULT_CASCADE: Mapping[str, Sequence[str]] = {
-    "staging.employees": ("staging.sports_practice", "staging.activities",
+    "staging.employees": ("staging.sports_practice", "staging.activities", "staging.posted_activities",
                           "marts.eligibility_prime", "marts.eligibility_wellbeing"),
-    "raw.activities": ("staging.activities",),
+    "raw.activities": ("staging.activities", "staging.posted_activities"),
 }
 
 
@@ -37,122 +38,73 @@ class TableStore:
         self.spark = spark
         self.root = (root or work_path(spark, "tables")).rstrip("/")
         self.cascade = cascade
+        #: databases of this root; the same root finds the same names again
+        self.prefix = "stride_" + hashlib.sha1(self.root.encode()).hexdigest()[:10]
+
+    def name(self, qualified: str) -> str:
+        """The catalog name of ``layer.table``."""
+        layer, table = qualified.split(".", 1)
+        return f"{self.prefix}_{layer}.{table}"
 
-    # -- filesystem helpers (Hadoop FS through the session's JVM) -------------
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return bool(fs.exists(p))
-
-    def table_dir(self, qualified: str) -> str:
-        layer, name = qualified.split(".", 1)
-        return f"{self.root}/{layer}/{name}"
-
-    def _folders(self, qualified: str) -> dict[str, bool]:
-        """Folder name below the table's -> whether it is committed."""
-        base = self.table_dir(qualified)
-        if not self._exists(base):
-            return {}
-        fs, p = self._fs(base)
-        return {st.getPath().getName(): bool(fs.exists(st.getPath().suffix("/_SUCCESS")))
-                for st in fs.listStatus(p) if st.isDirectory()}
-
-    def versions(self, qualified: str) -> list[int]:
-        """Committed versions (folders holding ``_SUCCESS``), ascending."""
-        return sorted(int(n[1:]) for n, done in self._folders(qualified).items() if done and VERSION.fullmatch(n) and len(n) == 9)
-
-    def _parts(self, qualified: str, version: int) -> list[str]:
-        """Committed appends to a version, in order."""
-        head = f"v{version:08d}.a"
-        return sorted(n for n, done in self._folders(qualified).items() if done and n.startswith(head))
-
-    def current_path(self, qualified: str) -> str | None:
-        v = self.versions(qualified)
-        return f"{self.table_dir(qualified)}/v{v[-1]:08d}" if v else None
+    def folder(self, qualified: str, part: str) -> str:
+        return f"{self.root}/{qualified.replace('.', '/', 1)}/{part}"
 
     def exists(self, qualified: str) -> bool:
-        return self.current_path(qualified) is not None
+        database = self.name(qualified).split(".")[0]
+        return self.spark.catalog.databaseExists(database) and self.spark.catalog.tableExists(self.name(qualified))
 
-    # -- reads and writes ------------------------------------------------------------
     def read(self, qualified: str) -> DataFrame:
-        path = self.current_path(qualified)
-        if path is None:
-            raise FileNotFoundError(f"table {qualified} has no committed version under {self.root}")
-        parts = self._parts(qualified, self.versions(qualified)[-1])
-        return self.spark.read.parquet(path, *[f"{self.table_dir(qualified)}/{n}" for n in parts])
-
-    def write(self, df: DataFrame, qualified: str, partition_by: Sequence[str] = ()) -> str:
-        """SNK-1: full refresh as a new version (visible on ``_SUCCESS``)."""
-        known = [int(n[1:9]) for n in self._folders(qualified) if VERSION.fullmatch(n)]
-        path = f"{self.table_dir(qualified)}/v{max(known, default=0) + 1:08d}"
-        w = df.write.mode("errorifexists")
+        if not self.exists(qualified):
+            raise FileNotFoundError(f"table {qualified} was never published under {self.root}")
+        return self.spark.table(self.name(qualified))
+
+    def publish(self, qualified: str, folder: str) -> None:
+        """From now on ``qualified`` is what lies in ``folder``."""
+        name = self.name(qualified)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT '{folder}' AS SELECT * FROM parquet.`{folder}`")
+
+    def write(self, df: DataFrame, qualified: str, partition_by: Sequence[str] = (),
+              rules: Sequence[Q.Rule] = ()) -> int:
+        """SNK-1 and QLT-13..17 on write: a full refresh; returns the rows written.
+
+        Row rules are counted in the pass that writes the rows; keys are checked on the
+        written key columns.  A table that breaks a rule is left unpublished."""
+        folder = self.folder(qualified, uuid.uuid4().hex)
+        seen = Observation()
+        out = df.observe(seen, *Q.row_measures(rules)).write
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return path
-
-    def write_by_day(self, df: DataFrame, qualified: str, day_col: str = "start_day") -> str:
-        """A full refresh partitioned by a day column."""
-        return self.write(df, qualified, partition_by=[day_col])
-
-    def append(self, df: DataFrame, qualified: str) -> str:
-        """SNK-7: rows added to the current version as a part of their own,
-        all visible at once (the first append creates the table)."""
-        versions = self.versions(qualified)
-        if not versions:
-            return self.write(df, qualified)
-        head = f"v{versions[-1]:08d}.a"
-        used = [int(n[len(head):]) for n in self._folders(qualified) if n.startswith(head)]
-        path = f"{self.table_dir(qualified)}/{head}{max(used, default=0) + 1:08d}"
-        df.write.mode("errorifexists").parquet(path)
-        return path
-
-    # -- batches of a stream --------------------------------------------------
-    def write_batch(self, df: DataFrame, qualified: str, tag: str) -> str:
-        """The rows of one batch as a table of its own: writing the same tag
-        again (a replay) publishes a new version that replaces the earlier attempt."""
-        return self.write(df, f"{qualified}/{tag}")
-
-    def batches(self, qualified: str) -> list[str]:
-        """Tags with a committed version."""
-        return sorted(n for n in self._folders(qualified)
-                      if not VERSION.match(n) and self.exists(f"{qualified}/{n}"))
-
-    def read_batches(self, qualified: str, skip: Iterable[str] = ()) -> DataFrame | None:
-        """The current rows of all batches but ``skip``; None without any."""
-        tags = [t for t in self.batches(qualified) if t not in set(skip)]
-        if not tags:
-            return None
-        return self.spark.read.parquet(*[self.current_path(f"{qualified}/{t}") for t in tags])
-
-    # -- removal ------------------------------------------------------------------
-    def vacuum(self, qualified: str, keep: int = 2) -> None:
-        """Remove all but the ``keep`` latest committed versions, their parts,
-        and older attempts that never committed."""
-        kept = self.versions(qualified)[-keep:]
-        for name in self._folders(qualified):
-            m = VERSION.match(name)
-            if m and kept and int(name[1:9]) < kept[0]:
-                self.delete_path(f"{self.table_dir(qualified)}/{name}")
-
-    def delete_path(self, path: str) -> None:
-        """Remove a folder this library wrote (scratch data or an old version)."""
-        fs, p = self._fs(path)
-        if fs.exists(p):
-            fs.delete(p, True)
-
-    def empty(self, qualified: str, schema: T.StructType) -> str:
-        return self.write(self.spark.createDataFrame([], schema), qualified)
-
-    def refresh(self, df: DataFrame, qualified: str) -> str:
-        """SNK-1 + SNK-2: reload a table; its dependents are rewritten empty
-        with their current schema (the reload's TRUNCATE ... CASCADE) before the
-        new rows are published, so no reader joins them to rows of the old load."""
+            out = out.partitionBy(*partition_by)
+        out.parquet(folder)
+        broken = Q.broken_rows(seen.get, rules)
+        keys = [r for r in rules if r.kind in Q.KEY_KINDS]
+        if keys:
+            report = Q.evaluate(self.spark.read.parquet(folder), keys, qualified)
+            broken += [(r.rule, r.column_name, r.unexpected_count) for r in report.where("not success").collect()]  # a row per rule
+        if broken:
+            raise Q.ConstraintError(qualified, broken)
+        self.publish(qualified, folder)
+        return int(seen.get["n"])
+
+    def append(self, df: DataFrame, qualified: str, rules: Sequence[Q.Rule] = ()) -> int:
+        """SNK-7: rows added to the table; a row that breaks a rule fails the job
+        before its committer makes any of its rows visible."""
+        there = self.exists(qualified)
+        folder = self.spark.catalog.getTable(self.name(qualified)).description if there else self.folder(qualified, uuid.uuid4().hex)
+        seen = Observation()
+        Q.enforced(df, rules, qualified).observe(seen, *Q.row_measures(())).write.mode("append").parquet(folder)
+        if not there:
+            self.publish(qualified, folder)
+        return int(seen.get["n"])
+
+    def empty(self, qualified: str, schema: T.StructType) -> None:
+        self.write(self.spark.createDataFrame([], schema), qualified)
+
+    def refresh(self, df: DataFrame, qualified: str, rules: Sequence[Q.Rule] = ()) -> int:
+        """SNK-1 + SNK-2: reload a table; its dependents are emptied (the reload's
+        TRUNCATE ... CASCADE) before the new rows are published, so no reader joins
+        them to rows of the old load."""
         for dep in self.cascade.get(qualified, ()):
             if self.exists(dep):
                 self.empty(dep, self.read(dep).schema)
-        return self.write(df, qualified)
+        return self.write(df, qualified, rules=rules)

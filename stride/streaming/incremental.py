@@ -1,31 +1,32 @@
 """Incremental variants on Structured Streaming (STR-1, STR-2).
 
 STR-1  Raw activity documents land as JSON-lines files; a file-source stream
-       flattens each micro-batch (PRJ-9/10) once, into a table of its own.  A
-       document may be delivered again, changed, and on another day: every row
-       carries its delivery (file time, file name, a digest), and the staging
-       view keeps the latest delivery of each key.  That view does not depend on
-       the batch boundaries, and a replayed batch replaces only its own table,
-       so a failure between any two writes loses and repeats nothing.
-       ``compact`` folds finished batches into one table (day partitions).
-
-STR-2  Idempotent delivery: each micro-batch of pending activities drops the
-       ids delivered by other batches (anti join), renders the rest into the
-       batch's own outbox table, then records their ids in the batch's own id
-       table.  A replayed batch (same tag, after a failure between the writes)
-       publishes new versions of its own tables only, so every activity is
-       emitted exactly once.
+       flattens them (PRJ-9/10) into Spark's Parquet file sink.  The sink's own log
+       (``_spark_metadata``) commits each micro-batch once, also when a batch is
+       replayed after a failure, and readers see committed files only.  A document
+       may be delivered again, changed, and on another day: every row carries its
+       delivery (file time, file name, a digest), and the staging view keeps the
+       latest delivery of each key, whatever the batch boundaries.  ``snapshot``
+       publishes that view as a day-partitioned table.
+
+STR-2  Idempotent delivery: a streaming ``dropDuplicates`` on the activity id keeps
+       the delivered ids in Spark's state store, keyed and partitioned by id, and the
+       file sink commits the outbox.  No batch reads what earlier batches wrote;
+       the checkpoint is the record of what was delivered.  With ``horizon`` an
+       id is forgotten once event time has passed it by so much
+       (``dropDuplicatesWithinWatermark``), which bounds the state; an activity that
+       arrives later than that is then too late to be delivered.  Without it every id
+       is remembered; name the RocksDB provider
+       (``spark.sql.streaming.stateStore.providerClass``) to keep that state on disk.
 
 Both streams keep their progress in a checkpoint folder under the shared work
-folder, so a restarted driver or lost executors resume from the last committed
-batch.
+folder, so a restarted driver or lost executors resume from the last committed batch.
 """
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators import notify as N
@@ -33,8 +34,6 @@ from ..operators import staging as ST
 from ..sources.store import TableStore
 
 STAGING = "staging.activities"
-DELIVERED = "audit.delivered_ids"
-OUTBOX = "audit.outbox"
 KEY = "source_activity_id"
 #: The order of deliveries: a later file wins, then the file name, then the digest of the document.
 DELIVERY = ("delivered_at", "delivered_file", "delivered_digest")
@@ -55,95 +54,47 @@ def latest(rows: DataFrame, key: str = KEY) -> DataFrame:
     return last.select(*[F.col(key) if c == key else F.col(f"_r.{c}").alias(c) for c in rows.columns])
 
 
-def current_rows(store: TableStore) -> DataFrame | None:
-    """All delivered rows: the compacted table and every batch (rows in both are equal)."""
-    rows = store.read_batches(STAGING)
-    if store.exists(STAGING):
-        folded = store.read(STAGING).drop("start_day")
-        rows = folded if rows is None else folded.unionByName(rows)
-    return rows
-
-
-def staging_activities(store: TableStore) -> DataFrame:
-    """The staging view of STR-1: one row for each activity, as last delivered."""
-    rows = current_rows(store)
-    if rows is None:
-        raise FileNotFoundError(f"no batch of {STAGING} under {store.root}")
-    return latest(rows).drop(*DELIVERY)
-
-
-def compact(store: TableStore) -> list[str]:
-    """Fold all batches into a new version of the compacted table.  Readers may
-    see the batches beside it, to the same result; ``drop_batches`` removes them
-    once nobody reads them any more."""
-    tags = store.batches(STAGING)
-    rows = latest(current_rows(store)).withColumn("start_day", F.to_date("start_dt"))
-    store.write(rows.repartitionByRange("start_day", KEY), STAGING, partition_by=["start_day"])
-    return tags
-
+def to_files(rows: DataFrame, folder: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append the stream's rows to Spark's Parquet file sink."""
+    q = rows.writeStream.format("parquet").outputMode("append").option("path", folder).option("checkpointLocation", checkpoint)
+    return (q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")).start()
 
-def drop_batches(store: TableStore, tags: list[str]) -> None:
-    for tag in tags:
-        store.delete_path(f"{store.table_dir(STAGING)}/{tag}")
 
+def incremental_flatten(spark: SparkSession, landing: str, folder: str, checkpoint: str,
+                        available_now: bool = True, max_files: int = 64) -> StreamingQuery:
+    """STR-1: flatten arriving documents into ``folder``."""
+    return to_files(ST.flatten_payloads(raw_document_stream(spark, landing, max_files), keep=DELIVERY),
+                    folder, checkpoint, available_now)
 
-def write_flat_batch(batch: DataFrame, store: TableStore, tag: str) -> None:
-    """One micro-batch, flattened and written once (its documents in every delivered version)."""
-    store.write_batch(ST.flatten_payloads(batch, keep=DELIVERY), STAGING, tag)
-
-
-def incremental_flatten(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
-                        available_now: bool = True, max_files: int = 64):
-    """STR-1: flatten arriving documents into batches of ``staging.activities``."""
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_flat_batch(batch, store, batch_tag(checkpoint, batch_id))
-
-    q = (raw_document_stream(spark, landing, max_files).writeStream
-         .foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint))
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
-    return q.start()
 
+def staging_activities(spark: SparkSession, folder: str) -> DataFrame:
+    """The staging view of STR-1: one row for each activity, as last delivered."""
+    return latest(spark.read.parquet(folder)).drop(*DELIVERY)
 
-def deliver_batch(batch: DataFrame, tag: str, employees: DataFrame, store: TableStore,
-                  channel: str = "#sport", error: str = "no webhook configured") -> None:
-    """One STR-2 micro-batch, identified by ``tag`` (stream + batch id).
 
-    Ids delivered by OTHER batches are dropped (anti join; one column is read,
-    and only row groups that overlap the batch's key range, as ids mostly grow
-    with time); the rest are rendered.  First the outbox, then the ids."""
-    todo = batch
-    others = store.read_batches(DELIVERED, skip=[tag])
-    if others is not None:
-        low, high = batch.agg(F.min("id_activity"), F.max("id_activity")).first()
-        if low is not None:
-            todo = todo.join(others.filter(F.col("id_activity").between(low, high)), "id_activity", "left_anti")
-    msgs = N.render_messages(todo, employees)
-    store.write_batch(N.outbox_records(msgs, channel, error), OUTBOX, tag)
-    store.write_batch(store.read(f"{OUTBOX}/{tag}").select("id_activity"), DELIVERED, tag)
+def snapshot(spark: SparkSession, folder: str, store: TableStore) -> int:
+    """The staging view published as a table in day partitions."""
+    rows = staging_activities(spark, folder).withColumn("start_day", F.to_date("start_dt"))
+    return store.write(rows.repartitionByRange("start_day", KEY), STAGING, partition_by=["start_day"])
 
 
-def batch_tag(checkpoint: str, batch_id: int) -> str:
-    """A path-safe tag for (stream, batch): checkpoint digest + batch id."""
-    return f"{hashlib.sha1(checkpoint.encode()).hexdigest()[:16]}-{batch_id}"
+def once_each(activities: DataFrame, horizon: str | None = None, key: str = "id_activity") -> DataFrame:
+    """The first arrival of each id, by keyed state; ``horizon`` (an interval) bounds the state."""
+    if horizon is None:
+        return activities.dropDuplicates([key])
+    timed = activities.withColumn("_event_time", F.col("start_dt").cast("timestamp")).withWatermark("_event_time", horizon)
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_event_time")
 
 
-def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: DataFrame,
-                        store: TableStore, checkpoint: str, channel: str = "#sport",
-                        error: str = "no webhook configured"):
-    """STR-2: render each pending activity once across re-runs.
+def idempotent_delivery(spark: SparkSession, activities: DataFrame, employees: DataFrame, outbox: str, checkpoint: str,
+                        channel: str = "#sport", error: str = "no webhook configured", horizon: str | None = None) -> StreamingQuery:
+    """STR-2: render each pending activity once, however often it arrives.
 
     ``activities`` is a streaming DataFrame of staging activities (with
-    ``id_activity``); ``employees`` a static frame of staged employees.
-    """
-
-    def deliver(batch: DataFrame, batch_id: int) -> None:
-        deliver_batch(batch, batch_tag(checkpoint, batch_id), employees, store, channel, error)
-
-    return (activities.writeStream.foreachBatch(deliver)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    ``id_activity``); ``employees`` a static frame of staged employees.  An activity
+    whose employee is unknown is not delivered and may be when it arrives again."""
+    messages = once_each(N.render_messages(activities, employees), horizon)
+    return to_files(N.outbox_records(messages, channel, error), outbox, checkpoint)
 
 
 def write_landing(raw_documents: DataFrame, landing: str) -> None:

@@ -48,3 +48,28 @@ def test_surrogate_key_with_a_hot_timestamp(spark):
     want = df.withColumn("sid", F.row_number().over(Window.orderBy("t", "k")))
     assert got.count() == n
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_split_join_levels_a_hot_key(spark):
+    """One employee with a third of the rows, adaptive execution off: no task holds twice the
+    median, and each join type gives the rows of the plain join."""
+    from stride.operators import skew as SK
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = 30_000
+        rows = spark.range(0, n, 1, 6).select(F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, None)
+                                              .otherwise(F.col("id") % 900 + 100).cast("long").alias("k"))
+        people = spark.range(800).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        people = people.unionByName(people.filter("k = 7"))  # the hot key twice on the other side
+        hot = SK.hot_keys(rows, "k", 0.05).collect()
+        assert [(r.k, r.rows) for r in hot] == [(7, n // 3)]
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            got, want = SK.split_join(rows, people, "k", how), rows.join(people, "k", how)
+            assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+        tasks = sorted(r["n"] for r in SK.split_join(rows, people, "k", "left", pieces=64).groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count("*").alias("n")).collect())
+        assert tasks[-1] <= 2 * tasks[len(tasks) // 2]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -100,7 +100,7 @@ def test_flatten_round_trip_equals_staging_binding(spark):
     from stride.plans.inputs import Inputs
     from tests.conftest import SF0001
     I = Inputs(spark, SF0001)
-    a, b = I.flattened_documents, I.event_activities
+    a, b = I.flattened_documents, BD.event_staging(I.table("events"))
     assert a.count() == b.count()
     assert a.exceptAll(b.select(*a.columns)).count() == 0
 
