@@ -10,15 +10,18 @@ real ties.
 2. *Index.*  Documents are indexed in blocks: for each term the documents of the block
    with their weighted impacts, and for each pair of terms the intersection of their
    lists with the largest impact that any of its documents has for both together.  The
-   pairs are neighbours in an item's order of weights.  The index is a written table, a row for each block.
+   pairs are near neighbours in an item's order of weights.  The index is a written
+   table, a row for each block.
 3. *Search.*  A document that holds both terms of a pair scores at most the pair's
    joint maximum for them, one that holds a single term at most that term's maximum; the larger
-   of these is the pair's bound, which is lower than the sum of both maxima.  For each
-   item, pairs whose bounds add up to less than its 10th best score cannot bring in a
-   document alone: only the lists of the others are read for candidates.  Candidates
-   go through the remaining pairs, largest bound first, and are dropped as soon as
-   score and remaining bounds fall below the 10th best; a block whose bounds do not
-   reach it is passed over whole.  The best scores go from block to block in a task.
+   of these is the pair's bound, lower than the sum of both maxima by what the pair
+   saves.  For each item and block the terms are taken by rising maximum, each put
+   together with the free term before it whose pair saves most; the running sums of
+   these bounds are lower than those of the maxima alone.  Terms whose sum stays below
+   the item's 10th best score cannot bring in a document: only the lists of the
+   others are walked for candidates.  Candidates then go through the rest, largest
+   first, and are dropped as soon as score and remaining sum fall below the 10th best; a
+   block whose whole sum does is passed over.  The best scores go from block to block in a task.
 4. *Merge.*  Each task emits its best ten of each item; the best of all follow from a
    window limited before its shuffle.
 
@@ -51,6 +54,7 @@ class SearchParams:
     top: int = 10
     block_docs: int = 2048
     shard_items: int = 20_000
+    partners: int = 4         # following terms, by weight, that a term of an item makes pairs with
 
 
 def term_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -71,21 +75,23 @@ class Queries:
         self.term = number[order]
         self.start = np.searchsorted(item[order], np.arange(len(ids) + 1))
 
-    def weigh(self, df: np.ndarray, n_docs: int, n_terms: int) -> None:
-        """Weights, and the pairs of neighbours in each item's order of weights (-1: no partner)."""
+    def weigh(self, df: np.ndarray, n_docs: int, n_terms: int, partners: int = SearchParams.partners) -> None:
+        """Weights, and the pairs of near neighbours in each item's order of weights."""
         self.n_docs, self.n_terms = n_docs, n_terms
         self.weight = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
-        both, self.of_item, size = [], [], len(self.vocabulary)
+        both, self.terms, size = [], [], len(self.vocabulary)
         for a, b in zip(self.start, self.start[1:]):
             t = self.term[a:b]
             t = t[np.lexsort((t, self.weight[t]))]
-            second = np.append(t[1::2], -1) if len(t) % 2 else t[1::2]
-            both.append(t[::2] * (size + 1) + second + 1)
+            near = [np.stack([t[:-k], t[k:]]) for k in range(1, min(partners, len(t) - 1) + 1)]
+            low, high = np.sort(np.concatenate(near, axis=1), axis=0) if near else np.zeros((2, 0), np.int64)
+            self.terms.append(t)
+            both.append(low * size + high)
         keys = np.concatenate(both) if both else np.zeros(0, np.int64)
         pairs, number = np.unique(keys, return_inverse=True)
-        self.first, self.second = pairs // (size + 1), pairs % (size + 1) - 1
+        self.first, self.second = pairs // max(size, 1), pairs % max(size, 1)
         edge = np.cumsum([0, *map(len, both)])
-        self.of_item = [number[a:b] for a, b in zip(edge, edge[1:])]
+        self.pairs = [number[a:b] for a, b in zip(edge, edge[1:])]
 
 
 def item_shards(benchmark: DataFrame, p: SearchParams):
@@ -152,9 +158,9 @@ def _block(rows: pa.RecordBatch, q: Queries) -> dict:
     start = np.append(start, len(term)).astype(np.int64)
     most = np.maximum.reduceat(impact, start[:-1]) if len(terms) else np.zeros(0, np.int64)
     # intersections: the postings of each pair's first term looked up among those of its second
-    place = np.full(len(q.vocabulary) + 1, -1)
+    place = np.full(len(q.vocabulary), -1)
     place[terms] = np.arange(len(terms))
-    pair = np.flatnonzero((q.second >= 0) & (place[q.first] >= 0) & (place[q.second] >= 0))
+    pair = np.flatnonzero((place[q.first] >= 0) & (place[q.second] >= 0))
     a, b = place[q.first[pair]], place[q.second[pair]]
     a, b = np.where(start[a + 1] - start[a] <= start[b + 1] - start[b], [a, b], [b, a])
     length = start[a + 1] - start[a]
@@ -192,36 +198,51 @@ class Best:
         self.score[item], self.doc[item] = s[order], d[order]
 
 
+def bounds(terms: np.ndarray, most: np.ndarray, pairs: np.ndarray, first: np.ndarray, second: np.ndarray,
+           bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An item's terms by rising maximum, and for each how much it and all before it can score together."""
+    order = terms[np.lexsort((terms, most[terms]))]
+    order = order[most[order] > 0]  # terms that the block has
+    added = most[order]
+    if len(pairs):
+        rank = dict(zip(order.tolist(), range(len(order))))
+        saved = most[first[pairs]] + most[second[pairs]] - bound[pairs]
+        pairs, saved = pairs[saved > 0], saved[saved > 0]
+        free = [True] * len(order)
+        met = sorted((max(rank[a], rank[b]), -s, min(rank[a], rank[b])) for a, b, s in zip(
+            first[pairs].tolist(), second[pairs].tolist(), saved.tolist()))
+        for later, gain, earlier in met:
+            if free[later] and free[earlier]:
+                free[later] = free[earlier] = False
+                added[later] += gain
+    return order, np.cumsum(added)
+
+
 def search_block(block: dict, q: Queries, best: Best, pair_bounds: bool = True) -> int:
-    """Raise ``best`` by the documents of a block; returns how many postings were read."""
+    """Raise ``best`` by the documents of a block; returns how many postings were walked for candidates."""
     ids, term, start, doc, impact = (block[c] for c in ("docs", "term", "start", "doc", "impact"))
-    place = np.full(len(q.vocabulary) + 1, -1)  # its last slot, -1, stands for no partner
+    place = np.full(len(q.vocabulary), -1)
     place[term] = np.arange(len(term))
-    most = np.append(block["most"], 0)  # at -1: a term that the block does not have
-    one, two = most[place[q.first]], most[place[q.second]]
-    if pair_bounds:
-        bound = np.maximum(one, two)
-        bound[block["pair"]] = np.maximum(bound[block["pair"]], block["joint"])
-    else:
-        bound = one + two
+    most = np.append(block["most"], 0)[place]  # by term; 0: the block does not have it
+    joint = np.zeros(len(q.first), np.int64)
+    joint[block["pair"]] = block["joint"]
+    bound = np.maximum(np.maximum(most[q.first], most[q.second]), joint)
     read = 0
     total = np.zeros(len(ids), np.int64)
-    for item, pairs in enumerate(q.of_item):
-        pairs = pairs[np.argsort(bound[pairs], kind="stable")]
-        reach = np.cumsum(bound[pairs])
+    for item, (terms, pairs) in enumerate(zip(q.terms, q.pairs)):
         least = best.least(item)
-        if not len(pairs) or reach[-1] < least:
+        if not len(terms) or most[terms].sum() < least:
             continue
-        cut = int(np.searchsorted(reach, least))  # pairs before it add up to less
-        lists = place[np.concatenate([q.first[pairs[cut:]], q.second[pairs[cut:]]])]
-        touched = []
-        for i in lists[lists >= 0]:
-            d = doc[start[i]:start[i + 1]]
-            total[d] += impact[start[i]:start[i + 1]]
-            touched.append(d)
-            read += len(d)
-        if not touched:
+        order, reach = bounds(terms, most, pairs if pair_bounds else pairs[:0], q.first, q.second, bound)
+        if not len(order) or reach[-1] < least:
             continue
+        cut = int(np.searchsorted(reach, least))  # terms before it add up to less
+        touched = []
+        for t in order[cut:].tolist():
+            lo, hi = start[place[t]], start[place[t] + 1]
+            total[doc[lo:hi]] += impact[lo:hi]
+            touched.append(doc[lo:hi])
+            read += int(hi - lo)
         found = np.unique(np.concatenate(touched))
         score = total[found]
         total[found] = 0
@@ -232,12 +253,9 @@ def search_block(block: dict, q: Queries, best: Best, pair_bounds: bool = True)
             found, score = found[alive], score[alive]
             if not len(found):
                 break
-            for i in (place[q.first[pairs[j]]], place[q.second[pairs[j]]]):
-                if i >= 0:
-                    d = doc[start[i]:start[i + 1]]
-                    at = np.minimum(np.searchsorted(d, found), len(d) - 1)
-                    score = score + np.where(d[at] == found, impact[start[i]:start[i + 1]][at], 0)
-                    read += len(found)
+            lo, hi = start[place[order[j]]], start[place[order[j]] + 1]
+            at = np.minimum(np.searchsorted(doc[lo:hi], found), hi - lo - 1)
+            score = score + np.where(doc[lo:hi][at] == found, impact[lo:hi][at], 0)
         good = (score >= least) & (score > 0)
         if good.any():
             best.add(item, score[good], ids[found[good]])

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from stride.llm.common import read_table, stored
 
@@ -193,7 +194,7 @@ def encode(vectors: DataFrame, books: list[np.ndarray], p: CodeParams = CodePara
 def decode(codes: DataFrame, books: list[np.ndarray]) -> DataFrame:
     """(id, approximation): the entries that a code names, as integer components."""
     digits = max(2, len(f"{max((len(b) for b in books), default=1) - 1:x}"))
-    out = codes.select("id").schema.add("approximation", "array<long>")
+    out = codes.select("id").schema.add("approximation", ArrayType(LongType()))
 
     def run(batches):
         for batch in batches:
