@@ -29,8 +29,8 @@ benchmark) and goes to the tasks in shards of at most ``shard_items`` items; a
 larger benchmark takes one pass over the texts per shard.  Texts are never
 shuffled and a passage needs no state outside its document.
 
-Edge cases: null, empty and word-less texts and items match nothing; an item or
-part of fewer than five words is one shingle; repeated items each count; equal scores
+Edge cases: null, empty and word-less texts and items match nothing; an item of fewer than five words is one
+shingle, a question or answer of three to nine words is compared by its words; repeated items each count; equal scores
 are all reported; a null doc_id is scored like others; an empty benchmark leaks
 nothing.  Only doc_id, text and item_id, text are read.
 """
@@ -55,6 +55,8 @@ class LeakParams:
     threshold: float = 0.5       # of the item's own BM25 score
     overlap: float = 0.8         # share of the item's shingles in the passage
     part_overlap: float = 0.5    # the same for question and answer
+    short_part: int = 10         # a part of 3 words or more, but fewer than this, is compared by its words, of which
+    short_missing: float = 0.25  # this share, rounded up, may be missing (a changed word spoils most of its shingles)
     k1: float = 1.2
     b: float = 0.75
     block: int = 16              # items of a block
@@ -106,11 +108,15 @@ class Shard:
         items = items.sort_by("item_no")
         self.ids = items.column("item_id").to_pylist()
         number = {no: i for i, no in enumerate(items.column("item_no").to_pylist())}
-        self.shingles, longest = [], 1
+        self.shingles, self.need, longest = [], [], 1
         for text in items.column("text").to_pylist():
             whole = [words_of([t or ""])[0] for t in (text or "", *split_item(text or ""))]
             longest = max(longest, len(whole[0]))
-            self.shingles.append([(min(p.words, len(h)), np.unique(shingle_hashes(h, p.words))) for h in whole])
+            short = [i > 0 and 3 <= len(h) < p.short_part for i, h in enumerate(whole)]
+            size = [1 if s else min(p.words, len(h)) for s, h in zip(short, whole)]
+            self.shingles.append([(w, np.unique(shingle_hashes(h, w))) for w, h in zip(size, whole)])
+            self.need.append([p.overlap, *(1 - math.ceil(len(h) * p.short_missing) / len(h) if s else p.part_overlap
+                                           for s, h in zip(short[1:], whole[1:]))])
         self.stride = max(p.min_stride, longest)
         postings = postings.sort_values(["term", "item_no"], kind="stable")
         term = postings["term"].to_numpy(np.int64)
@@ -206,9 +212,9 @@ class Shard:
             doc = int(np.searchsorted(base, win, side="right") - 1)
             a = first[doc] + (win - base[doc]) * s
             passage = h[a:min(a + 2 * s, first[doc] + n[doc])]
-            whole, question, answer = (float(np.isin(x, shingle_hashes(passage, w)).mean()) if len(x) else 1.0
-                                       for w, x in self.shingles[item])
-            if whole >= p.overlap and min(question, answer) >= p.part_overlap:
+            whole, question, answer = shares = [float(np.isin(x, shingle_hashes(passage, w)).mean()) if len(x) else 1.0
+                                                for w, x in self.shingles[item]]
+            if all(x >= need - 1e-9 for x, need in zip(shares, self.need[item])):
                 row = (whole, float(sc), question, answer)
                 if row > best.get((doc, item), ()):
                     best[doc, item] = row

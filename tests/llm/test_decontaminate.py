@@ -42,6 +42,21 @@ def test_planted_passages(spark, docs):
     assert {(r.doc_id, r.item_id) for r in leaks(table, items(spark, bench), few).collect()} == got
 
 
+def test_one_changed_word_in_a_short_answer(spark, docs):
+    rnd = random.Random(8)
+    bench = [f"{sentence(rnd, 30)}? {sentence(rnd, rnd.randrange(3, 9))}." for _ in range(30)]
+    edited = []
+    for i, b in enumerate(bench):
+        question, answer = b.split("? ")
+        words = answer.split()
+        words[rnd.randrange(len(words))] = "other"
+        edited.append((i, f"{sentence(rnd, 40)}. {question}? {' '.join(words)} {sentence(rnd, 40)}"))
+    without = [(100 + i, f"{sentence(rnd, 40)}. {b.split('? ')[0]}? {sentence(rnd, 40)}") for i, b in enumerate(bench)]
+    long_text = [(900, f"{sentence(rnd, 30000)} {bench[3]} {sentence(rnd, 30000)}")]
+    got = {(r.doc_id, r.item_id) for r in leaks(docs(edited + without + long_text), items(spark, bench)).collect()}
+    assert {(i, i) for i in range(30)} | {(900, 3)} <= got and all(d < 100 or d == 900 for d, _ in got)
+
+
 def decontaminate_stage_of(spark, table, bench):
     import tempfile
     folder = tempfile.mkdtemp(prefix="stride-test-")
@@ -53,7 +68,7 @@ def test_block_max_retrieval_equals_exhaustive_bm25(spark):
     """Without verification: the passages' (item, score) above the threshold equal plain BM25 over all items."""
     rnd = random.Random(5)
     bench = [sentence(rnd, rnd.randrange(3, 30), 120) for _ in range(90)]
-    p = LeakParams(threshold=0.4, overlap=0.0, part_overlap=0.0, block=4)
+    p = LeakParams(threshold=0.4, overlap=0.0, part_overlap=0.0, short_part=0, block=4)
     (index,) = shards(items(spark, bench), p)
     s = index.stride
     texts = [sentence(rnd, rnd.randrange(1, 150), 120) for _ in range(50)] + [bench[4], f"{bench[7]} {bench[8]}"]
