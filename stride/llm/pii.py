@@ -3,9 +3,10 @@
 Validated values are replaced by other valid values of the same format:
 
 * ``card``: 13 to 19 digits with a right Luhn sum; the first digit and the layout stay, the check digit is made anew;
-* ``iban``: right length and mod-97 sum; country and the classes of characters stay, the check digits are made anew;
+* ``iban``: the length of its country and a right mod-97 sum; country and the classes of characters stay, the check digits are made anew;
 * ``ssn``: ddd-dd-dddd with valid parts;
-* ``phone``: international or North American numbers with a layout; the country code and the layout stay;
+* ``phone``: international numbers (with a layout, or bare after their plus sign) and North American
+  ones with a layout; the country code and the layout stay;
 * ``ip``: IPv4 with four octets up to 255;
 * ``date``: calendar dates of 1900 to 2099 as y-m-d, d.m.y or d/m/y (m/d/y where only that is a date);
 * ``email``: the letters and digits of the local part; the domain and punctuation stay.
@@ -20,8 +21,9 @@ map a value to itself.
 
 Each text is handled where it is read; the Feistel map needs no state.
 
-Edge cases: a null text stays null, an empty one empty; numbers that fail their
-check are left as they are; overlapping finds go to the one that starts first,
+Edge cases: a null text stays null, an empty one empty; a run of digit groups that fails
+its check as a whole is tried by shorter runs of its groups (the first and longest valid
+one counts), and what passes no check is left as it is; overlapping finds go to the one that starts first,
 then in the order above; repeated rows get equal results; other columns are
 never read.
 """
@@ -31,7 +33,9 @@ import datetime
 import functools
 import hashlib
 import math
+import os
 import re
+import secrets
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +46,33 @@ from stride.llm.common import map_texts, read_table
 ROUNDS = 10
 
 
+#: Lengths of account numbers by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+
+
 @dataclass(frozen=True)
 class PiiParams:
-    key: bytes = b"replace-this-key"  # secret of the run; pass your own
+    key: bytes  # secret of the run: who has it can reveal the values
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The secret named by ``spark.stride.pii.key`` or STRIDE_PII_KEY; without either, one drawn
+    for this application and kept nowhere else, so its pseudonyms can't be revealed later."""
+    given = spark.conf.get("spark.stride.pii.key", None) or os.environ.get("STRIDE_PII_KEY")
+    return given.encode()[:64] if given else _drawn(spark.sparkContext.applicationId)
+
+
+@functools.lru_cache(maxsize=1)
+def _drawn(application: str) -> bytes:
+    return secrets.token_bytes(32)
 
 
 def feistel(x: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -109,7 +137,7 @@ def card(s: str, key: bytes, back: bool) -> str | None:
 
 def iban(s: str, key: bytes, back: bool) -> str | None:
     c = s.replace(" ", "")
-    if not 15 <= len(c) <= 34 or int("".join(str(int(x, 36)) for x in c[4:] + c[:4])) % 97 != 1:
+    if IBAN_LENGTHS.get(c[:2]) != len(c) or int("".join(str(int(x, 36)) for x in c[4:] + c[:4])) % 97 != 1:
         return None
     kinds = "".join("d" if x.isdigit() else "a" for x in c[4:])
     number, size = 0, 1
@@ -139,6 +167,8 @@ def ssn(s: str, key: bytes, back: bool) -> str | None:
 
 def phone(s: str, key: bytes, back: bool) -> str | None:
     m = re.match(r"\+\d{1,3}(?=[ (.-])", s)
+    if not m and s[0] == "+":  # bare: the longest country code that the number plan has leads
+        m = re.match(r"\+(?:[17]|2[07]|3[0-469]|4[0-13-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})", s)
     head = m.end() if m else 0
     d = only_digits(s[head:])
     if not 7 <= len(d) <= 12 or (not m and len(d) != 10):
@@ -221,7 +251,7 @@ KINDS = {
     "ip": (ip, r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"),
     "ssn": (ssn, r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     "card": (card, r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d])"),
-    "phone": (phone, r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"),
+    "phone": (phone, r"(?<![\w+])(?:\+[1-9]\d{8,14}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"),
 }
 _PATTERNS = {k: re.compile(p, re.ASCII) for k, (_, p) in KINDS.items()}
 _DIGIT = re.compile("[0-9]")
@@ -232,6 +262,30 @@ def replace(kind: str, value: str, key: bytes, back: bool = False) -> str | None
     return KINDS[kind][0](value, key, back)
 
 
+#: Kinds whose groups of characters may stand beside others that are not theirs.
+GROUPED = {"card": re.compile(r"[0-9]+"), "iban": re.compile(r"[A-Z0-9]+")}
+
+
+def parts(kind: str, value: str, key: bytes, back: bool) -> list[tuple[int, int, str]]:
+    """(start, end, replacement) of the valid values in a match: the whole, or runs of its
+    groups, from the left, the longest first."""
+    new = replace(kind, value, key, back)
+    if new is not None or kind not in GROUPED:
+        return [(0, len(value), new)] if new is not None else []
+    groups = [m.span() for m in GROUPED[kind].finditer(value)]
+    out, i = [], 0
+    while i < len(groups):
+        for j in range(len(groups), i, -1):
+            a, b = groups[i][0], groups[j - 1][1]
+            new = replace(kind, value[a:b], key, back)
+            if new is not None:
+                out.append((a, b, new))
+                i = j - 1
+                break
+        i += 1
+    return out
+
+
 def finds(text: str, key: bytes, back: bool = False) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, replacement) of the valid values, without overlaps."""
     out = []
@@ -239,9 +293,7 @@ def finds(text: str, key: bytes, back: bool = False) -> list[tuple[int, int, str
     for no, (kind, pattern) in enumerate(_PATTERNS.items()):
         if ("@" in text) if kind == "email" else has_digit:
             for m in pattern.finditer(text):
-                new = replace(kind, m.group(), key, back)
-                if new is not None:
-                    out.append((m.start(), no, m.end(), kind, new))
+                out += [(m.start() + a, no, m.start() + b, kind, new) for a, b, new in parts(kind, m.group(), key, back)]
     out.sort()
     kept, end = [], 0
     for a, _, b, kind, new in out:
@@ -261,7 +313,7 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[s
     return "".join([*parts, text[at:]]) if kinds else text, kinds
 
 
-def pseudonyms(docs: DataFrame, p: PiiParams = PiiParams()) -> DataFrame:
+def pseudonyms(docs: DataFrame, p: PiiParams) -> DataFrame:
     """doc_id, text with pseudonyms, n_<kind> of each document."""
     key, kinds = p.key, list(KINDS)
 
@@ -276,4 +328,4 @@ def pseudonyms(docs: DataFrame, p: PiiParams = PiiParams()) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms(read_table(spark, sf_dir, "documents"))
+    return pseudonyms(read_table(spark, sf_dir, "documents"), PiiParams(session_key(spark)))

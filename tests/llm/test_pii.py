@@ -1,5 +1,5 @@
 from tests.conftest import SF0001
-from stride.llm.pii import KINDS, feistel, finds, luhn, only_digits, op3_pii, pseudonymise, pseudonyms
+from stride.llm.pii import KINDS, PiiParams, feistel, finds, luhn, only_digits, op3_pii, pseudonymise, pseudonyms, session_key
 
 KEY = b"test key"
 TEXTS = ["mail und.34@mail7.example.com x", "+1 (017) 555-7713", "97.51.17.173.", "4845168114407329", "4845 1681 1440 7329",
@@ -32,21 +32,41 @@ def test_lookalikes_stay():
         assert pseudonymise(text, KEY) == (text, []), text
 
 
+def test_values_beside_other_groups():
+    """A valid run of groups is found inside a longer run that is not valid as a whole."""
+    for text, value in [("4111 1111 1111 1111 12/25", "4111 1111 1111 1111"), ("7 4111 1111 1111 1111", "4111 1111 1111 1111"),
+                        ("call +12025550123 now", "+12025550123"), ("BE68 5390 0754 7034 VIA bank", "BE68 5390 0754 7034"),
+                        ("4111 1111 1111 1111 5500 0000 0000 0004", "5500 0000 0000 0004")]:
+        new, kinds = pseudonymise(text, KEY)
+        assert kinds and value not in new and pseudonymise(new, KEY, True)[0] == text, text
+    assert pseudonymise("BE68 5390 0754 7034", KEY)[1] == ["iban"] and pseudonymise("FR68 5390 0754 7034", KEY)[1] == []
+
+
+def test_key_comes_from_the_session(spark, monkeypatch):
+    drawn = session_key(spark)
+    assert drawn == session_key(spark) and len(drawn) == 32
+    monkeypatch.setenv("STRIDE_PII_KEY", "from the environment")
+    assert session_key(spark) == b"from the environment"
+    spark.conf.set("spark.stride.pii.key", "from the session")
+    assert session_key(spark) == b"from the session"
+    spark.conf.unset("spark.stride.pii.key")
+
+
 def test_rows(spark, docs):
     rows = [(1, None), (2, ""), (3, TEXTS[0]), (3, TEXTS[0]), (None, TEXTS[3]), (4, "x" * 20000 + " 97.51.17.173")]
-    out = pseudonyms(docs(rows)).collect()
+    out = pseudonyms(docs(rows), PiiParams(KEY)).collect()
     assert out[0].__fields__ == ["doc_id", "text", *[f"n_{k}" for k in KINDS]]
     by = {r.doc_id: r for r in out}
     assert len(out) == 6 and by[1].text is None and by[2].text == "" and by[3].n_email == 1 and by[None].n_card == 1
     assert by[4].n_ip == 1
-    assert pseudonyms(docs([])).collect() == []
+    assert pseudonyms(docs([]), PiiParams(KEY)).collect() == []
 
 
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
-    from stride.llm.pii import PiiParams
+    key = session_key(spark)
     rows = op3_pii(spark, SF0001).collect()
     assert len(rows) == len(docs) and sum(r.n_email + r.n_card + r.n_phone + r.n_ip for r in rows) > 0
     for r in rows:
-        assert len(finds(docs[r.doc_id], PiiParams().key)) == sum(r[f"n_{k}"] for k in KINDS)
-        assert pseudonymise(r.text, PiiParams().key, True)[0] == docs[r.doc_id]
+        assert len(finds(docs[r.doc_id], key)) == sum(r[f"n_{k}"] for k in KINDS)
+        assert pseudonymise(r.text, key, True)[0] == docs[r.doc_id]
