@@ -57,6 +57,7 @@ class BpeParams:
     special: tuple = (("<|endoftext|>", 50256),)
     mean_chunk: int = 1024       # code points between cuts, on average (a power of two)
     least_chunk: int = 64
+    longest_chunk: int = 8192    # a longer stretch is cut where its window hash is largest
     shared_chunks: int = 8192    # encoded once for all tasks
     memo_chunks: int = 4096      # kept by a task
 
@@ -138,25 +139,29 @@ def block_chunks(texts: list[str], p: BpeParams):
     """For each text of a block its segments as (begin, end, special id, bounds, chunk hashes)."""
     codes, starts = codes_of(texts)
     n = len(codes)
-    cuts = np.zeros(0, np.int64)
+    cuts, mixed = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     if n > WINDOW:
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(mix64(codes.astype(np.uint64) * _ODD + _ODD) * _power(_BASE, n), out=total[1:])
         roll = (total[WINDOW:] - total[:-WINDOW]) * _power(_INV, n)[:n - WINDOW + 1]
-        cuts = np.flatnonzero(mix64(roll) & np.uint64(p.mean_chunk - 1) == 0) + WINDOW
+        mixed = mix64(roll)
+        cuts = np.flatnonzero(mixed & np.uint64(p.mean_chunk - 1) == 0) + WINDOW
     marks = codec(p)
     plans, begin, end = [], [], []
     for text, s in zip(texts, starts.tolist()):
         lo, hi = np.searchsorted(cuts, [s + p.least_chunk, s + len(text)])
-        own = (cuts[lo:hi] - s).tolist()
+        own = (cuts[lo:hi] - s).tolist()  # positions in the text
         plan = []
         for a, b, special in marks.segments(text):
             bounds = [a]
             if special is None:
-                for c in own:
-                    if bounds[-1] + p.least_chunk <= c <= b - p.least_chunk:
+                for c in [*own, b]:
+                    if c == b or bounds[-1] + p.least_chunk <= c <= b - p.least_chunk:
+                        while c - bounds[-1] > p.longest_chunk:  # no cut for long: repetitive text
+                            first = s + bounds[-1] + p.longest_chunk // 2 - WINDOW
+                            last = min(first + p.longest_chunk // 2, s + c - p.least_chunk - WINDOW)
+                            bounds.append(first + int(mixed[first:last].argmax()) + WINDOW - s)
                         bounds.append(c)
-                bounds.append(b)
                 begin += [s + x for x in bounds[:-1]]
                 end += [s + x for x in bounds[1:]]
             plan.append((a, b, special, bounds))

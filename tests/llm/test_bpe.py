@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from tests.conftest import SF0001
-from stride.llm.bpe import BpeParams, codec, encode_block, encode_documents, op7_bpe, sure_boundaries
+from stride.llm.bpe import BpeParams, block_chunks, codec, encode_block, encode_documents, op7_bpe, sure_boundaries
 
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 BITS = ["a", "b", "  ", "\n", " ", "é", " ", "　", "\x1c", "\x85", "'s", "'", "1", "23", ".", "😀", "<|endoftext|>",
@@ -28,6 +28,16 @@ def test_ids_equal_the_library():
         assert [codec(p).decode(x) for x in want] == [LIBRARY.decode(x, skip_special_tokens=False) for x in want] == rows
 
 
+def test_chunks_have_a_longest_length():
+    for text in ("ab " * 400_000, "a" * 50_000, "x y " * 3000 + "<|endoftext|>" + "ab " * 30_000):
+        p = BpeParams()
+        (plan,) = block_chunks([text], p)
+        sizes = [y - x for *_, bounds, _ in plan for x, y in zip(bounds, bounds[1:])]
+        assert max(sizes) <= p.longest_chunk and sum(sizes) + text.count("<|endoftext|>") * 13 == len(text)
+    text = "ab cd " * 5000
+    assert encode_block([text], BpeParams(longest_chunk=512), {}) == [LIBRARY.encode(text, add_special_tokens=False).ids]
+
+
 def test_sure_boundaries():
     assert sure_boundaries("ab cd  ef gh") == (2, 9)
     assert sure_boundaries("ab") is None and sure_boundaries(" a") is None and sure_boundaries("a b") is None
