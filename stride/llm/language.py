@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm.common import (_table, codes_of, map_texts, mix64, read_table, runs, text_blocks)
+from stride.llm.common import (codes_of, map_texts, mix64, read_table, runs, text_blocks)
 
 BITS = 16
 PIECE = 128
@@ -55,14 +55,21 @@ class LanguageParams:
 
 
 def letters(codes: np.ndarray) -> np.ndarray:
+    """Which code points are letters (of any plane)."""
     if not _alpha:
-        _alpha.append(_table(str.isalpha))
-    return (codes >= (1 << 16)) | _alpha[0][np.minimum(codes, 0xFFFF)]
+        _alpha.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000))
+    return _alpha[0][codes]
+
+
+def lower(text: str) -> str:
+    """The text in lower case, code point by code point where it would grow, so that places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def grams(texts: list[str]):
     """Words of a block: (text number, begin, end) and, for each of its n-grams, the word number and bucket; scripts."""
-    codes, starts = codes_of([t.lower() for t in texts])
+    codes, starts = codes_of([lower(t) for t in texts])
     begin, end = runs(letters(codes))
     size = end - begin
     text = np.searchsorted(starts, begin, side="right") - 1

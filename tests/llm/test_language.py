@@ -34,7 +34,7 @@ def test_spans_scripts_and_edges(spark):
     model = learn(spark.createDataFrame(TRAIN, "doc_id long, text string, lang string"))
     assert model.names == ["en", "fr", "ru"]
     rows = [(1, "the king and the sea of the garden house le jardin et la maison du roi et le fleuve"), (2, None), (3, ""),
-            (4, "12 34 !!"), (5, "сад"), (5, "сад"), (None, "the garden")]
+            (4, "12 34 !! 😀😀"), (5, "сад"), (5, "сад"), (None, "the garden")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = identify(df, model, LanguageParams(switch=4.0)).collect()
     by = {r.doc_id: r for r in got}
@@ -47,6 +47,16 @@ def test_spans_scripts_and_edges(spark):
     assert identify(df.limit(0), model).collect() == []
 
 
+def test_letters_of_every_plane_and_places(spark):
+    model = learn(spark.createDataFrame(TRAIN, "doc_id long, text string, lang string"))
+    rows = [(1, "😀 👍🏽"), (2, "𝒜𝒷"), (3, "İİİ the king and the sea of the garden house le jardin et la maison du roi et le fleuve"),
+            (4, "the garden " * 20000)]
+    by = {r.doc_id: r for r in identify(spark.createDataFrame(rows, "doc_id long, text string"), model, LanguageParams(switch=4.0)).collect()}
+    assert by[1].lang_pred == "und" and by[2].lang_pred != "und"
+    assert rows[2][1][by[3].spans[-1].begin:].startswith("le jardin")  # a letter whose lower case is longer moves nothing
+    assert by[4].lang_pred == "en" and len(by[4].spans) == 1
+
+
 def test_held_out_accuracy(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     rows = op10_language(spark, SF001).collect()
