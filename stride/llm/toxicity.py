@@ -1,8 +1,10 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms (runs of letters and digits, lower-cased) are hashed to ``2**TERM_BITS``
-buckets.  From a bounded sample of labelled rows the terms that separate the
-labels best are chosen, and a factorization machine
+buckets.  From a bounded sample of labelled rows two kinds of terms are chosen, those
+that separate the labels best by themselves and those of the pairs whose joint
+occurrence does (so a term equally frequent in both classes comes in by its
+partner), and a factorization machine
 
     y = w0 + sum_i w_i x_i + 1/2 sum_f [(sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2]
 
@@ -39,6 +41,10 @@ class ToxicityParams:
     factors: int = 6
     min_rows: int = 5         # sample rows a term occurs in, at least
     least_z: float = 3.0      # standard errors between the classes' shares of a term, at least
+    pair_terms: int = 2048    # most frequent terms whose pairs are looked at
+    pairs: int = 64           # pairs that bring in their terms, at most
+    pair_z: float = 6.0       # standard errors between the classes' shares of a pair, at least
+    pair_gain: float = 3.0    # by which it must exceed those of either term alone
     steps: int = 2000         # of the fit, on batches of at most ``batch`` rows
     batch: int = 512
     rate: float = 0.02
@@ -118,14 +124,17 @@ def train(docs: DataFrame, labels: DataFrame, learn=None, params: ToxicityParams
     share = F.col("all") / F.lit(float(n0 + n1))
     z = (pos / F.lit(float(n1)) - neg / F.lit(float(n0))) / F.sqrt(
         share * (1.0 + 1e-9 - share) * F.lit(1.0 / n0 + 1.0 / n1))
-    chosen = (terms.select("toxic", F.explode("buckets").alias("bucket"))
-              .groupBy("bucket").agg(F.count("*").alias("all"), F.sum((F.col("toxic") >= 1).cast("int")).alias("pos"))
-              .where(F.col("all") >= params.min_rows)
-              .select("bucket", F.abs(z).alias("z")).where(F.col("z") >= params.least_z).orderBy(F.desc("z"), "bucket").limit(params.terms).collect())
-    for i, r in enumerate(chosen):
-        slots[r.bucket] = i
+    counted = (terms.select("toxic", F.explode("buckets").alias("bucket"))
+               .groupBy("bucket").agg(F.count("*").alias("all"), F.sum((F.col("toxic") >= 1).cast("int")).alias("pos"))
+               .where(F.col("all") >= params.min_rows))
+    chosen = [r.bucket for r in counted.select("bucket", F.abs(z).alias("z")).where(F.col("z") >= params.least_z)
+              .orderBy(F.desc("z"), "bucket").limit(params.terms).collect()]
+    frequent = [r.bucket for r in counted.orderBy(F.desc("all"), "bucket").limit(params.pair_terms).collect()]
+    chosen += [b for b in paired_terms(terms, frequent, params) if b not in set(chosen)]
+    for i, bucket in enumerate(chosen):
+        slots[bucket] = i
     width = len(chosen)
-    wanted = F.array(*[F.lit(r.bucket) for r in chosen]) if chosen else F.array().cast("array<int>")
+    wanted = F.array(*map(F.lit, chosen)) if chosen else F.array().cast("array<int>")
     both = F.arrays_zip("buckets", "counts")
     kept = (terms.withColumn("hits", F.filter(both, lambda p: F.array_contains(wanted, p["buckets"])))
             .select("toxic", "n_words", "hits.buckets", "hits.counts").toPandas())  # bounded: sample_rows x terms
@@ -141,6 +150,42 @@ def train(docs: DataFrame, labels: DataFrame, learn=None, params: ToxicityParams
     return ToxicityModel(slots, w.astype(np.float64), v.astype(np.float64), float(w0), 0.1)
 
 
+def paired_terms(terms: DataFrame, frequent: list[int], p: ToxicityParams) -> list[int]:
+    """Terms of the pairs of ``frequent`` terms whose joint occurrence separates the labels, and
+    does so better than either term alone.  Works on the bounded sample."""
+    if len(frequent) < 2:
+        return []
+    known = np.sort(np.array(frequent))
+
+    def pick(batches):
+        both = np.zeros((2, len(known), len(known)), np.float32)  # rows of each class with both terms; one term on the diagonal
+        n = np.zeros(2)
+        for pdf in batches:
+            for label in (0, 1):
+                rows = [np.asarray(b) for b in pdf["buckets"][(pdf["toxic"] >= 1) == bool(label)]]
+                n[label] += len(rows)
+                for at in range(0, len(rows), 1024):
+                    x = np.zeros((min(1024, len(rows) - at), len(known)), np.float32)
+                    for i, b in enumerate(rows[at:at + 1024]):
+                        slot = np.minimum(np.searchsorted(known, b), len(known) - 1)
+                        x[i, slot[known[slot] == b]] = 1
+                    both[label] += x.T @ x
+        total = both.sum(axis=0)
+        share = total / max(n.sum(), 1)
+        z = np.abs(both[1] / max(n[1], 1) - both[0] / max(n[0], 1)) / np.sqrt(
+            np.maximum(share * (1 - share), 1e-12) * (1 / max(n[0], 1) + 1 / max(n[1], 1)))
+        alone = np.diag(z)
+        good = np.triu((total >= p.min_rows) & (z >= p.pair_z) & (z >= np.maximum.outer(alone, alone) + p.pair_gain), 1)
+        one, two = np.nonzero(good)
+        best = np.lexsort((two, one, -z[one, two]))[:p.pairs]
+        found = dict.fromkeys(int(known[i]) for k in best for i in (one[k], two[k]))
+        yield pd.DataFrame({"place": range(len(found)), "bucket": list(found)})
+
+    # one task with pair_terms ** 2 counts, over the bounded sample
+    rows = terms.select("toxic", "buckets").coalesce(1).mapInPandas(pick, "place int, bucket int").collect()  # 2 * pairs at most
+    return [r.bucket for r in sorted(rows)]
+
+
 def fit(x: np.ndarray, y: np.ndarray, p: ToxicityParams) -> tuple[float, np.ndarray, np.ndarray]:
     """Adam on the logistic loss of the machine; weights and factors shrink by ``l2``."""
     rng = np.random.default_rng(p.seed)

@@ -18,6 +18,22 @@ def test_machine_learns_pairs():
     assert ((z > 0) == (y > 0)).mean() > 0.99 and (v[0] * v[1]).sum() > 0.5
 
 
+def test_training_finds_pairs_that_no_term_shows(spark, docs):
+    """Toxic where both or neither of two words occur: each word alone is equally frequent in both classes."""
+    rnd = random.Random(4)
+    rows, labels = [], []
+    for i in range(3000):
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        words = [f"w{rnd.randrange(300)}" for _ in range(25)] + ["alpha"] * a + ["beta"] * b
+        rnd.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(a == b)))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = train(docs(rows), table, learn="doc_id < 2400")
+    out = {r.doc_id: r.score for r in score(docs(rows[2400:]), model, ["doc_id"]).collect()}
+    assert sum((out[i] >= 0.5) == bool(t) for i, _, t in labels[2400:]) >= 0.95 * len(out)
+
+
 def test_edges(spark, docs):
     rnd = random.Random(1)
     rows = [(i, " ".join(rnd.choice(["a", "b", "c", "d"]) for _ in range(20)) + (" vile" if i % 3 == 0 else "")) for i in range(60)]
