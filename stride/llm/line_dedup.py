@@ -1,10 +1,8 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-Lines of at least ``equal_chars`` code points are compared for equality, those of
-at least ``min_chars`` also for edits; of equal lines and of lines within ``threshold``
-edits the first (by document, then first place, then the line itself) stays.  The query
-compares lines of 40 code points, as its SQL says; the pipeline (``ALL_LINES``) has no
-floor for equal lines, so that short notices go and a copy goes whole.
+All lines that are not blank are compared for equality, those of at least ``min_chars``
+code points also for edits; of equal lines and of lines within ``threshold`` edits the
+first (by document, then its place there, then the line itself) stays.
 
 1. Equal lines meet in one grouping with map-side combine: a line that a third
    of all documents share is one row per task.
@@ -28,8 +26,8 @@ floor for equal lines, so that short notices go and a copy goes whole.
 A line within ``threshold`` edits of an earlier line goes, whether or not that
 one stays itself.  Lines within a document are told apart by their place.
 
-Edge cases: null and empty texts have no line to drop; lines under ``equal_chars``
-always stay, as do blank ones under ``min_chars``; rows that repeat a document whole are one document, and rows that
+Edge cases: null and empty texts have no line to drop; blank lines under ``min_chars``
+always stay; rows that repeat a document whole are one document, and rows that
 repeat only its doc_id count as one place for "first"; null doc_ids come last;
 an empty table gives an empty result; other columns are carried, never read.
 """
@@ -47,13 +45,7 @@ from stride.llm.common import read_table, stored
 class LineParams:
     threshold: int = 1
     min_chars: int = 40                # of lines compared for edits
-    equal_chars: int = 40              # of lines compared for equality, at most min_chars
     letters: str = "etanirso"          # of the content filter
-    broadcast_rows: int = 1_000_000    # line handles sent to all tasks at most; more are joined by a shuffle
-
-
-#: The pipeline's choice: every line that is not blank meets its equals.
-ALL_LINES = LineParams(equal_chars=1)
 
 
 def bits(name: str, *args) -> Column:
@@ -153,7 +145,7 @@ def banded_distance(p: Column, q: Column, t: int) -> Column:
 def line_rows(docs: DataFrame, p: LineParams) -> DataFrame:
     """(doc_id, rid, pos, line): the compared lines; ``rid`` tells rows of one doc_id with different texts apart."""
     return (docs.select("doc_id", F.xxhash64("text").alias("rid"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .where((F.length("line") >= p.min_chars) | ((F.length("line") >= p.equal_chars) & F.col("line").rlike(r"\S"))))
+            .where((F.length("line") >= p.min_chars) | F.col("line").rlike(r"[^\x20\x09-\x0D]")))
 
 
 def near_lines(lines: DataFrame, p: LineParams) -> DataFrame:
@@ -166,9 +158,7 @@ def near_lines(lines: DataFrame, p: LineParams) -> DataFrame:
                    .where((F.col("x.h") != F.col("y.h")) & (letters_differ(F.col("x.c"), F.col("y.c"), p) <= 2 * t))
                    .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct(), "line-pairs")
     named = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "line-named")
-    # few handles are sent to the lines; more than the bound meet them in a shuffle
-    few = F.broadcast(named) if named.count() <= p.broadcast_rows else named
-    text = stored(lines.join(few, "h", "left_semi").withColumn("chars", F.split("line", "")), "line-text")
+    text = stored(lines.join(named, "h", "left_semi").withColumn("chars", F.split("line", "")), "line-text")
     side = lambda c: text.select(F.col("h").alias(c), F.struct("doc", "pos", "line", "h", "h2", "chars").alias(f"t{c}"))
     order = lambda c: F.struct(F.col(f"{c}.doc"), F.col(f"{c}.pos"), F.col(f"{c}.line"))
     met = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -187,8 +177,8 @@ def dropped_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """(doc_id, rid, dropped): numbers of the lines that go, for documents that lose any."""
     place = F.coalesce("doc_id", F.lit(2 ** 63 - 1))
     lines = line_rows(docs, p)
-    distinct = stored(lines.groupBy("line").agg(F.min(place).alias("doc"), F.min("pos").alias("pos"), F.count("*").alias("n"))
-                      .select("line", "doc", "pos", "n", F.xxhash64("line").alias("h"),
+    distinct = stored(lines.groupBy("line").agg(F.min(F.struct(place.alias("doc"), "pos")).alias("first"), F.count("*").alias("n"))
+                      .select("line", "first.doc", "first.pos", "n", F.xxhash64("line").alias("h"),
                               F.xxhash64(F.lit("second"), "line").alias("h2"), F.length("line").alias("len"),
                               F.when(F.length("line") >= p.min_chars, letter_counts(F.col("line"), p)).alias("c")),
                       "line-distinct", "zstd")
@@ -236,25 +226,21 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, p: LineP
     return rows.select(*[(new[c] if c in new else F.col(f"c_{c}")).alias(c) for c in docs.columns])
 
 
-def all_lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's line dedup: ``line_dedup_stage`` over lines of any length."""
-    return line_dedup_stage(spark, docs, sf_dir, ALL_LINES)
-
-
 #: One edit apart: the common prefix and suffix cover all but one character of the longer line;
 #: of 40 or more characters, the first or the last 16 are then equal.
-ORACLE_SQL = """
+ORACLE_SQL = r"""
 WITH numbered AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          unnest(range(len(string_split(text, chr(10))))) AS pos
   FROM documents WHERE text IS NOT NULL),
-compared AS (SELECT * FROM numbered WHERE length(line) >= 40),
-lines AS (SELECT line, min(doc_id) AS doc, min(pos) AS pos FROM compared GROUP BY line),
+compared AS (SELECT * FROM numbered WHERE length(line) >= 40 OR regexp_matches(line, '[^\x20\x09-\x0D]')),
+lines AS (SELECT line, min(doc_id) AS doc, arg_min(pos, (doc_id, pos)) AS pos FROM compared GROUP BY line),
+long_lines AS (SELECT * FROM lines WHERE length(line) >= 40),
 met AS (
-  SELECT a.line AS x, b.line AS y FROM lines a JOIN lines b
+  SELECT a.line AS x, b.line AS y FROM long_lines a JOIN long_lines b
     ON left(a.line, 16) = left(b.line, 16) AND a.line < b.line AND abs(length(a.line) - length(b.line)) <= 1
   UNION
-  SELECT a.line, b.line FROM lines a JOIN lines b
+  SELECT a.line, b.line FROM long_lines a JOIN long_lines b
     ON right(a.line, 16) = right(b.line, 16) AND a.line < b.line AND abs(length(a.line) - length(b.line)) <= 1),
 near AS (
   SELECT x, y FROM met

@@ -69,14 +69,19 @@ def test_rows_that_go(spark, docs):
     rows = [(5, f"short\n{LINE}"), (2, f"{LINE}\nshort\nshort"), (7, f"{NEAR}\n{FAR}\n{FAR}"), (8, None), (9, ""),
             (None, LINE), (10, "\n\n"), (7, f"{NEAR}\n{FAR}\n{FAR}")]
     got = {(r.doc_id, tuple(r.dropped)) for r in dropped_lines(docs(rows)).collect()}
-    assert got == {(5, (1,)), (7, (0, 2)), (None, (0,))}
+    assert got == {(2, (2,)), (5, (0, 1)), (7, (0, 2)), (None, (0,))}
     out = line_dedup_stage(spark, docs(rows), "")
     assert out.columns == docs(rows).columns
-    want = [(5, "short", 5), (2, f"{LINE}\nshort\nshort", len(LINE) + 12), (7, FAR, len(FAR)), (7, FAR, len(FAR)),
-            (8, None, 0), (9, "", 0), (10, "\n\n", 2)]
+    want = [(2, f"{LINE}\nshort", len(LINE) + 6), (7, FAR, len(FAR)), (7, FAR, len(FAR)), (8, None, 0), (9, "", 0), (10, "\n\n", 2)]
     assert sorted(str((r.doc_id, r.text, r.n_chars)) for r in out.collect()) == sorted(map(str, want))
 
 
+def test_first_is_by_document_then_its_place_there(spark, docs):
+    """Document 1 has X before its near line Y; that document 9 has Y at its top makes Y no earlier."""
+    got = {(r.doc_id, tuple(r.dropped)) for r in dropped_lines(docs([(1, f"{LINE}\n\n\n{NEAR}"), (9, NEAR)])).collect()}
+    assert got == {(1, (3,)), (9, (0,))}
+
+
 def test_empty_table(spark, docs):
     assert dropped_lines(docs([])).collect() == []
     assert line_dedup_stage(spark, docs([]), "").collect() == []
