@@ -245,8 +245,18 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group (the smallest doc_id), columns as they came;
-    rows that repeat a doc_id stay or go together."""
-    gone = near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
+    rows that repeat a doc_id stay or go together.
+
+    Earlier stages may have taken lines out of a text, the shared ones of near copies above
+    all, so a document is compared by the text it has and by the one it had in
+    ``documents`` (rows of one doc_id are one document with either text)."""
+    now = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    before = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    named = before.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    changed = (named.join(now.select("doc_id").distinct(), "doc_id", "left_semi").join(now, ["doc_id", "h"], "left_anti")
+               .select("doc_id", "text"))
+    both = stored(docs.select("doc_id", "text").unionByName(changed), "near-texts")
+    gone = near_duplicates(both).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

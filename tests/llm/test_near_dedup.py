@@ -63,9 +63,20 @@ def test_components_of_a_long_chain(spark):
     assert {tuple(r) for r in components(links).collect()} == {(i, 1) for i in range(1, 41)} | {(90, 90), (100, 90)}
 
 
-def test_stage_keeps_one_of_each_group(spark, docs):
+def test_stage_keeps_one_of_each_group(spark, docs, tables):
     text = " ".join(f"w{i}" for i in range(50))
     table = docs([(3, text), (1, text), (2, text + " more"), (4, "other words here altogether now"), (None, text), (5, None)])
-    out = near_dedup_stage(spark, table, "")
+    out = near_dedup_stage(spark, table, tables(documents=table))
     assert out.columns == table.columns
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "4", "5", "None"]
+
+
+def test_stage_compares_the_texts_before_lines_went(spark, docs, tables):
+    """Near copies whose shared lines an earlier stage took out are still near copies."""
+    rnd = random.Random(3)
+    lines = [" ".join(f"v{rnd.randrange(10 ** 6)}" for _ in range(12)) for _ in range(20)]
+    other = lines[:5] + ["a line of its own, with twelve words in it so that it counts"] + lines[6:]
+    original = docs([(1, "\n".join(lines)), (2, "\n".join(other)), (3, "something else altogether stands here in this text")])
+    left = docs([(1, "\n".join(lines)), (2, other[5]), (3, "something else altogether stands here in this text")])
+    out = near_dedup_stage(spark, left, tables(documents=original))
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3]
