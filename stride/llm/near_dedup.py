@@ -18,9 +18,12 @@ compared).  Between classes:
    (the likely original of a group of copies); all others are paired with it.
    After these links are joined to components, only pairs of a list whose
    components still differ are generated, under bounds on the overlap they could
-   have: by size, by position in the lists, and by the parities of the sketches'
-   last bytes (256 bits, of which unshared values turn one each).  A group of thousands of copies thus costs its
-   size, not its square, as far as its members link to the pivot.
+   have: by size, by position in the lists, and by parities: a value that only one of two
+   sets has turns one bit, so bits that differ are no more than the values not
+   shared.  The first pass compares 256 bits of the sketches, the second a
+   signature of the whole sets with at least two bits a value, which tells sets of a
+   similarity a few hundredths below the least one from a pair.  A group of thousands of
+   copies thus makes rows for its links and near misses, not for its square.
 3. *Union-sketch estimate.*  The ``k`` smallest values of both sketches together
    are a sketch of the union; pairs with fewer than ``need(k)`` common ones go.
    When both sketches hold their whole sets this count is already exact.
@@ -109,20 +112,24 @@ def sketches(docs: DataFrame, p: NearParams) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, p: NearParams) -> DataFrame:
-    """(v, n, head, bits, whole): the long sketch, the parities of its values per
-    last byte (256 bits), and, where the sketch is not whole, the full set."""
+    """(v, n, head, bits, sig, whole): the long sketch, the parities of its values per
+    last byte (256 bits), those of the full set in two to four bits a value (256 to 16,384
+    in all), and, where the sketch is not whole, the full set."""
     words, k = p.words, p.long
 
-    def bits(head):
-        odd = np.bincount(head & 255, minlength=256) & 1
+    def bits(values, wide=256):
+        odd = np.bincount(values & (wide - 1), minlength=wide) & 1
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
+    def sig(values):
+        return bits(values, 1 << min(max((2 * len(values) - 1).bit_length(), 8), 14))
+
     def make(texts):
         sets = shingle_sets(texts, words)
         return {"n": [len(s) for s in sets], "head": [s[:k] for s in sets], "bits": [bits(s[:k]) for s in sets],
-                "whole": [s if len(s) > k else None for s in sets]}
+                "sig": [sig(s) for s in sets], "whole": [s if len(s) > k else None for s in sets]}
 
-    return map_texts(docs, ["v"], "n long, head array<long>, bits array<long>, whole array<long>", make)
+    return map_texts(docs, ["v"], "n long, head array<long>, bits array<long>, sig array<long>, whole array<long>", make)
 
 
 def prefixes(sets: DataFrame, k: int, p: NearParams) -> DataFrame:
@@ -147,9 +154,8 @@ def prefixes(sets: DataFrame, k: int, p: NearParams) -> DataFrame:
 
 
 def could_link(a: str, b: str, p: NearParams):
-    """Size, position and parity bounds on the overlap of two classes of one list: a
-    value that only one of them has turns a parity, so differing bits count at
-    most the values they do not share."""
+    """Size and position bounds on the overlap of two classes of one list, and the overlap of their
+    sketches that a link needs."""
     s = p.percent / 100
     exact, need = int(p.long * s), p.need(p.long)
     col = lambda t, c: F.col(f"{t}.{c}")
@@ -158,9 +164,31 @@ def could_link(a: str, b: str, p: NearParams):
     overlap = F.when(both_whole, F.ceil((col(a, "n") + col(b, "n")) * (s / (1 + s)) - 1e-9)).otherwise(
         F.least(F.lit(need), F.ceil(F.least(col(a, "n"), col(b, "n")) * s - 1e-9)))
     return ((F.least(col(a, "n"), col(b, "n")) * 100 >= F.greatest(col(a, "n"), col(b, "n")) * p.percent)
-            & (reach >= overlap)
-            & (sum((F.bit_count(F.get(col(a, "bits"), F.lit(i)).bitwiseXOR(F.get(col(b, "bits"), F.lit(i))))
-                    for i in range(4)), F.lit(0)) <= col(a, "size") + col(b, "size") - 2 * overlap))
+            & (reach >= overlap)), overlap
+
+
+def sketches_meet(a: str, b: str, p: NearParams):
+    """``could_link`` and the parities of the sketches: differing bits are at most the values not shared."""
+    bounds, overlap = could_link(a, b, p)
+    apart = sum((F.bit_count(F.get(F.col(f"{a}.bits"), F.lit(i)).bitwiseXOR(F.get(F.col(f"{b}.bits"), F.lit(i))))
+                 for i in range(4)), F.lit(0))
+    return bounds & (apart <= F.col(f"{a}.size") + F.col(f"{b}.size") - 2 * overlap)
+
+
+def sets_meet(a: str, b: str, p: NearParams):
+    """``could_link`` and the signatures of the whole sets; the longer one is folded to the other's length."""
+    bounds, _ = could_link(a, b, p)
+    one, two = F.col(f"{a}.sig"), F.col(f"{b}.sig")
+
+    def as_long_as(x, other):
+        half = F.size(other)
+        folded = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(x) > half, folded).otherwise(x)
+
+    differ = F.zip_with(as_long_as(one, two), as_long_as(two, one), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    total = F.col(f"{a}.n") + F.col(f"{b}.n")
+    shared = F.ceil(total * p.percent / (100.0 + p.percent) - 1e-9)  # the least overlap of similar sets
+    return bounds & (F.aggregate(differ, F.lit(0), lambda x, y: x + y) <= total - 2 * shared)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
@@ -215,7 +243,7 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     pivots = stored(lists.groupBy("value").agg(F.min(F.struct("pos", "v", "n", "size", "bits")).alias("p"))
                     .select("value", "p.*"), "near-pivot")
     tried = stored(lists.alias("x").join(pivots.alias("y"), "value")
-                   .where((F.col("x.v") != F.col("y.v")) & could_link("x", "y", p))
+                   .where((F.col("x.v") != F.col("y.v")) & sketches_meet("x", "y", p))
                    .select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct(), "near-try")
     links = stored(verified(tried, sets, p), "near-link")
     part = components(links)
@@ -223,11 +251,12 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     # lists that still hold several components: the members outside the pivot's component meet the others
     heads = stored(pivots.select("value", "v").join(part, "v", "left")
                    .select("value", F.coalesce("label", "v").alias("main")), "near-main")
-    marked = stored(grouped.join(heads, "value"), "near-marked")
-    open_lists = marked.where("label <> main")
-    cross = (open_lists.alias("x").join(marked.alias("y"), "value")
+    marked = grouped.drop("bits").join(heads, "value")
+    undecided = marked.where("label <> main").select("value").distinct()
+    rows = stored(marked.join(undecided, "value", "left_semi").join(sets.select("v", "sig"), "v"), "near-marked")
+    cross = (rows.where("label <> main").alias("x").join(rows.alias("y"), "value")
              .where((F.col("x.label") != F.col("y.label"))
-                    & ((F.col("y.label") == F.col("y.main")) | (F.col("x.v") < F.col("y.v"))) & could_link("x", "y", p))
+                    & ((F.col("y.label") == F.col("y.main")) | (F.col("x.v") < F.col("y.v"))) & sets_meet("x", "y", p))
              .select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct()
              .join(tried, ["a", "b"], "left_anti"))
     more = stored(verified(stored(cross, "near-cross"), sets, p), "near-more")
