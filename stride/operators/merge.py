@@ -86,7 +86,10 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 
 def cache_lookup(requests: DataFrame, cache: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JON-8: the requests with the cache columns and ``cache_hit``: one left
-    join, both sides read once.  Misses (``not cache_hit``) go on to resolution."""
+    join, both sides read once.  Misses (``not cache_hit``) go on to resolution.  Where the
+    cache is large and the requests are a filtered few, Spark's runtime filter
+    (``session.configure``) drops the cache rows whose key no request can have right
+    after the scan, so what is shuffled falls with the requests."""
     keys = list(keys)
     marked = cache.withColumn("cache_hit", F.lit(True))
     return requests.join(marked, keys, "left").withColumn("cache_hit", F.coalesce("cache_hit", F.lit(False)))

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+BLOOM_SCAN = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+
 # Work folders created for sessions that had none, keyed by application id.
 _LOCAL_WORK: dict[str, str] = {}
 
@@ -106,3 +108,8 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # a lookup's requests filter the scan of a large table by a Bloom filter (JON-8); Spark's own
+    # threshold of 10 GB is above the caches and dimension tables that this pays for
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    if not spark.conf.get(BLOOM_SCAN, None) or spark.conf.get(BLOOM_SCAN) == "10GB":
+        spark.conf.set(BLOOM_SCAN, "256MB")

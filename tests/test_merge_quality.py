@@ -127,3 +127,27 @@ def test_cache_lookup_marks_hits(spark):
     req = spark.createDataFrame([(1, "x"), (2, "y")], "id long, k string")
     cache = spark.createDataFrame([("x", 5)], "k string, d int")
     assert rows(M.cache_lookup(req, cache, ["k"]).fillna(-1), "id", "d", "cache_hit") == [(1, 5, True), (2, -1, False)]
+
+
+def test_cache_scan_is_filtered_by_the_requests(spark, tmp_path):
+    """JON-8: a Bloom filter of the requests stands on the cache scan; the cache rows that are shuffled fall with the requests."""
+    from stride.functions import columns as C
+    from stride.session import BLOOM_SCAN, configure
+    configure(spark)
+    assert spark.conf.get(BLOOM_SCAN) == "256MB"
+    spark.conf.set(BLOOM_SCAN, "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        home = F.concat(F.lit(" Rue "), F.col("id").cast("string"))
+        spark.range(20_000).select(C.address_hash(home).alias("address_hash"), F.lit("walking").alias("mode"),
+                                   F.col("id").cast("int").alias("distance_m")).write.parquet(f"{tmp_path}/cache")
+        spark.range(30_000).select("id", home.alias("home")).write.parquet(f"{tmp_path}/people")
+        cache, people = (spark.read.parquet(f"{tmp_path}/{t}") for t in ("cache", "people"))
+        requests = people.filter("id % 300 = 7").select("id", C.address_hash("home").alias("address_hash"), F.lit("walking").alias("mode"))
+        looked = M.cache_lookup(requests, cache, ["address_hash", "mode"])
+        assert "might_contain" in looked._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.id: (r.cache_hit, r.distance_m) for r in looked.collect()}
+        assert got == {i: (i < 20_000, i if i < 20_000 else None) for i in range(7, 30_000, 300)}
+    finally:
+        spark.conf.set(BLOOM_SCAN, "256MB")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
