@@ -75,25 +75,31 @@ def has(kind: str, text: Column) -> Column:
     return text.rlike({"endpoint": ENDPOINT, "opaque": OPAQUE}[kind])
 
 
-def found(docs: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, h, kind_no, kind, start, end) of the matches of one kind."""
-    pattern, group, least = {**BASE, **WEAK}[kind]
-    text = F.col("text")
+def matches(text: Column, kind: str) -> Column:
+    """The matches of a kind in a text: array of (no, at, gap, size, part, match), closed by the piece after the last."""
+    pattern, group, _ = {**BASE, **WEAK}[kind]
     lengths = lambda c: F.transform(c, lambda x: F.length(x))
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    rows = (docs.where(has(kind, text))
-            .select("doc_id", "h", F.posexplode(F.arrays_zip(
-                lengths(F.split(text, pattern, -1)).alias("gap"), lengths(whole).alias("size"),
-                lengths(part).alias("part"), whole.alias("match"))).alias("at", "m"))
-            .select("doc_id", "h", "at", "m.gap", "m.size", "m.part", "m.match").where("size is not null").distinct())
+    zipped = F.arrays_zip(lengths(F.split(text, pattern, -1)).alias("gap"), lengths(whole).alias("size"),
+                          lengths(part).alias("part"), whole.alias("match"))
+    numbered = F.transform(zipped, lambda m, i: F.struct(F.lit(KINDS.index(kind)).alias("no"), i.alias("at"), m["gap"].alias("gap"),
+                                                         m["size"].alias("size"), m["part"].alias("part"), m["match"].alias("match")))
+    return F.when(has(kind, text), numbered)
+
+
+def found(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, no, kind, start, end) of the matches of all kinds, from one scan of the texts."""
+    none = F.array().cast("array<struct<no:int,at:int,gap:int,size:int,part:int,match:string>>")
+    every = F.concat(*[F.coalesce(matches(F.col("text"), kind), none) for kind in KINDS])
+    rows = (docs.select("doc_id", "h", F.explode(every).alias("m")).select("doc_id", "h", "m.*").where("size is not null").distinct())
     before = F.sum(F.col("gap").cast("long") + F.col("size")).over(
-        Window.partitionBy("doc_id", "h").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
-    kept = F.col("part") >= least
-    if kind == "opaque":
-        kept = kept & F.col("match").rlike("[A-Z]") & F.col("match").rlike("[a-z]") & F.col("match").rlike("[0-9]")
-    return (rows.withColumn("end", before).where(kept)
-            .select("doc_id", "h", F.lit(KINDS.index(kind)).alias("no"), F.lit(kind).alias("kind"),
+        Window.partitionBy("doc_id", "h", "no").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    least = F.element_at(F.array(*[F.lit({**BASE, **WEAK}[kind][2]) for kind in KINDS]), F.col("no") + 1)
+    mixed = F.col("match").rlike("[A-Z]") & F.col("match").rlike("[a-z]") & F.col("match").rlike("[0-9]")
+    return (rows.withColumn("end", before)
+            .where((F.col("part") >= least) & ((F.col("no") != KINDS.index("opaque")) | mixed))
+            .select("doc_id", "h", "no", F.element_at(F.array(*map(F.lit, KINDS)), F.col("no") + 1).alias("kind"),
                     (F.col("end") - F.col("size")).alias("start"), "end"))
 
 
@@ -129,11 +135,7 @@ def scan(docs: DataFrame, p: SecretParams = SecretParams()) -> DataFrame:
     """(doc_id, h, no, kind, start, end) of all reported spans; ``h`` is xxhash64 of the text (null: empty)."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
-    spans = None
-    for kind in KINDS:
-        one = found(rows, kind)
-        spans = one if spans is None else spans.unionByName(one)
-    spans = stored(spans, "secret-spans")
+    spans = stored(found(rows), "secret-spans")
     return spans.where(F.col("kind").isin(list(BASE))).unionByName(linked(spans, p))
 
 

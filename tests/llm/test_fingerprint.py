@@ -1,9 +1,10 @@
 import hashlib
 
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import SF0001
-from stride.llm.fingerprint import combine, fingerprints, lanes_of, likeness, op6_fingerprint, to_text
+from stride.llm.fingerprint import LANE, SOFT, STRONG, combine, fingerprints, lanes_of, likeness, op6_fingerprint, to_text
 
 
 def lanes(spark, texts):
@@ -22,6 +23,64 @@ def test_order_multiplicity_and_increments(spark):
     assert (r.added, r.taken, r.twice, r.own, len(r.t)) == (True, True, True, 1.0, 8 * 72)
 
 
+MASK = 2 ** 64 - 1
+P1, P2, P3, P4, P5 = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+
+
+def signed(x):
+    return x - 2 ** 64 if x >= 2 ** 63 else x
+
+
+def hash_of(*values):
+    """Spark's xxhash64 of its arguments (text or long; null leaves the hash as it is)."""
+    h = 42
+    for v in values:
+        if isinstance(v, str):
+            h = xxhash.xxh64_intdigest(v.encode(), seed=h & MASK)
+        elif isinstance(v, tuple):  # an int literal
+            h = (h + P5 + 4) & MASK
+            h ^= ((v[0] & 0xFFFFFFFF) * P1) & MASK
+            h = (((h << 23 | h >> 41) & MASK) * P2 + P3) & MASK
+            h = mix(h)
+        elif v is not None:
+            h = (h + P5 + 8) & MASK
+            k = ((v & MASK) * P2) & MASK
+            h ^= (((k << 31 | k >> 33) & MASK) * P1) & MASK
+            h = (((h << 27 | h >> 37) & MASK) * P1 + P4) & MASK
+            h = mix(h)
+    return signed(h & MASK)
+
+
+def mix(h):
+    h ^= h >> 33
+    h = (h * P2) & MASK
+    h ^= h >> 29
+    h = (h * P3) & MASK
+    return h ^ (h >> 32)
+
+
+def plain_lanes(text):
+    """The lanes from the definition: paragraph hashes and the signs of word pairs, summed."""
+    out = [0] * (STRONG + SOFT)
+    for par in text.split("\n"):
+        a, b = hash_of(par), hash_of("second", par)
+        for i in range(STRONG):
+            out[i] += hash_of(a, b, (i,)) & (LANE - 1)
+        words = par.split(" ")
+        for w, then in zip(words, [*words[1:], None]):
+            h = hash_of(w, then) & MASK
+            for i in range(SOFT):
+                out[STRONG + i] += 1 if h >> i & 1 else -1
+    return [x % LANE for x in out]
+
+
+def test_lanes_are_recomputed(spark):
+    texts = ["a b\nc d\ne", "", "one two two two", "é😀 x\n\nlast", " ".join(f"w{i}" for i in range(30_000))]
+    got = lanes(spark, texts)
+    for i, text in enumerate(texts):
+        assert list(got[i]) == plain_lanes(text)
+
+
 def check(rows, out):
     order = sorted(rows)
     for i, (d, t) in enumerate(order):
