@@ -172,7 +172,10 @@ def solve(turns: DataFrame, p: ChatParams) -> DataFrame:
         mats = np.array(table.column("costs").to_pylist()).reshape(-1, 5, 5)[order]
         return _arrow({"conv_id": [key[0].as_py()], "no": [key[1].as_py()], "costs": [compose(mats)[0].ravel()]}, types)
 
-    levels = [stored(rows.select("conv_id", "no", "place", "role_no").groupBy("conv_id", "no")
+    # thin rows, much work: a fixed number of tasks, which adaptive execution does not fold into one
+    pieces = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    thin = rows.select("conv_id", "no", "place", "role_no").repartition(pieces, "conv_id", "no")
+    levels = [stored(thin.groupBy("conv_id", "no")
                      .applyInArrow(reduce_rows, COSTS), "chat-level")]
     while (levels[-1].agg(F.max("no")).first()[0] or 0) > 0:  # one level more for each factor ``stretch``
         up = levels[-1].select("conv_id", (F.floor(F.col("no") / p.stretch)).alias("up"), "no", "costs")

@@ -1,9 +1,10 @@
+import functools
 import zlib
 
 import numpy as np
 
 from tests.conftest import SF001
-from stride.llm.language import LanguageParams, identify, learn, op10_language, viterbi
+from stride.llm.language import LanguageParams, grams, identify, learn, lower, op10_language, viterbi
 
 
 def plain(score, switch):
@@ -47,6 +48,49 @@ def test_spans_scripts_and_edges(spark):
     assert identify(df.limit(0), model).collect() == []
 
 
+def mix(x):
+    m = 2 ** 64 - 1
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & m
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & m
+    return x ^ x >> 31
+
+
+def test_grams_and_counts_equal_plain(spark):
+    """The buckets of each word, and the learned log probabilities, from loops over its letters."""
+    texts = ["The straße, naïve 2x!", "", "дом\nЁлка", "a 中文 b"]
+
+    def plain(text):
+        out, word = [], ""
+        for c in lower(text) + " ":
+            if c.isalpha():
+                word += c
+            elif word:
+                codes = [0, *map(ord, word), 0]
+                out.append(sorted([mix(c + (1 << 40)) >> 48 for c in codes[1:-1]]
+                                  + [mix(functools.reduce(lambda a, c: (a * 0x110001 + c) % 2 ** 64, codes[i:i + n], n << 40)) >> 48
+                                     for n in (2, 3) for i in range(len(codes) - n + 1)]))
+                word = ""
+        return out
+
+    text, _, _, _, owner, bucket = grams(texts)
+    got = [[] for _ in texts]
+    for w in range(len(text)):
+        got[text[w]].append(sorted(bucket[owner == w].tolist()))
+    assert got == [plain(t) for t in texts]
+    p = LanguageParams()
+    model = learn(spark.createDataFrame(TRAIN, "doc_id long, text string, lang string"))
+    counts = np.zeros((1 << 16, 3))
+    for _, t, lang in TRAIN:
+        if lang:
+            for w in plain(t):
+                for b in w:
+                    counts[b, model.names.index(lang)] += 1
+    want = np.log((counts + p.smooth) / (counts.sum(axis=0) + p.smooth * (1 << 16)))
+    assert np.allclose(model.score, want - want.mean(axis=1, keepdims=True))
+
+
 def test_letters_of_every_plane_and_places(spark):
     model = learn(spark.createDataFrame(TRAIN, "doc_id long, text string, lang string"))
     rows = [(1, "😀 👍🏽"), (2, "𝒜𝒷"), (3, "İİİ the king and the sea of the garden house le jardin et la maison du roi et le fleuve"),

@@ -1,3 +1,5 @@
+import re
+
 from tests.conftest import SF0001
 from stride.llm.pii import KINDS, PiiParams, feistel, finds, luhn, only_digits, op3_pii, pseudonymise, pseudonyms, session_key
 
@@ -62,6 +64,32 @@ def test_rows(spark, docs):
     assert pseudonyms(docs([]), PiiParams(KEY)).collect() == []
 
 
+def test_no_valid_value_is_left(spark):
+    """Values found by plain searches and checked by plain rules do not stand in the pseudonymised texts."""
+    def luhn_ok(d):
+        odd, even = d[-1::-2], d[-2::-2]
+        return (sum(map(int, odd)) + sum(sum(map(int, str(2 * int(c)))) for c in even)) % 10 == 0
+
+    rows = spark.read.parquet(f"{SF0001}/documents.parquet").collect()
+    seen = {"card": 0, "email": 0, "ip": 0}
+    for r in rows:
+        new = pseudonymise(r.text or "", KEY)[0]
+        for m in re.finditer(r"(?<![\d-])\d{16}(?!\d)|(?<![\d-])\d{4}(?: \d{4}){3}(?![\d])", r.text or ""):
+            if luhn_ok(only_digits(m.group())):
+                seen["card"] += 1
+                assert m.group() not in new
+        for m in re.finditer(r"(?<![\w.+-])[\w.+-]{2,}@[\w-]+\.[a-z]{2,}", r.text or ""):
+            if any(c.isascii() and c.isalnum() for c in m.group().split("@")[0]):
+                seen["email"] += 1
+                assert m.group() not in new
+        for m in re.finditer(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", r.text or ""):
+            parts = m.group().split(".")
+            if all(int(x) < 256 and str(int(x)) == x for x in parts):
+                seen["ip"] += 1
+                assert m.group() not in new
+    assert all(seen.values()), seen
+
+
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
     key = session_key(spark)

@@ -4,7 +4,8 @@ import zlib
 import numpy as np
 
 from tests.conftest import SF001
-from stride.llm.toxicity import ToxicityParams, fit, op1_toxicity, score, toxicity_stage, train
+from stride.llm.common import words_of
+from stride.llm.toxicity import TERM_BITS, ToxicityModel, ToxicityParams, fit, op1_toxicity, score, toxicity_stage, train
 
 
 def test_machine_learns_pairs():
@@ -18,6 +19,23 @@ def test_machine_learns_pairs():
     assert ((z > 0) == (y > 0)).mean() > 0.99 and (v[0] * v[1]).sum() > 0.5
 
 
+def test_scores_equal_the_sum_over_pairs():
+    """The machine's value of a text from its definition: every pair of inputs, one by one."""
+    rng = np.random.default_rng(2)
+    vocabulary = [f"t{i}" for i in range(12)]
+    slots = np.full(1 << TERM_BITS, -1, np.int32)
+    for i, w in enumerate(vocabulary[:8]):
+        slots[int(words_of([w])[0][0]) >> (64 - TERM_BITS)] = i
+    model = ToxicityModel(slots, rng.normal(size=9), rng.normal(size=(9, 3)), 0.3, 0.1)
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 30))) for _ in range(40)] + ["", "T3, t3! t3", "t1 " * 50_000]
+    for text, got in zip(texts, model.scores(texts)):
+        words = text.lower().replace(",", "").replace("!", "").split()
+        x = [np.log1p(words.count(w)) for w in vocabulary[:8]] + [0.1 * np.log1p(len(words))]
+        y = 0.3 + sum(model.linear[i] * x[i] for i in range(9))
+        y += sum(model.factors[i] @ model.factors[j] * x[i] * x[j] for i in range(9) for j in range(i))
+        assert abs(got - 1 / (1 + np.exp(-np.clip(y, -40, 40)))) < 1e-9
+
+
 def test_training_finds_pairs_that_no_term_shows(spark, docs):
     """Toxic where both or neither of two words occur: each word alone is equally frequent in both classes."""
     rnd = random.Random(4)
