@@ -139,7 +139,9 @@ def prefixes(sets: DataFrame, k: int, p: NearParams) -> DataFrame:
     need = p.need(k)
     exact = int(k * p.percent / 100)  # sets of at most so many: a partner's sketch is whole
     rows = sets.select("v", "n", F.explode("head").alias("value"))
-    shared = stored(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "near-df")
+    # a value that only texts of one document have can link nothing
+    shared = stored(rows.groupBy("value").agg(F.count("*").alias("df"), F.min("v").alias("low"), F.max("v").alias("high"))
+                    .where("low < high").select("value", "df"), "near-df")
     size = F.least("n", F.lit(k))
     least = F.when(F.col("n") <= exact, F.ceil(F.col("n") * p.percent / 100.0)).otherwise(
         F.least(F.lit(need), F.ceil(F.col("n") * p.percent / 100.0)))
@@ -245,7 +247,11 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     tried = stored(lists.alias("x").join(pivots.alias("y"), "value")
                    .where((F.col("x.v") != F.col("y.v")) & sketches_meet("x", "y", p))
                    .select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct(), "near-try")
-    links = stored(verified(tried, sets, p), "near-link")
+    # texts of one document are one document, whichever class each is in
+    of_doc = known.join(classes, "set_id").select("doc_id", "v").distinct()
+    several = of_doc.groupBy("doc_id").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low < high")
+    own = of_doc.join(several, "doc_id").where("v > low").select(F.col("low").alias("a"), F.col("v").alias("b"))
+    links = stored(verified(tried, sets, p).unionByName(own).distinct(), "near-link")
     part = components(links)
     grouped = stored(lists.join(part, "v", "left").withColumn("label", F.coalesce("label", "v")), "near-group")
     # lists that still hold several components: the members outside the pivot's component meet the others
@@ -279,12 +285,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Earlier stages may have taken lines out of a text, the shared ones of near copies above
     all, so a document is compared by the text it has and by the one it had in
     ``documents`` (rows of one doc_id are one document with either text)."""
-    now = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    digest = F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")
+    now = docs.select("doc_id", digest)
     before = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    named = before.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    changed = (named.join(now.select("doc_id").distinct(), "doc_id", "left_semi").join(now, ["doc_id", "h"], "left_anti")
-               .select("doc_id", "text"))
-    both = stored(docs.select("doc_id", "text").unionByName(changed), "near-texts")
+    other = (before.select("doc_id", digest).join(now, ["doc_id", "h"], "left_anti").select("doc_id")
+             .join(now.select("doc_id"), "doc_id", "left_semi").distinct())  # thin rows: no text is shuffled to find them
+    changed = stored(before.join(stored(other, "near-changed"), "doc_id", "left_semi"), "near-before", "zstd")
+    both = docs.select("doc_id", "text").unionByName(changed)
     gone = near_duplicates(both).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -19,6 +19,13 @@ def test_edge_rows(spark, docs):
                           ("None", 1, None, True), ("9", 2, 9, True)])
 
 
+def test_texts_of_one_document_join_their_groups(docs):
+    """Document 7 has a text like 3's and another like 5's: all are one group."""
+    one, two = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    got_ = {r.component_id for r in near_duplicates(docs([(3, one), (5, two), (7, one), (7, two + " z"), (9, two)])).collect()}
+    assert got_ == {3}
+
+
 def test_empty_table(spark, docs):
     assert near_duplicates(docs([])).collect() == []
 
