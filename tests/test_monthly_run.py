@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stride import schemas as S
 from stride.operators import quality as Q
 from stride.params import BenefitParams
-from stride.plans import monthly_run
+from stride.plans import catalog, monthly_run
 from stride.sources.exports import export_files
 from stride.sources.store import TableStore
 from tests.conftest import SF0001
@@ -109,3 +109,15 @@ def test_command_line(spark, capsys):
     assert out["employees"] == out["marts.eligibility_prime"] == out["marts.eligibility_wellbeing"]
     assert out["posted"] == 10 and out["activities"] == out["raw_activities"]
     assert '"run_id"' in capsys.readouterr().out
+
+
+def test_queries_run_over_the_tables_as_they_are(spark, tmp_path):
+    """A query of the monthly run counts the rows of now, not those of an earlier query's run over the same folder."""
+    spark.range(1, 31).selectExpr("id AS c_custkey", "format_string('Customer#%09d', id) AS c_name", "CAST(id % 25 AS int) AS c_nationkey",
+                                  "CAST(id AS double) AS c_acctbal", "'UNIT' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    for n in (520, 540):
+        spark.range(n).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-02 08:00:00' AS ts", "id % 30 + 1 AS user_id", "'view' AS event_type",
+                                  "1.5D AS value", "'{\"k\": 3}' AS props").write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        log = {r.step_name: r for r in catalog.QUERIES["e1_monthly_run_log"](spark, str(tmp_path)).collect()}
+        assert log["load_raw_activities"].rows_out == log["transform_activities"].rows_out == n
+        assert len(log) == 22 and {r.status for r in log.values()} == {"OK"}
