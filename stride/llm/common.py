@@ -43,7 +43,7 @@ def text_blocks(texts: list, max_chars: int = BLOCK_CHARS) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def map_texts(docs: DataFrame, keep: list[str], added: str, fn, text: str = "text") -> DataFrame:
+def map_texts(docs: DataFrame, keep: list[str], added: str, fn, text: str = "text", max_chars: int = BLOCK_CHARS) -> DataFrame:
     """Columns ``keep`` as they are, and the columns ``added`` (DDL) that
     ``fn(texts) -> {column: values}`` makes from a block of whole texts (null: empty)."""
     schema = StructType(docs.select(*keep).schema.fields + StructType.fromDDL(added).fields)
@@ -53,7 +53,7 @@ def map_texts(docs: DataFrame, keep: list[str], added: str, fn, text: str = "tex
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
-            parts = [fn(texts[block]) for block in text_blocks(texts)] or [fn([])]
+            parts = [fn(texts[block]) for block in text_blocks(texts, max_chars)] or [fn([])]
             new = [pa.concat_arrays([pa.array(part[n], type=arrow.field(n).type) for part in parts]) for n in names]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *new], schema=arrow)
 

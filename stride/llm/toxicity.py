@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from stride.llm.common import map_texts, mix64, read_table, stored, text_blocks, words_of
 
 TERM_BITS = 18
+PAIR_STRIP = 256  # terms whose pairs are counted at once
+HASHED_CHARS = 1 << 18  # code points whose words are hashed at once: some 60 bytes each
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,7 @@ def term_rows(batches):
     for pdf in batches:
         texts = [t or "" for t in pdf["text"]]
         labels = pdf["toxic"].tolist()
-        for block in text_blocks(texts):
+        for block in text_blocks(texts, HASHED_CHARS):
             part = texts[block]
             h, text = words_of(part)
             bucket = (h >> np.uint64(64 - TERM_BITS)).astype(np.int64)
@@ -134,9 +136,8 @@ def train(docs: DataFrame, labels: DataFrame, learn=None, params: ToxicityParams
     for i, bucket in enumerate(chosen):
         slots[bucket] = i
     width = len(chosen)
-    wanted = F.array(*map(F.lit, chosen)) if chosen else F.array().cast("array<int>")
     both = F.arrays_zip("buckets", "counts")
-    kept = (terms.withColumn("hits", F.filter(both, lambda p: F.array_contains(wanted, p["buckets"])))
+    kept = (terms.withColumn("hits", F.filter(both, lambda p: p["buckets"].isin(chosen)))
             .select("toxic", "n_words", "hits.buckets", "hits.counts").toPandas())  # bounded: sample_rows x terms
     x = np.zeros((len(kept), width + 1), dtype=np.float32)
     for i, (b, c) in enumerate(zip(kept["buckets"], kept["counts"])):
@@ -158,30 +159,41 @@ def paired_terms(terms: DataFrame, frequent: list[int], p: ToxicityParams) -> li
     known = np.sort(np.array(frequent))
 
     def pick(batches):
-        both = np.zeros((2, len(known), len(known)), np.float32)  # rows of each class with both terms; one term on the diagonal
-        n = np.zeros(2)
+        sets = ([], [])  # of each class, the places in ``known`` of every row's terms
+        small = np.min_scalar_type(len(known))
         for pdf in batches:
-            for label in (0, 1):
-                rows = [np.asarray(b) for b in pdf["buckets"][(pdf["toxic"] >= 1) == bool(label)]]
-                n[label] += len(rows)
-                for at in range(0, len(rows), 1024):
-                    x = np.zeros((min(1024, len(rows) - at), len(known)), np.float32)
-                    for i, b in enumerate(rows[at:at + 1024]):
-                        slot = np.minimum(np.searchsorted(known, b), len(known) - 1)
-                        x[i, slot[known[slot] == b]] = 1
-                    both[label] += x.T @ x
-        total = both.sum(axis=0)
-        share = total / max(n.sum(), 1)
-        z = np.abs(both[1] / max(n[1], 1) - both[0] / max(n[0], 1)) / np.sqrt(
-            np.maximum(share * (1 - share), 1e-12) * (1 / max(n[0], 1) + 1 / max(n[1], 1)))
-        alone = np.diag(z)
-        good = np.triu((total >= p.min_rows) & (z >= p.pair_z) & (z >= np.maximum.outer(alone, alone) + p.pair_gain), 1)
-        one, two = np.nonzero(good)
-        best = np.lexsort((two, one, -z[one, two]))[:p.pairs]
-        found = dict.fromkeys(int(known[i]) for k in best for i in (one[k], two[k]))
-        yield pd.DataFrame({"place": range(len(found)), "bucket": list(found)})
-
-    # one task with pair_terms ** 2 counts, over the bounded sample
+            for toxic, b in zip(pdf["toxic"], pdf["buckets"]):
+                slot = np.minimum(np.searchsorted(known, b), len(known) - 1)
+                sets[int(toxic >= 1)].append(slot[known[slot] == b].astype(small))
+        n = np.array([float(len(rows)) for rows in sets])
+
+        def differ(both):
+            share = both.sum(axis=0) / max(n.sum(), 1)
+            return np.abs(both[1] / max(n[1], 1) - both[0] / max(n[0], 1)) / np.sqrt(
+                np.maximum(share * (1 - share), 1e-12) * (1 / max(n[0], 1) + 1 / max(n[1], 1)))
+
+        alone = differ(np.stack([np.bincount(np.concatenate([np.zeros(0, small), *rows]), minlength=len(known)).astype(np.float32)
+                                 for rows in sets]))
+        found = []  # (z, one, two): the best pairs of each strip
+        for low in range(0, len(known), PAIR_STRIP):
+            strip = slice(low, low + PAIR_STRIP)
+            both = np.zeros((2, len(alone[strip]), len(known) - low), np.float32)  # rows of each class with both terms
+            for label, rows in enumerate(sets):
+                for at in range(0, len(rows), 512):
+                    part = rows[at:at + 512]
+                    x = np.zeros((len(part), len(known)), np.float32)
+                    x[np.repeat(np.arange(len(part)), [len(r) for r in part]), np.concatenate(part)] = 1
+                    both[label] += x[:, strip].T @ x[:, low:]
+            z = differ(both)
+            good = np.triu((both.sum(axis=0) >= p.min_rows) & (z >= p.pair_z)
+                           & (z >= np.maximum.outer(alone[strip], alone[low:]) + p.pair_gain), 1)
+            one, two = np.nonzero(good)
+            best = np.lexsort((two, one, -z[one, two]))[:p.pairs]
+            found += zip(-z[one, two][best], one[best] + low, two[best] + low)
+        terms_of = dict.fromkeys(int(known[i]) for _, one, two in sorted(found)[:p.pairs] for i in (one, two))
+        yield pd.DataFrame({"place": range(len(terms_of)), "bucket": list(terms_of)})
+
+    # one task, over the bounded sample; it holds the counts of PAIR_STRIP * pair_terms pairs at a time
     rows = terms.select("toxic", "buckets").coalesce(1).mapInPandas(pick, "place int, bucket int").collect()  # 2 * pairs at most
     return [r.bucket for r in sorted(rows)]
 
@@ -219,7 +231,7 @@ def fit(x: np.ndarray, y: np.ndarray, p: ToxicityParams) -> tuple[float, np.ndar
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` (``text`` need not be one) and ``score`` of the whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**TERM_BITS slots: about a megabyte at any size
-    return map_texts(docs, keep, "score double", lambda texts: {"score": sent.value.scores(texts)})
+    return map_texts(docs, keep, "score double", lambda texts: {"score": sent.value.scores(texts)}, max_chars=HASHED_CHARS)
 
 
 def fold(column: str = "doc_id"):

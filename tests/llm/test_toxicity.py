@@ -1,11 +1,14 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 
 from tests.conftest import SF001
 from stride.llm.common import words_of
-from stride.llm.toxicity import TERM_BITS, ToxicityModel, ToxicityParams, fit, op1_toxicity, score, toxicity_stage, train
+from stride.llm.toxicity import (PAIR_STRIP, TERM_BITS, ToxicityModel, ToxicityParams, fit, op1_toxicity, paired_terms, score,
+                                 toxicity_stage, train)
 
 
 def test_machine_learns_pairs():
@@ -52,6 +55,59 @@ def test_training_finds_pairs_that_no_term_shows(spark, docs):
     assert sum((out[i] >= 0.5) == bool(t) for i, _, t in labels[2400:]) >= 0.95 * len(out)
 
 
+class Sample:
+    """The sample's rows for ``paired_terms``, its task run in this process."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.rows = rows
+
+    def select(self, *columns):
+        return self
+
+    def coalesce(self, n):
+        return self
+
+    def mapInPandas(self, fn, schema):
+        out = pd.concat(fn(iter([self.rows[:700], self.rows[700:]])))
+        self.collected = [type("Row", (tuple,), {"bucket": property(lambda r: r[1])})(r) for r in out.itertuples(index=False)]
+        return self
+
+    def collect(self):
+        return self.collected
+
+
+def test_pairs_of_terms_in_strips():
+    """Pairs across and within strips as a plain count over all pairs finds them, in its order, without all counts in memory."""
+    rng = np.random.default_rng(5)
+    width = 2 * PAIR_STRIP + 40
+    x = rng.random((1500, width)) < 0.3
+    toxic = rng.random(1500) < 0.5
+    pairs = [(3, 9), (5, PAIR_STRIP + 7), (PAIR_STRIP + 1, 2 * PAIR_STRIP + 39), (PAIR_STRIP - 1, PAIR_STRIP), (2 * PAIR_STRIP + 1, 2 * PAIR_STRIP + 2)]
+    for i, j in pairs:  # both or neither in toxic rows, one of them in the others
+        x[:, i] = rng.random(1500) < 0.5
+        x[:, j] = np.where(toxic, x[:, i], ~x[:, i])
+    known = np.sort(rng.choice(1 << TERM_BITS, width, replace=False))
+    sample = Sample(pd.DataFrame({"toxic": toxic.astype(int), "buckets": [known[r].astype(np.int32) for r in x]}))
+    got = paired_terms(sample, known[rng.permutation(width)].tolist(), ToxicityParams())
+    n1, n0 = toxic.sum(), (~toxic).sum()
+    both1, both0 = (x[c].astype(float).T @ x[c].astype(float) for c in (toxic, ~toxic))
+    share = (both1 + both0) / 1500
+    z = np.abs(both1 / n1 - both0 / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n0 + 1 / n1))
+    alone = np.diag(z)
+    found = sorted((-z[i, j], i, j) for i in range(width) for j in range(i + 1, width)
+                   if both1[i, j] + both0[i, j] >= 5 and z[i, j] >= 6 and z[i, j] >= max(alone[i], alone[j]) + 3)
+    assert set(pairs) <= {(i, j) for _, i, j in found}
+    assert got == list(dict.fromkeys(int(known[k]) for _, i, j in found[:64] for k in (i, j)))
+
+    wide = np.arange(2048)
+    sample = Sample(pd.DataFrame({"toxic": [0, 1] * 500, "buckets": [wide[rng.random(2048) < 0.05].astype(np.int32) for _ in range(1000)]}))
+    tracemalloc.start()
+    paired_terms(sample, wide.tolist(), ToxicityParams())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6, peak
+
+
 def test_edges(spark, docs):
     rnd = random.Random(1)
     rows = [(i, " ".join(rnd.choice(["a", "b", "c", "d"]) for _ in range(20)) + (" vile" if i % 3 == 0 else "")) for i in range(60)]
